@@ -30,7 +30,9 @@ def _orders(orders: DataFrame, id_type: T.DataType) -> DataFrame:
 
 
 def _items(items: DataFrame, id_type: T.DataType) -> DataFrame:
+    # The item's own id makes rows distinct, which salting relies on.
     return items.select(
+        F.col("id").alias("item_id"),
         to_int_safe(*_column(items, "order_id"), id_type).alias("order_id"),
         to_int_safe(*_column(items, "product_id"), id_type).alias("product_id"),
         to_int_safe(*_column(items, "quantity")).alias("quantity"),
@@ -46,6 +48,13 @@ def _not_deleted(changes: DataFrame) -> DataFrame:
     return changes.where(~F.col("Op").eqNullSafe("D"))
 
 
+def _counted(raw: dict[str, DataFrame] | None, id_type: T.DataType) -> tuple[DataFrame | None, DataFrame | None]:
+    """Frames to find heavy keys in: the feeds before dedup, where they are given."""
+    if raw is None:
+        return None, None
+    return _orders(raw["orders"], id_type), _items(raw["order_items"], id_type)
+
+
 def build_fact_orders(
     orders: DataFrame,
     items: DataFrame,
@@ -55,6 +64,7 @@ def build_fact_orders(
     id_type: T.DataType = T.IntegerType(),
     drop_deleted: bool = False,
     skew: SkewPolicy | None = None,
+    raw: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One fact per order item whose order, customer, product and date exist.
 
@@ -64,21 +74,32 @@ def build_fact_orders(
     asked whether the id exists: semi-joins on one narrow column. The date
     dimension holds every date of the same orders, so its lookup is a null
     test. The smaller side, orders, is cut down before it meets the items.
+
+    The winners come out of an aggregation, and adaptive execution splits heavy
+    keys only between two plain shuffles; ``skew`` makes the joins split them
+    themselves. ``raw`` holds the feeds before dedup, to find heavy keys in.
     """
+    many_orders, many_items = _counted(raw, id_type)
     if drop_deleted:
         orders, items = _not_deleted(orders), _not_deleted(items)
     known_orders = keyed_join(
         _orders(orders, id_type).where("order_date IS NOT NULL"),
-        _current_ids(customers, "customer_id"), "customer_id", "left_semi", skew=skew,
+        _current_ids(customers, "customer_id"), "customer_id", "left_semi",
+        skew=skew, counted=many_orders,
     )
+    # One key per order here, not one per item later.
+    known_orders = known_orders.withColumn(
+        "customer_key", surrogate_key("dim_customer", F.col("customer_id"))
+    ).drop("customer_id")
     known_items = keyed_join(
-        _items(items, id_type), _current_ids(products, "product_id"), "product_id", "left_semi", skew=skew,
+        _items(items, id_type), _current_ids(products, "product_id"), "product_id", "left_semi",
+        skew=skew, counted=many_items,
     )
-    lines = keyed_join(known_items, known_orders, "order_id", "inner", skew=skew)
+    lines = keyed_join(known_items, known_orders, "order_id", "inner", skew=skew, counted=many_items)
     return lines.select(
         surrogate_key("fact_orders", F.col("order_id"), F.col("product_id")).alias("order_sk"),
         "order_id",
-        surrogate_key("dim_customer", F.col("customer_id")).alias("customer_key"),
+        "customer_key",
         surrogate_key("dim_product", F.col("product_id")).alias("product_key"),
         date_sk(F.col("order_date")).alias("date_sk"),
         "quantity",
@@ -97,20 +118,22 @@ def fact_rejects(
     *,
     id_type: T.DataType = T.IntegerType(),
     skew: SkewPolicy | None = None,
+    raw: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The items that give no fact, each with the first reason that applies."""
+    many_orders, many_items = _counted(raw, id_type)
     there = F.lit(True)
     marked_orders = keyed_join(
         _orders(orders, id_type),
         _current_ids(customers, "customer_id").withColumn("has_customer", there),
-        "customer_id", "left", skew=skew,
+        "customer_id", "left", skew=skew, counted=many_orders,
     ).select("order_id", "has_customer", "order_date", there.alias("has_order"))
     marked_items = keyed_join(
         _items(items, id_type),
         _current_ids(products, "product_id").withColumn("has_product", there),
-        "product_id", "left", skew=skew,
+        "product_id", "left", skew=skew, counted=many_items,
     )
-    lines = keyed_join(marked_items, marked_orders, "order_id", "left", skew=skew)
+    lines = keyed_join(marked_items, marked_orders, "order_id", "left", skew=skew, counted=many_items)
     reason = (
         F.when(F.col("has_order").isNull(), "order not found")
         .when(F.col("has_customer").isNull(), "no current customer")
@@ -122,22 +145,15 @@ def fact_rejects(
     )
 
 
-def delete_facts(
-    facts: DataFrame,
-    deletes: DataFrame,
-    *,
-    batch_col: str | None = None,
-    skew: SkewPolicy | None = None,
-) -> DataFrame:
+def delete_facts(facts: DataFrame, deletes: DataFrame, *, batch_col: str | None = None) -> DataFrame:
     """Facts without those of deleted orders.
 
     With ``batch_col`` a delete removes only what was written up to its own
-    batch, so an order that is written again later survives.
+    batch, so an order that is written again later survives. Both sides come
+    straight from tables, so adaptive execution can split a heavy order.
     """
     if batch_col is None:
-        return keyed_join(facts, deletes.select("order_id").distinct(), "order_id", "left_anti", skew=skew)
-    latest = deletes.groupBy("order_id").agg(F.max(batch_col).alias("_deleted_at"))
-    return keyed_join(
-        facts, latest, "order_id", "left_anti", skew=skew,
-        condition=F.col(batch_col) <= F.col("_deleted_at"),
-    )
+        return facts.join(deletes.select("order_id"), "order_id", "left_anti")
+    gone = deletes.select("order_id", F.col(batch_col).alias("_deleted_in"))
+    on = (facts["order_id"] == gone["order_id"]) & (facts[batch_col] <= gone["_deleted_in"])
+    return facts.join(gone, on, "left_anti")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,7 +39,6 @@ def keyed_join(
     *,
     skew: SkewPolicy | None = None,
     counted: DataFrame | None = None,
-    condition: Column | None = None,
 ) -> DataFrame:
     """Join ``left`` with ``right`` on one shared key column.
 
@@ -48,7 +47,9 @@ def keyed_join(
     left_anti. Without a policy this is the plain join and Spark chooses the
     strategy from sizes. With one, the rows of heavy left keys get one of
     ``salt`` numbers and the matching right rows are repeated for each number,
-    so that every left row still meets each right row exactly once.
+    so that every left row still meets each right row exactly once. The number
+    is a hash of the whole left row: a retried task finds the same one, and rows
+    spread well where they are distinct.
 
     ``counted`` is a cheaper frame to look for heavy keys in, such as the scan
     that ``left`` was computed from.
@@ -56,12 +57,11 @@ def keyed_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     if skew is None:
-        on = left[key] == right[key]
-        joined = left.join(right, on if condition is None else on & condition, how)
-        return joined.drop(right[key]) if how in ("inner", "left") else joined
+        return left.join(right, key, how)
 
     # At most 1/share keys, each one value: small by construction.
-    heavy = F.broadcast(heavy_keys(left if counted is None else counted, key, skew.share).withColumn("_heavy", F.lit(True)))
+    found = heavy_keys(left if counted is None else counted, key, skew.share)
+    heavy = F.broadcast(found.withColumn("_heavy", F.lit(True)))
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(skew.salt)).cast("int")
     salted_left = (
         left.join(heavy, key, "left")
@@ -74,10 +74,4 @@ def keyed_join(
         .withColumn("_salt", F.explode(F.when(F.col("_heavy"), every).otherwise(F.array(F.lit(0)))))
         .drop("_heavy")
     )
-    if condition is None:
-        return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
-    on = (salted_left[key] == salted_right[key]) & (salted_left["_salt"] == salted_right["_salt"]) & condition
-    joined = salted_left.join(salted_right, on, how)
-    if how in ("inner", "left"):
-        joined = joined.drop(salted_right[key]).drop(salted_right["_salt"])
-    return joined.drop("_salt")
+    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")

@@ -3,7 +3,9 @@
 ``star`` maps the four table names to frames. Sums and counts are taken per key
 of the facts first and only then meet the dimensions: the joins then carry one
 row per key, however many facts a key has, and repeated dimension versions
-count exactly as they do in the plain join.
+count exactly as they do in the plain join. Where facts must meet a dimension as
+they are, both sides come straight from tables, and adaptive execution splits
+the shuffle of a heavy key.
 """
 
 from __future__ import annotations
@@ -11,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidestar.operators import SkewPolicy, keyed_join
 from tidestar.plans.star import row_counts
 from tidestar.schemas import STAR_TABLES
 
@@ -34,7 +35,7 @@ def q_row_counts(star: Star) -> DataFrame:
     return row_counts({table: star[table] for table in STAR_TABLES})
 
 
-def q_star_join_top20(star: Star, n: int = 20, skew: SkewPolicy | None = None) -> DataFrame:
+def q_star_join_top20(star: Star, n: int = 20) -> DataFrame:
     """The largest facts with customer, product and date.
 
     Every fact that finds its partners gives at least one row, so the first
@@ -42,12 +43,12 @@ def q_star_join_top20(star: Star, n: int = 20, skew: SkewPolicy | None = None) -
     the keys, and only they are joined with the wide dimension columns.
     """
     facts = star["fact_orders"]
-    for dim, key, rows in (
-        ("dim_customer", "customer_key", _current(star, "dim_customer", "customer_key")),
-        ("dim_product", "product_key", star["dim_product"].select("product_key")),
-        ("dim_date", "date_sk", star["dim_date"].select("date_sk")),
+    for key, rows in (
+        ("date_sk", star["dim_date"]),
+        ("customer_key", _current(star, "dim_customer", "customer_key")),
+        ("product_key", star["dim_product"]),
     ):
-        facts = keyed_join(facts, rows, key, "left_semi", skew=None if dim == "dim_date" else skew)
+        facts = facts.join(rows.select(key), key, "left_semi")
     order = [F.col("total_amount").desc(), F.col("order_sk"), F.col("quantity"), F.col("unit_price")]
     top = F.broadcast(facts.orderBy(*order).limit(n))  # n rows
     customers = _current(star, "dim_customer", "customer_key", "name", "email", "city")
@@ -108,7 +109,7 @@ def q_quarter_category(star: Star) -> DataFrame:
     ).orderBy("year", "quarter", F.col("category_revenue").desc(), "category")
 
 
-def q_category_totals(star: Star, skew: SkewPolicy | None = None) -> DataFrame:
+def q_category_totals(star: Star) -> DataFrame:
     """Spend by customer name and category.
 
     Facts take their category first and are summed per customer and category,
@@ -119,7 +120,7 @@ def q_category_totals(star: Star, skew: SkewPolicy | None = None) -> DataFrame:
     facts = star["fact_orders"].select(
         "customer_key", "product_key", (F.col("quantity") * F.col("unit_price")).cast("decimal(12,2)").alias("amount")
     )
-    per_customer = keyed_join(facts, products, "product_key", skew=skew).groupBy("customer_key", "category").agg(
+    per_customer = facts.join(products, "product_key").groupBy("customer_key", "category").agg(
         F.sum("amount").alias("amount")
     )
     return per_customer.join(customers, "customer_key").groupBy("name", "category").agg(
@@ -134,7 +135,7 @@ def q_top5_spend(star: Star, n: int = 5) -> DataFrame:
     ).orderBy(F.col("spent").desc(), "name").limit(n)
 
 
-def q_first_customer_history(star: Star, skew: SkewPolicy | None = None) -> DataFrame:
+def q_first_customer_history(star: Star) -> DataFrame:
     """All orders of the current customer with the lowest id."""
     first = F.broadcast(  # one row
         _current(star, "dim_customer", "customer_key", "customer_id", "name").orderBy("customer_id").limit(1)
@@ -142,7 +143,7 @@ def q_first_customer_history(star: Star, skew: SkewPolicy | None = None) -> Data
     products = star["dim_product"].select("product_key", "product_name")
     days = star["dim_date"].select("date_sk", "full_date")
     own = star["fact_orders"].join(first, "customer_key")
-    return keyed_join(own, products, "product_key", skew=skew).join(days, "date_sk").orderBy(
+    return own.join(products, "product_key").join(days, "date_sk").orderBy(
         "full_date", "product_name", "quantity", "total_amount"
     ).select(
         F.col("name").alias("customer_name"), "customer_id", "product_name", F.col("full_date").alias("order_date"),

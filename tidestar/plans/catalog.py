@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidestar.functions.typing import type_name
-from tidestar.plans.star import row_counts
+from tidestar.plans.star import gather_by, row_counts
 from tidestar.schemas import ID, STAR_TABLES, star_schema
 
 # Properties every star table carries.
@@ -38,11 +38,13 @@ def create_star_tables(
         )
 
 
-def append_star_tables(spark: SparkSession, database: str, frames: dict[str, DataFrame]) -> None:
+def append_star_tables(
+    spark: SparkSession, database: str, frames: dict[str, DataFrame], *, fact_tasks: int | None = None,
+) -> None:
     """Append each frame to its table by column name."""
     for table, frame in frames.items():
         if table == "fact_orders":
-            frame = frame.withColumn("order_day", F.to_date("order_timestamp")).hint("rebalance", F.col("order_day"))
+            frame = gather_by(frame.withColumn("order_day", F.to_date("order_timestamp")), "order_day", fact_tasks)
         columns = spark.table(f"{database}.{table}").columns
         frame.select(*columns).write.mode("append").insertInto(f"{database}.{table}")
 

@@ -82,6 +82,11 @@ def dedup_feeds(
     return winners
 
 
+def heavy_sources(feeds: dict[str, DataFrame]) -> dict[str, DataFrame] | None:
+    """The feeds whose keys may be heavy, where both are there."""
+    return feeds if {"orders", "order_items"} <= feeds.keys() else None
+
+
 def transform_star(
     spark: SparkSession,
     feeds: dict[str, DataFrame],
@@ -103,6 +108,18 @@ def transform_star(
     products = build_dim_product(won["products"], batch_ts, id_type)
     facts = build_fact_orders(
         won["orders"], won["order_items"], customers, products,
-        id_type=id_type, drop_deleted=drop_deleted, skew=skew,
+        id_type=id_type, drop_deleted=drop_deleted, skew=skew, raw=heavy_sources(feeds),
     )
     return StarBatch(customers, products, build_dim_date(won["orders"]), facts)
+
+
+def gather_by(rows: DataFrame, folder: str, tasks: int | None = None) -> DataFrame:
+    """Bring the rows of a partition folder together before they are written.
+
+    A folder then gets few files. By default Spark sizes the tasks: it splits a
+    folder that is large and joins small ones. For inputs of known small size,
+    ``tasks`` keeps the writing of many tiny folders parallel.
+    """
+    if tasks is None:
+        return rows.hint("rebalance", F.col(folder))
+    return rows.repartition(tasks, folder)

@@ -27,9 +27,10 @@ from tidestar.operators import (
     build_fact_orders,
     delete_facts,
     dim_date_upsert,
+    keyed_join,
     scd2_changes,
 )
-from tidestar.plans.star import dedup_feeds
+from tidestar.plans.star import dedup_feeds, gather_by, heavy_sources
 from tidestar.schemas import ID, NTZ, STAR_TABLES, star_schema
 
 DIMENSIONS = {d.table: d for d in (CUSTOMER, PRODUCT)}
@@ -51,10 +52,11 @@ class Warehouse:
         *,
         id_type: T.DataType = ID,
         fact_unit: str = DAY,
+        fact_tasks: int | None = None,
         skew: SkewPolicy | None = None,
     ) -> None:
         self.spark, self.root, self.id_type = spark, root.rstrip("/"), id_type
-        self.fact_unit, self.skew = fact_unit, skew
+        self.fact_unit, self.fact_tasks, self.skew = fact_unit, fact_tasks, skew
 
     # ---- tables -------------------------------------------------------
 
@@ -88,7 +90,7 @@ class Warehouse:
         """Make the folders of all tables; those that exist are left alone."""
         for table in (*STAR_TABLES, "fact_deletes", "failed_files", "commits"):
             empty = self.spark.createDataFrame([], self.schema(table))
-            empty.write.mode("ignore").partitionBy("_batch_id").parquet(self.path(table))
+            empty.coalesce(1).write.mode("ignore").partitionBy("_batch_id").parquet(self.path(table))
 
     def _scan(self, table: str, merge_schema: bool = False) -> DataFrame:
         reader = self.spark.read
@@ -148,7 +150,7 @@ class Warehouse:
         """Facts at a version or time, without those deleted by then."""
         rows = self._committed("fact_orders", version, as_of, merge_schema=merge_schema)
         deletes = self._committed("fact_deletes", version, as_of)
-        return delete_facts(rows, deletes, batch_col="_batch_id", skew=self.skew)
+        return delete_facts(rows, deletes, batch_col="_batch_id")
 
     def dates(self, version: int | None = None) -> DataFrame:
         return self._committed("dim_date", version).drop("_batch_id")
@@ -172,7 +174,8 @@ class Warehouse:
         where its size allows, and the log is then not shuffled.
         """
         dim = DIMENSIONS[table]
-        log = self._committed(table, before, writing=writing).join(wanted, dim.natural_id, "left_semi")
+        log = self._committed(table, before, writing=writing)
+        log = keyed_join(log, wanted, dim.natural_id, "left_semi", skew=self.skew)
         return self._versions(log, dim).where("is_current").select(*dim.columns, "opened_in")
 
     # ---- writing ------------------------------------------------------
@@ -187,15 +190,12 @@ class Warehouse:
         return self._put(rows.withColumn("opened_in", opened_in.cast("bigint")), table, batch_id)
 
     def write_facts(self, facts: DataFrame, batch_id: int) -> int:
-        """Facts in one folder per day (or month) of the order.
-
-        Rows of a day are brought together, over several tasks where a day is
-        large, so that a day gives few files and no task writes all of it.
-        """
+        """Facts in one folder per day (or month) of the order."""
         placed = facts.withColumn(
             self.fact_folder, F.date_format("order_timestamp", _FORMATS[self.fact_unit]),
         )
-        return self._put(placed.hint("rebalance", F.col(self.fact_folder)), "fact_orders", batch_id, self.fact_folder)
+        placed = gather_by(placed, self.fact_folder, self.fact_tasks)
+        return self._put(placed, "fact_orders", batch_id, self.fact_folder)
 
     def delete_from_fact(self, orders: DataFrame, batch_id: int, committed_at: Column) -> None:
         """Hard-delete the facts of the orders in ``orders.order_id`` as of a batch."""
@@ -256,7 +256,7 @@ class Warehouse:
         }
         facts = build_fact_orders(
             won["orders"], won["order_items"], known["dim_customer"], known["dim_product"],
-            id_type=self.id_type, drop_deleted=drop_deleted, skew=self.skew,
+            id_type=self.id_type, drop_deleted=drop_deleted, skew=self.skew, raw=heavy_sources(feeds),
         )
         rows["fact_orders"] = self.write_facts(facts, batch_id)
         if hard_delete:

@@ -23,6 +23,8 @@ def build_session(app: str = "tidestar", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "static",
+        # Call sites of every column expression double the time to build a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.parquet.compression.codec": "snappy",
         **conf,
     }

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Change times of the three batches, and the creation time.
 INSERTED_AT = "2024-01-01 00:00:00"
@@ -35,8 +36,15 @@ def at(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A sample table. Its schema is read from a footer once, not at every use."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _explode_changes(rows: DataFrame, columns: list[str], update: Column, changed: dict[str, Column], delete: Column) -> DataFrame:
@@ -123,10 +131,13 @@ def order_items_feed(spark: SparkSession, sf_dir: str, returnflag: str | None =
     )
 
 
+FEEDS = {
+    "customers": customers_feed,
+    "products": products_feed,
+    "orders": orders_feed,
+    "order_items": order_items_feed,
+}
+
+
 def sample_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "customers": customers_feed(spark, sf_dir),
-        "products": products_feed(spark, sf_dir),
-        "orders": orders_feed(spark, sf_dir),
-        "order_items": order_items_feed(spark, sf_dir),
-    }
+    return {table: feed(spark, sf_dir) for table, feed in FEEDS.items()}

@@ -49,6 +49,18 @@ def skew_policy(spark: SparkSession, sf_dir: str) -> SkewPolicy | None:
     return once(spark, sf_dir, "skew", decide)
 
 
+def fact_tasks(spark: SparkSession, sf_dir: str) -> int | None:
+    """A fixed number of write tasks for small inputs; Spark decides for large ones."""
+    return spark.sparkContext.defaultParallelism if skew_policy(spark, sf_dir) is None else None
+
+
+def new_warehouse(spark: SparkSession, sf_dir: str, label: str) -> Warehouse:
+    return Warehouse(
+        spark, scratch_dir(spark, label), id_type=WIDE_ID, fact_unit=MONTH,
+        fact_tasks=fact_tasks(spark, sf_dir), skew=skew_policy(spark, sf_dir),
+    )
+
+
 def literal_star(spark: SparkSession, sf_dir: str) -> StarBatch:
     """The whole feed as one batch. The sample feeds have no missing times."""
     return transform_star(
@@ -91,9 +103,7 @@ def versioned(spark: SparkSession, sf_dir: str) -> Warehouse:
     """A warehouse after the three batches."""
 
     def write() -> Warehouse:
-        warehouse = Warehouse(
-            spark, scratch_dir(spark, "versions"), id_type=WIDE_ID, fact_unit=MONTH, skew=skew_policy(spark, sf_dir),
-        )
+        warehouse = new_warehouse(spark, sf_dir, "versions")
         warehouse.create_tables()
         times = (sf.INSERTED_AT, sf.UPDATED_AT, sf.DELETED_AT)
         for batch_id, (feeds, when) in enumerate(zip(batches(spark, sf_dir), times, strict=True)):
@@ -141,7 +151,7 @@ def catalog_database(spark: SparkSession, sf_dir: str) -> str:
         catalog.ensure_database(spark, database, f"{root}/{database}")
         for _ in range(2):  # the second call finds everything in place
             catalog.create_star_tables(spark, database, root, id_type=WIDE_ID)
-        catalog.append_star_tables(spark, database, gold(spark, sf_dir))
+        catalog.append_star_tables(spark, database, gold(spark, sf_dir), fact_tasks=fact_tasks(spark, sf_dir))
         return database
 
     return once(spark, sf_dir, "catalog", write)

@@ -13,7 +13,6 @@ from tidestar import functions as fn
 from tidestar import operators as op
 from tidestar.plans import analytics, catalog, quality
 from tidestar.plans.star import row_counts
-from tidestar.plans.warehouse import MONTH, Warehouse
 from tidestar.schemas import SOURCE_TABLES, STAR_TABLES, WIDE_ID, feed_schema
 from tidestar.session import scratch_dir
 from tidestar.sources import files, synth
@@ -39,8 +38,10 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _won(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    feed = sf.sample_feed(spark, sf_dir)[table]
-    return op.dedup_changes(feed, seq=sf.ARRIVAL[table], null_timestamps=op.has_null_timestamps(feed))
+    """Winning changes. Only item changes take their times from a table, so only those are probed for nulls."""
+    feed = sf.FEEDS[table](spark, sf_dir)
+    probe = table == "order_items" and op.has_null_timestamps(feed)
+    return op.dedup_changes(feed, seq=sf.ARRIVAL[table], null_timestamps=probe)
 
 
 # ---- sources, ingest, sinks, tables ------------------------------------
@@ -162,9 +163,7 @@ def route_by_table(spark, sf_dir):
 def process_batch(spark, sf_dir):
     """Landing files through the stream into a warehouse, then its row counts and revenue."""
     root = fx.landing(spark, sf_dir)
-    warehouse = Warehouse(
-        spark, scratch_dir(spark, "stream"), id_type=WIDE_ID, fact_unit=MONTH, skew=fx.skew_policy(spark, sf_dir),
-    )
+    warehouse = fx.new_warehouse(spark, sf_dir, "stream")
     stream = micro_batch.start(
         warehouse, f"{root}/{files.RAW_PREFIX}", root, clock=lambda _: sf.at(fx.BATCH_AT), arrival=sf.ARRIVAL,
     )
@@ -245,7 +244,7 @@ def verify_tables(spark, sf_dir):
 def delete_from_fact(spark, sf_dir):
     """Facts left after a hard delete of all orders of status P."""
     gone = sf.orders_feed(spark, sf_dir).where("status = 'P'").select(F.col("id").alias("order_id"))
-    return op.delete_facts(fx.gold(spark, sf_dir)["fact_orders"], gone, skew=fx.skew_policy(spark, sf_dir))
+    return op.delete_facts(fx.gold(spark, sf_dir)["fact_orders"], gone)
 
 
 @query
@@ -458,13 +457,18 @@ def _fact_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
 
 @query
 def build_fact_orders(spark, sf_dir):
-    return op.build_fact_orders(*_fact_inputs(spark, sf_dir), id_type=WIDE_ID, skew=fx.skew_policy(spark, sf_dir))
+    return op.build_fact_orders(
+        *_fact_inputs(spark, sf_dir), id_type=WIDE_ID,
+        skew=fx.skew_policy(spark, sf_dir), raw=sf.sample_feed(spark, sf_dir),
+    )
 
 
 @query
 def build_fact_orders_salted(spark, sf_dir):
     """The same facts through the salted joins that large inputs take."""
-    return op.build_fact_orders(*_fact_inputs(spark, sf_dir), id_type=WIDE_ID, skew=op.SkewPolicy(salt=16))
+    return op.build_fact_orders(
+        *_fact_inputs(spark, sf_dir), id_type=WIDE_ID, skew=op.SkewPolicy(salt=16), raw=sf.sample_feed(spark, sf_dir),
+    )
 
 
 @query
@@ -472,7 +476,8 @@ def fact_rejects(spark, sf_dir):
     """Rejected items where the orders of status O are missing as well."""
     orders, items, customers, products = _fact_inputs(spark, sf_dir)
     return op.fact_rejects(
-        orders.where("status <> 'O'"), items, customers, products, id_type=WIDE_ID, skew=fx.skew_policy(spark, sf_dir),
+        orders.where("status <> 'O'"), items, customers, products, id_type=WIDE_ID,
+        skew=fx.skew_policy(spark, sf_dir), raw=sf.sample_feed(spark, sf_dir),
     )
 
 
@@ -485,7 +490,7 @@ def transform_star(spark, sf_dir):
 def _merged(spark: SparkSession, sf_dir: str, dim: op.Dimension, feed: str, until: int = 3) -> DataFrame:
     """A dimension after the first batches (inserts, updates, deletes)."""
     build = {"dim_customer": op.build_dim_customer, "dim_product": op.build_dim_product}[dim.table]
-    changes = sf.sample_feed(spark, sf_dir)[feed]
+    changes = sf.FEEDS[feed](spark, sf_dir)
     state = None
     for code, when in (("I", sf.INSERTED_AT), ("U", sf.UPDATED_AT), ("D", sf.DELETED_AT))[:until]:
         won = op.dedup_changes(changes.where(F.col("Op") == code), seq=sf.ARRIVAL[feed], null_timestamps=False)
@@ -561,7 +566,7 @@ def q_row_counts(spark, sf_dir):
 
 @query
 def q_star_join_top20(spark, sf_dir):
-    return analytics.q_star_join_top20(fx.gold(spark, sf_dir), skew=fx.skew_policy(spark, sf_dir))
+    return analytics.q_star_join_top20(fx.gold(spark, sf_dir))
 
 
 @query
@@ -586,7 +591,7 @@ def q_quarter_category(spark, sf_dir):
 
 @query
 def q_category_totals(spark, sf_dir):
-    return analytics.q_category_totals(fx.gold(spark, sf_dir), skew=fx.skew_policy(spark, sf_dir))
+    return analytics.q_category_totals(fx.gold(spark, sf_dir))
 
 
 @query
@@ -596,7 +601,7 @@ def q_top5_spend(spark, sf_dir):
 
 @query
 def q_first_customer_history(spark, sf_dir):
-    return analytics.q_first_customer_history(fx.gold(spark, sf_dir), skew=fx.skew_policy(spark, sf_dir))
+    return analytics.q_first_customer_history(fx.gold(spark, sf_dir))
 
 
 @query
