@@ -20,7 +20,8 @@ def discover_files(
 ) -> DataFrame:
     """Files below a prefix that are not in the ledger, oldest first.
 
-    Only names, sizes and times are listed; no file is opened.
+    Only names, sizes and times are listed; no file is opened. Files of no bytes
+    are not listed, as by every Spark file source.
     """
     files = (
         spark.read.format("binaryFile")
