@@ -143,3 +143,41 @@ def test_arrival_order_of_files(spark, root):
     w = Warehouse(spark, f"{root}/gold")
     run(w, root)
     assert rows(w.dimension("dim_customer"), "name") == [("first",)]
+
+
+def test_other_physical_types_are_converted_not_skipped(spark, root):
+    """Ids as long, text and int, a time with a zone, a column that is missing and one that is new."""
+    feeds = first(spark)
+    land({
+        "customers": feeds["customers"].drop("country").withColumn("id", F.col("id").cast("bigint")).withColumn(
+            "Timestamp", F.col("Timestamp").cast("timestamp")),
+        "products": feeds["products"].withColumn("id", F.col("id").cast("string")).withColumn("price", F.lit("9.99")),
+        "orders": feeds["orders"].withColumn("channel", F.lit("web")),
+        "order_items": feeds["order_items"].withColumn("id", F.col("id").cast("bigint")),
+    }, root)
+    land({"order_items": feeds["order_items"].withColumn("id", F.col("id") + 1)}, root)  # int beside long
+    w = Warehouse(spark, f"{root}/gold", fact_tasks=2)
+    run(w, root)
+    assert rows(w.dimension("dim_customer"), "customer_id", "country") == [(1, None), (2, None)]
+    assert [(r["product_id"], str(r["unit_price"])) for r in w.dimension("dim_product").collect()] == [(100, "9.99")]
+    assert w.facts().count() == 2
+    assert w.failed_files().isEmpty()
+
+
+def test_damaged_content_is_reported(spark, root):
+    feeds = first(spark)
+    land(feeds, root)
+    good = fd.customers(spark, *[("I", n, f"n{n}", "x", 0) for n in range(50, 60)])
+    good.coalesce(1).write.option("compression", "none").mode("append").parquet(f"{root}/dms-source/public/customers")
+    folder = f"{local(root)}/dms-source/public/customers"
+    name = max((f"{folder}/{n}" for n in os.listdir(folder) if n.endswith(".parquet")), key=os.path.getmtime)
+    with open(name, "r+b") as file:
+        file.seek(4)
+        file.write(b"\xff" * 60)
+    for crc in (n for n in os.listdir(folder) if n.endswith(".crc")):
+        os.remove(f"{folder}/{crc}")
+    w = Warehouse(spark, f"{root}/gold", fact_tasks=2)
+    run(w, root)
+    assert rows(w.dimension("dim_customer"), "customer_id") == [(1,), (2,)]
+    assert [(os.path.basename(r["path"]), r["lost_rows"]) for r in w.failed_files().collect()] == [(os.path.basename(name), 10)]
+    assert w.facts().count() == 1

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidestar import operators as op
+from tidestar.plans import analytics
 from tidestar.plans.star import transform_star
 
 NOW = dt.datetime(2024, 7, 1)
@@ -284,3 +285,20 @@ def test_fact_deletes(spark):
     gone = spark.createDataFrame([(1, 1), (3, 0)], "order_id int, _batch_id bigint")
     assert rows(op.delete_facts(facts, gone), "order_id", "_batch_id") == [(2, 0)]
     assert rows(op.delete_facts(facts, gone, batch_col="_batch_id"), "order_id", "_batch_id") == [(1, 2), (2, 0), (3, 1)]
+
+
+@pytest.mark.parametrize("orphans", [0, 60])
+def test_top_facts_beyond_the_pool(spark, orphans):
+    """Where the largest facts lack partners, the result comes from all facts; repeated dimension rows count."""
+    star = transform_star(spark, {
+        "customers": fd.customers(spark, ("I", 1, "a", "x", 0)),
+        "products": fd.products(spark, ("I", 100, "p", "1.00", 0), ("I", 200, "q", "1.00", 0)),
+        "orders": fd.orders(spark, ("I", 10, 1, DAY, 0)),
+        "order_items": fd.items(spark, *[("I", n, 10, 200 if n > 100 - orphans else 100, n, "1.00", 0) for n in range(1, 101)]),
+    }, fd.ARRIVAL, F.lit(NOW)).tables()
+    if orphans:
+        star["dim_product"] = star["dim_product"].where("product_id = 100")
+    star["dim_product"] = star["dim_product"].unionAll(star["dim_product"])
+    got = analytics.q_star_join_top20(star, n=5, pool=10).select("quantity").collect()
+    top = 100 - orphans
+    assert [r[0] for r in got] == [top, top, top - 1, top - 1, top - 2]

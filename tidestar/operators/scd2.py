@@ -104,13 +104,9 @@ def scd2_history(
     by_key = Window.partitionBy(key).orderBy("_slot")
     following = firsts.select(key, "_slot", F.lead("_first").over(by_key).alias("_following"))
 
-    others = [c for c in feed.columns if c not in (key, ts_col)]
-    order = F.struct((-op_priority(F.col("Op"))).alias("_rank"), *[F.col(c) for c in seq])
-    versions = (
-        versions_of.groupBy(key, ts_col).agg(F.min_by(F.struct(*others), order).alias("_row"))
-        .select(key, ts_col, "_row.*")
-        .withColumn("_slot", slot)
-    )
+    # One winner per key and instant; Spark cuts each task to one row per group before the shuffle.
+    best = Window.partitionBy(key, ts_col).orderBy(op_priority(F.col("Op")).desc(), *[F.col(c).asc() for c in seq])
+    versions = versions_of.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").drop("_rn").withColumn("_slot", slot)
     within = Window.partitionBy(key, "_slot").orderBy(ts_col)
     chained = versions.withColumn("_next", F.lead(ts_col).over(within)).join(following, [key, "_slot"])
     deleted = F.coalesce(F.col("Op") == "D", F.lit(False))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidestar.plans.star import row_counts
 from tidestar.schemas import STAR_TABLES
+from tidestar.session import checkpoint_root
 
 Star = dict[str, DataFrame]
 TOTAL = "decimal(22,2)"
@@ -35,27 +36,49 @@ def q_row_counts(star: Star) -> DataFrame:
     return row_counts({table: star[table] for table in STAR_TABLES})
 
 
-def q_star_join_top20(star: Star, n: int = 20) -> DataFrame:
+def _partners(star: Star) -> list[tuple[str, DataFrame]]:
+    """The keys a fact must find, each with the rows it may find them in."""
+    return [
+        ("date_sk", star["dim_date"]),
+        ("customer_key", star["dim_customer"].where("is_current")),
+        ("product_key", star["dim_product"]),
+    ]
+
+
+def q_star_join_top20(star: Star, n: int = 20, pool: int = 1000) -> DataFrame:
     """The largest facts with customer, product and date.
 
     Every fact that finds its partners gives at least one row, so the first
-    ``n`` such facts hold the whole result. They are found with semi-joins on
-    the keys, and only they are joined with the wide dimension columns.
+    ``n`` such facts hold the whole result, and only they are joined with the
+    wide dimension columns.
+
+    Those ``n`` are nearly always among the ``pool`` largest facts, which one
+    pass finds without a shuffle. Where they are not, since too many of the
+    largest facts lack a partner, all facts are reduced by semi-joins instead.
     """
+    order = [F.col("total_amount").desc(), F.col("order_sk"), F.col("quantity"), F.col("unit_price")]
     facts = star["fact_orders"]
-    for key, rows in (
-        ("date_sk", star["dim_date"]),
-        ("customer_key", _current(star, "dim_customer", "customer_key")),
-        ("product_key", star["dim_product"]),
+    checkpoint_root(facts.sparkSession)
+    largest = facts.orderBy(*order).limit(pool).checkpoint()
+    matched = largest
+    for key, rows in _partners(star):
+        # At most ``pool`` keys on either side that is broadcast.
+        wanted = F.broadcast(largest.select(key))
+        found = F.broadcast(rows.select(key).join(wanted, key, "left_semi").distinct())
+        matched = matched.join(found, key, "left_semi")
+    if largest.count() == pool and matched.limit(n).count() < n:
+        matched = facts
+        for key, rows in _partners(star):
+            matched = matched.join(rows.select(key), key, "left_semi")
+
+    # After each join the first n rows hold the result of the next one, and n rows are broadcast.
+    top = matched.orderBy(*order).limit(n)
+    for (key, rows), columns in zip(
+        _partners(star), (["full_date", "day_of_week"], ["name", "email", "city"], ["product_name", "category"]), strict=True,
     ):
-        facts = facts.join(rows.select(key), key, "left_semi")
-    order = [F.col("total_amount").desc(), F.col("order_sk"), F.col("quantity"), F.col("unit_price")]
-    top = F.broadcast(facts.orderBy(*order).limit(n))  # n rows
-    customers = _current(star, "dim_customer", "customer_key", "name", "email", "city")
-    products = star["dim_product"].select("product_key", "product_name", "category")
-    dates = star["dim_date"].select("date_sk", "full_date", "day_of_week")
-    found = F.broadcast(F.broadcast(top.join(customers, "customer_key")).join(products, "product_key")).join(dates, "date_sk")
-    return found.orderBy(*order, "product_name", "category").limit(n).select(
+        order += [F.col(c) for c in columns]
+        top = F.broadcast(top).join(rows.select(key, *columns), key).orderBy(*order).limit(n)
+    return top.select(
         F.col("name").alias("customer_name"),
         F.col("email").alias("customer_email"),
         F.col("city").alias("customer_city"),

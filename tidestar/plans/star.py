@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,16 +70,22 @@ def dedup_feeds(
     arrival: dict[str, tuple[str, ...]],
     *,
     id_type: T.DataType = ID,
-    null_timestamps: bool = True,
+    null_timestamps: bool | Collection[str] = True,
 ) -> dict[str, DataFrame]:
-    """Winning changes of the four source tables; a missing feed counts as empty."""
+    """Winning changes of the four source tables; a missing feed counts as empty.
+
+    ``null_timestamps`` may name the tables whose changes can lack a time.
+    """
+    timeless = null_timestamps
+    if isinstance(null_timestamps, bool):
+        timeless = SOURCE_TABLES if null_timestamps else ()
     winners = {}
     for table in SOURCE_TABLES:
         feed = feeds.get(table)
         if feed is None:
             winners[table] = empty_feed(spark, table, id_type)
         else:
-            winners[table] = dedup_changes(feed, seq=arrival[table], null_timestamps=null_timestamps)
+            winners[table] = dedup_changes(feed, seq=arrival[table], null_timestamps=table in timeless)
     return winners
 
 
@@ -94,7 +101,7 @@ def transform_star(
     batch_ts: Column,
     *,
     id_type: T.DataType = ID,
-    null_timestamps: bool = True,
+    null_timestamps: bool | Collection[str] = True,
     drop_deleted: bool = False,
     skew: SkewPolicy | None = None,
 ) -> StarBatch:

@@ -12,10 +12,13 @@ of the dimension.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidestar.functions.convert import to_int_safe
 from tidestar.operators import (
     CUSTOMER,
     PRODUCT,
@@ -74,7 +77,7 @@ class Warehouse:
             fields = [T.StructField("table_name", T.StringType()), T.StructField("batch_id", T.LongType()),
                       T.StructField("committed_at", NTZ), T.StructField("rows", T.LongType())]
         elif table == "failed_files":
-            fields = [T.StructField("path", T.StringType()), T.StructField("length", T.LongType())]
+            fields = [T.StructField("path", T.StringType()), T.StructField("lost_rows", T.LongType())]
         elif table == "fact_deletes":
             fields = [T.StructField("order_id", self.id_type)]
         else:
@@ -180,10 +183,18 @@ class Warehouse:
 
     # ---- writing ------------------------------------------------------
 
-    def _write_dimension(self, table: str, changes: DataFrame, batch_id: int, batch_ts: Column) -> int:
+    def _ids(self, feed: DataFrame | None, column: str, name: str) -> DataFrame:
+        """Distinct ids that a feed mentions, before dedup: one narrow column is all this reads."""
+        if feed is None:
+            return self.spark.createDataFrame([], T.StructType([T.StructField(name, self.id_type)]))
+        return feed.select(to_int_safe(F.col(column), feed.schema[column].dataType, self.id_type).alias(name)).distinct()
+
+    def _write_dimension(
+        self, table: str, feed: DataFrame | None, changes: DataFrame, batch_id: int, batch_ts: Column,
+    ) -> int:
         dim = DIMENSIONS[table]
         batch = BUILDERS[table](changes, batch_ts, self.id_type)
-        wanted = batch.select(dim.natural_id).distinct()
+        wanted = self._ids(feed, "id", dim.natural_id)
         current = self.current_rows(table, wanted, before=batch_id - 1)
         rows = scd2_changes(current, batch, dim, batch_ts)
         opened_in = F.when(F.col("event") == "open", F.lit(batch_id)).otherwise(F.col("opened_in"))
@@ -203,8 +214,11 @@ class Warehouse:
         self._commit({"fact_deletes": rows}, batch_id, committed_at)
 
     def write_failed_files(self, failed: DataFrame, batch_id: int) -> None:
-        """Note the files a batch could not read, so that none is lost from sight."""
-        self._put(failed.select("path", "length"), "failed_files", batch_id)
+        """Note the files a batch could not read, so that none is lost from sight.
+
+        ``lost_rows`` is null where not even the footer could be read.
+        """
+        self._put(failed.select("path", F.col("lost_rows").cast("bigint").alias("lost_rows")), "failed_files", batch_id)
 
     def failed_files(self) -> DataFrame:
         return self._scan("failed_files")
@@ -226,7 +240,7 @@ class Warehouse:
         batch_id: int,
         batch_ts: Column,
         *,
-        null_timestamps: bool = True,
+        null_timestamps: bool | Collection[str] = True,
         drop_deleted: bool = False,
         hard_delete: bool = False,
     ) -> dict[str, int]:
@@ -241,17 +255,18 @@ class Warehouse:
             self.spark, feeds, arrival, id_type=self.id_type, null_timestamps=null_timestamps,
         )
         rows = {
-            table: self._write_dimension(table, won[feed], batch_id, batch_ts) for table, feed in FEEDS.items()
+            table: self._write_dimension(table, feeds.get(feed), won[feed], batch_id, batch_ts)
+            for table, feed in FEEDS.items()
         }
         dates = dim_date_upsert(self.dates(batch_id - 1), build_dim_date(won["orders"]))
         rows["dim_date"] = self._put(dates, "dim_date", batch_id)
 
         asked = {
-            "dim_customer": won["orders"].select(F.col("customer_id").cast(self.id_type).alias("customer_id")),
-            "dim_product": won["order_items"].select(F.col("product_id").cast(self.id_type).alias("product_id")),
+            "dim_customer": self._ids(feeds.get("orders"), "customer_id", "customer_id"),
+            "dim_product": self._ids(feeds.get("order_items"), "product_id", "product_id"),
         }
         known = {
-            table: self.current_rows(table, ids.distinct(), writing=batch_id, before=batch_id)
+            table: self.current_rows(table, ids, writing=batch_id, before=batch_id)
             for table, ids in asked.items()
         }
         facts = build_fact_orders(

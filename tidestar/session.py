@@ -40,11 +40,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     and the name is put into the session so that later calls agree.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = "file:" + tempfile.mkdtemp(prefix="tidestar-")
-        spark.sparkContext.setCheckpointDir(root)
+        root = context.getCheckpointDir() or "file:" + tempfile.mkdtemp(prefix="tidestar-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidestar.schemas import ID, feed_schema
+from tidestar.functions.convert import to_timestamp_safe
+from tidestar.schemas import ID, WIDE_ID, feed_schema
 
 # Where the change files of a table lie below the landing folder.
 RAW_PREFIX = "dms-source"
@@ -99,6 +100,16 @@ def route_by_table(rows: DataFrame, table: str, root: str, path_col: str = "_met
     return rows.where(table_of_key(object_key(F.col(path_col), root)) == table)
 
 
+def _merged_schema(reader: DataFrameReader, paths: list[str]) -> T.StructType | None:
+    """The schema the footers agree on, or None where they do not."""
+    try:
+        return reader.option("mergeSchema", "true").option("ignoreCorruptFiles", "true").parquet(*paths).schema
+    except Exception as error:
+        if "CANNOT_MERGE_SCHEMAS" in str(error):
+            return None
+        raise
+
+
 def read_cdc_parquet(
     spark: SparkSession,
     paths: str | list[str],
@@ -106,32 +117,44 @@ def read_cdc_parquet(
     *,
     id_type: T.DataType = ID,
     ts_col: str = "Timestamp",
+    declared: bool = True,
     skip_corrupt: bool = False,
     glob: str = PARQUET_GLOB,
     arrival: bool = False,
 ) -> DataFrame:
     """Changes of one table, any codec. ``ts_col`` is renamed to ``Timestamp``.
 
-    With ``skip_corrupt`` unreadable files are left out, see
-    :func:`failed_files`. With ``arrival`` the columns ``_file_time``,
-    ``_file`` and ``_row`` tell the order of arrival.
+    ``declared`` reads with the declared schema. Otherwise the footers tell the
+    schema: columns keep the type they were written with, for the safe
+    conversions to work on, absent ones are null. Files that do not agree are
+    read with wide ids.
+
+    ``skip_corrupt`` leaves out what cannot be read. To Spark that includes a
+    column of another type than asked for, so use it on files that were checked
+    (:func:`failed_files`, :func:`damaged_files`). With ``arrival`` the columns
+    ``_file_time``, ``_file`` and ``_row`` tell the order of arrival.
     """
-    reader = (
-        spark.read.schema(feed_schema(table, id_type, ts_col))
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-    )
-    if skip_corrupt:
-        reader = reader.option("ignoreCorruptFiles", "true")
-    rows = reader.parquet(*([paths] if isinstance(paths, str) else paths))
+    paths = [paths] if isinstance(paths, str) else paths
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    schema = feed_schema(table, id_type, ts_col) if declared else _merged_schema(reader, paths)
+    if schema is None:
+        schema = feed_schema(table, WIDE_ID, ts_col)
+    reader = reader.schema(schema).option("ignoreCorruptFiles", str(skip_corrupt).lower()).option("mergeSchema", "false")
+    rows = reader.parquet(*paths)
+    columns = [F.col(f"`{c}`") for c in schema.fieldNames() if c != ts_col]
+    absent = [f for f in feed_schema(table, id_type, ts_col).fields if f.name not in schema.fieldNames() and f.name != ts_col]
+    columns += [F.lit(None).cast(f.dataType).alias(f.name) for f in absent]
+    if ts_col in schema.fieldNames():
+        columns.append(to_timestamp_safe(F.col(ts_col), schema[ts_col].dataType).alias("Timestamp"))
+    else:
+        columns.append(F.lit(None).cast("timestamp_ntz").alias("Timestamp"))
     if arrival:
-        rows = rows.select(
-            "*",
+        columns += [
             F.col("_metadata.file_modification_time").alias("_file_time"),
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.row_index").alias("_row"),
-        )
-    return rows if ts_col == "Timestamp" else rows.withColumnRenamed(ts_col, "Timestamp")
+        ]
+    return rows.select(*columns)
 
 
 ARRIVAL = ("_file_time", "_file", "_row")
@@ -154,7 +177,8 @@ def failed_files(spark: SparkSession, prefix: str | list[str], *, glob: str = PA
         .select(_plain_path(F.col("_metadata.file_path")).alias("path"))
         .distinct()
     )
-    silent = files.withColumn("path", _plain_path(F.col("path"))).join(seen, "path", "left_anti")
+    files = files.withColumn("plain", _plain_path(F.col("path")))
+    silent = files.join(seen.select(F.col("path").alias("plain")), "plain", "left_anti")
     small = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -164,7 +188,25 @@ def failed_files(spark: SparkSession, prefix: str | list[str], *, glob: str = PA
         .select(_plain_path(F.col("path")).alias("path"), _only_footer(F.col("content"), F.col("length")).alias("_empty"))
         .where("_empty")
     )
-    return silent.join(small.select("path"), "path", "left_anti")
+    return silent.join(small.select(F.col("path").alias("plain")), "plain", "left_anti").drop("plain")
+
+
+def damaged_files(read: DataFrame, spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files of which some rows cannot be read, and how many.
+
+    ``read`` is the frame of those files with what cannot be read left out, and
+    with their ``_file``. The footers tell how many rows there should be. This
+    reads all columns of the files once; it is meant for the batch that failed.
+    """
+    told = (
+        spark.read.schema("Op string").option("ignoreCorruptFiles", "true").parquet(*paths)
+        .groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("told"))
+    )
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in read.columns if not c.startswith("_")])
+    # Counted by value: a plain count would look at the footers again and read no column.
+    got = read.groupBy("_file").agg((F.count_if(whole == 0) + F.count_if(whole != 0)).alias("got"))
+    lost = F.col("told") - F.coalesce("got", F.lit(0))
+    return told.join(got, "_file", "left").select(F.col("_file").alias("path"), lost.alias("lost_rows")).where("lost_rows > 0")
 
 
 def _plain_path(path: Column) -> Column:

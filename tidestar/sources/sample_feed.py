@@ -48,21 +48,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _explode_changes(rows: DataFrame, columns: list[str], update: Column, changed: dict[str, Column], delete: Column) -> DataFrame:
-    """Insert, update and delete rows from one scan of the table."""
-
-    def change(op: str, when: str, values: dict[str, Column]) -> Column:
-        return F.struct(
-            F.lit(op).alias("Op"),
-            *[values.get(c, F.col(c)).alias(c) for c in columns],
-            at(when).alias("Timestamp"),
-        )
-
-    changes = F.array(
-        change("I", INSERTED_AT, {}),
-        F.when(update, change("U", UPDATED_AT, changed)),
-        F.when(delete, change("D", DELETED_AT, {})),
+    """Insert, update and delete rows from one scan of the table.
+
+    Only the operation is exploded; the other columns are taken after that, so
+    a query that needs few of them reads few of them.
+    """
+    op = F.explode(F.array_compact(F.array(F.lit("I"), F.when(update, "U"), F.when(delete, "D"))))
+    times = F.when(F.col("Op") == "I", at(INSERTED_AT)).when(F.col("Op") == "U", at(UPDATED_AT)).otherwise(at(DELETED_AT))
+    values = {c: F.when(F.col("Op") == "U", new).otherwise(F.col(c)) for c, new in changed.items()}
+    return rows.select("*", op.alias("Op")).select(
+        "Op", *[values.get(c, F.col(c)).alias(c) for c in columns], times.alias("Timestamp"),
     )
-    return rows.select(F.explode(F.array_compact(changes)).alias("_c")).select("_c.*")
 
 
 def customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from tidestar.schemas import ID, SOURCE_TABLES, union_feed_schema
 from tidestar.sources.files import (
     ARRIVAL,
     PARQUET_GLOB,
+    damaged_files,
     failed_files,
     object_key,
     read_cdc_parquet,
@@ -29,6 +30,8 @@ from tidestar.sources.files import (
 
 MAX_FILES = 10_000
 
+FAILED = "path string, lost_rows bigint"
+
 # The columns of Spark's binaryFile source.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -89,21 +92,46 @@ def process_batch(
         new = {table: paths for table, paths in _new_files(files).items() if table in SOURCE_TABLES}
         if not new:
             return
+        unreadable: dict[str, None] = {}
         if skip_corrupt:
             every = [path for paths in new.values() for path in paths]
-            warehouse.write_failed_files(failed_files(spark, every), batch_id)
-        feeds = {
-            table: read_cdc_parquet(
-                spark, paths, table, id_type=warehouse.id_type, ts_col=ts_col, skip_corrupt=skip_corrupt, arrival=True,
+            found = failed_files(spark, every).select("path").collect()  # at most max_files rows
+            unreadable = {row["path"]: None for row in found}
+        readable = {table: [p for p in paths if p not in unreadable] for table, paths in new.items()}
+        readable = {table: paths for table, paths in readable.items() if paths}
+
+        def feeds(leave_out: bool) -> dict[str, DataFrame]:
+            return {
+                table: read_cdc_parquet(
+                    spark, paths, table, id_type=warehouse.id_type, ts_col=ts_col, declared=False,
+                    skip_corrupt=leave_out, arrival=True,
+                )
+                for table, paths in readable.items()
+            }
+
+        def write(frames: dict[str, DataFrame]) -> None:
+            warehouse.write_batch(
+                frames, arrival or {table: ARRIVAL for table in SOURCE_TABLES}, batch_id, stamp,
+                null_timestamps={table for table, feed in frames.items() if has_null_timestamps(feed)},
+                drop_deleted=drop_deleted, hard_delete=hard_delete,
             )
-            for table, paths in new.items()
-        }
-        warehouse.write_batch(
-            feeds, arrival or {table: ARRIVAL for table in SOURCE_TABLES}, batch_id,
-            clock(batch_id) if clock else F.lit(_now(spark)),
-            null_timestamps=any(has_null_timestamps(feed) for feed in feeds.values()),
-            drop_deleted=drop_deleted, hard_delete=hard_delete,
-        )
+
+        stamp = clock(batch_id) if clock else F.lit(_now(spark))
+        failed = spark.createDataFrame([(path, None) for path in unreadable], FAILED)
+        warehouse.write_failed_files(failed, batch_id)
+        if not readable:
+            return
+        try:
+            write(feeds(leave_out=False))
+        except Exception as error:
+            if not skip_corrupt or "FAILED_READ_FILE" not in str(error):
+                raise
+            # Some file has a good footer and bad content: tell which, and take what can be read.
+            frames = feeds(leave_out=True)
+            for table, paths in readable.items():
+                failed = failed.unionByName(damaged_files(frames[table], spark, paths))
+            warehouse.write_failed_files(failed, batch_id)
+            write(frames)
 
     return run
 

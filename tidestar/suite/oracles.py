@@ -330,7 +330,7 @@ def oracle_sql() -> dict[str, str]:
   SELECT c.name AS customer_name, c.email AS customer_email, c.city AS customer_city, p.product_name, p.category AS product_category,
     d.full_date AS order_date, d.day_of_week AS order_day, f.quantity, f.unit_price, f.total_amount, f.order_status, f.order_sk
   {STAR_FROM} WHERE c.is_current
-  ORDER BY f.total_amount DESC, f.order_sk, f.quantity, f.unit_price, p.product_name, p.category LIMIT 20)""",
+  ORDER BY f.total_amount DESC, f.order_sk, f.quantity, f.unit_price, d.full_date, c.name, c.email, c.city, p.product_name, p.category LIMIT 20)""",
         "q_top_customers": f"""SELECT customer_id, customer_name, email, order_count, total_spent,
   (((2 * (total_spent * 100)::HUGEINT + order_count) // (2 * order_count))::DECIMAL(18,0) * 0.01)::DECIMAL(12,2) AS avg_order_value FROM (
   SELECT c.customer_id, c.name AS customer_name, c.email, count(*) AS order_count, sum(f.total_amount)::{TOTAL} AS total_spent
