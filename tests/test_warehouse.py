@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidestar.operators import SkewPolicy
-from tidestar.plans import catalog
+from tidestar.plans import analytics, catalog
 from tidestar.plans.star import StarBatch, transform_star
 from tidestar.plans.warehouse import Warehouse
 from tidestar.session import scratch_dir
@@ -146,3 +146,18 @@ def test_summary_of_a_batch(spark):
     star = transform_star(spark, first(spark), fd.ARRIVAL, F.lit(TIMES[0]))
     assert isinstance(star, StarBatch)
     assert star.total_rows().first()[0] == 5
+
+
+def test_sql_over_views(spark, warehouse):
+    warehouse.create_views()
+    warehouse.create_views(version=0, prefix="first_")
+    found = spark.sql("""
+        SELECT c.name, p.category, SUM(f.quantity * f.unit_price) AS total
+        FROM fact_orders f JOIN dim_customer c ON f.customer_key = c.customer_key
+        JOIN dim_product p ON f.product_key = p.product_key
+        WHERE c.is_current = true AND p.is_current = true
+        GROUP BY c.name, p.category ORDER BY total DESC""")
+    assert [(r["name"], r["category"], str(r["total"])) for r in found.collect()] == [("a", "Tools", "59.94")]
+    assert spark.sql("SELECT count(*) FROM first_fact_orders").first()[0] == 1
+    assert spark.sql("SELECT max(batch_id) FROM commits WHERE table_name = 'fact_orders'").first()[0] == 1
+    assert [tuple(r) for r in analytics.q_category_totals(warehouse.star()).collect()] == [tuple(r) for r in found.collect()]

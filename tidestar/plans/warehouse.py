@@ -181,6 +181,20 @@ class Warehouse:
         log = keyed_join(log, wanted, dim.natural_id, "left_semi", skew=self.skew)
         return self._versions(log, dim).where("is_current").select(*dim.columns, "opened_in")
 
+    def star(self, version: int | None = None, as_of: Column | None = None) -> dict[str, DataFrame]:
+        """The four star tables at a version or time, for the reports."""
+        return {
+            **{table: self.dimension(table, version, as_of) for table in DIMENSIONS},
+            "dim_date": self._committed("dim_date", version, as_of).drop("_batch_id"),
+            "fact_orders": self.facts(version, as_of).drop("_batch_id", self.fact_folder),
+        }
+
+    def create_views(self, version: int | None = None, as_of: Column | None = None, prefix: str = "") -> None:
+        """Temporary views of the star tables and of their commits, for SQL text."""
+        for table, frame in self.star(version, as_of).items():
+            frame.createOrReplaceTempView(prefix + table)
+        self.commits().createOrReplaceTempView(prefix + "commits")
+
     # ---- writing ------------------------------------------------------
 
     def _ids(self, feed: DataFrame | None, column: str, name: str) -> DataFrame:
