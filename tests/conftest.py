@@ -14,9 +14,9 @@ def spark():
     from tidestar import build_session
 
     session = build_session(
-        "tests", master="local[8]",
+        "tests", master="local[4]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

@@ -190,12 +190,14 @@ def test_salting_spreads_a_heavy_key(spark):
     left = spark.range(30_000).select(F.when(F.col("id") < 10_000, 5).otherwise(F.col("id")).alias("k"), "id")
     right = spark.range(30_000).select(F.col("id").alias("k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         joined = op.keyed_join(left, right, "k", "left_semi", skew=op.SkewPolicy(share=0.01, salt=64))
         sizes = [r[0] for r in joined.where("k = 5").groupBy(F.spark_partition_id()).count().select("count").collect()]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == 10_000
     assert max(sizes) < 4_000

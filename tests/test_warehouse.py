@@ -161,3 +161,15 @@ def test_sql_over_views(spark, warehouse):
     assert spark.sql("SELECT count(*) FROM first_fact_orders").first()[0] == 1
     assert spark.sql("SELECT max(batch_id) FROM commits WHERE table_name = 'fact_orders'").first()[0] == 1
     assert [tuple(r) for r in analytics.q_category_totals(warehouse.star()).collect()] == [tuple(r) for r in found.collect()]
+
+
+def test_new_columns_of_written_facts(spark):
+    w = Warehouse(spark, scratch_dir(spark, "evolve"), fact_tasks=1)
+    w.create_tables()
+    w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0]))
+    more = w.facts().drop("_batch_id", "order_day").withColumn("channel", F.lit("web"))
+    w._commit({"fact_orders": w.write_facts(more, 1)}, 1, F.lit(TIMES[1]))
+    assert "channel" not in w.facts().columns
+    assert [tuple(r) for r in w.facts(merge_schema=True).select("_batch_id", "channel").orderBy("_batch_id").collect()] == [
+        (0, None), (1, "web"),
+    ]

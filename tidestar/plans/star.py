@@ -17,7 +17,7 @@ from tidestar.operators import (
     build_fact_orders,
     dedup_changes,
 )
-from tidestar.schemas import ID, SOURCE_TABLES, feed_schema
+from tidestar.schemas import ID, SOURCE_TABLES, empty_frame, feed_schema
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,7 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def empty_feed(spark: SparkSession, table: str, id_type: T.DataType = ID) -> DataFrame:
-    return spark.createDataFrame([], feed_schema(table, id_type))
+    return empty_frame(spark, feed_schema(table, id_type))
 
 
 def dedup_feeds(

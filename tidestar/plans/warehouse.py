@@ -34,7 +34,7 @@ from tidestar.operators import (
     scd2_changes,
 )
 from tidestar.plans.star import dedup_feeds, gather_by, heavy_sources
-from tidestar.schemas import ID, NTZ, STAR_TABLES, star_schema
+from tidestar.schemas import ID, NTZ, STAR_TABLES, empty_frame, star_schema
 
 DIMENSIONS = {d.table: d for d in (CUSTOMER, PRODUCT)}
 BUILDERS = {"dim_customer": build_dim_customer, "dim_product": build_dim_product}
@@ -92,8 +92,7 @@ class Warehouse:
     def create_tables(self) -> None:
         """Make the folders of all tables; those that exist are left alone."""
         for table in (*STAR_TABLES, "fact_deletes", "failed_files", "commits"):
-            empty = self.spark.createDataFrame([], self.schema(table))
-            empty.coalesce(1).write.mode("ignore").partitionBy("_batch_id").parquet(self.path(table))
+            empty_frame(self.spark, self.schema(table)).coalesce(1).write.mode("ignore").partitionBy("_batch_id").parquet(self.path(table))
 
     def _scan(self, table: str, merge_schema: bool = False) -> DataFrame:
         reader = self.spark.read
@@ -200,7 +199,7 @@ class Warehouse:
     def _ids(self, feed: DataFrame | None, column: str, name: str) -> DataFrame:
         """Distinct ids that a feed mentions, before dedup: one narrow column is all this reads."""
         if feed is None:
-            return self.spark.createDataFrame([], T.StructType([T.StructField(name, self.id_type)]))
+            return empty_frame(self.spark, T.StructType([T.StructField(name, self.id_type)]))
         return feed.select(to_int_safe(F.col(column), feed.schema[column].dataType, self.id_type).alias(name)).distinct()
 
     def _write_dimension(
@@ -238,12 +237,16 @@ class Warehouse:
         return self._scan("failed_files")
 
     def _commit(self, rows: dict[str, int], batch_id: int, committed_at: Column) -> None:
-        entries = self.spark.createDataFrame(
-            [(table, batch_id, n) for table, n in rows.items()], "table_name string, batch_id bigint, rows bigint",
-        ).withColumn("committed_at", committed_at.cast("timestamp_ntz"))
+        entries = [
+            F.struct(
+                F.lit(table).alias("table_name"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+                committed_at.cast("timestamp_ntz").alias("committed_at"), F.lit(n).cast("bigint").alias("rows"),
+            )
+            for table, n in rows.items()
+        ]
         # One file per group of tables, so a later delete in the same batch id keeps the earlier entries.
         label = "fact_deletes" if set(rows) == {"fact_deletes"} else "batch"
-        entries.select("table_name", "batch_id", "committed_at", "rows").coalesce(1).write.mode("overwrite").parquet(
+        self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries))).write.mode("overwrite").parquet(
             f"{self.path('commits')}/_batch_id={batch_id}/part_of={label}"
         )
 

@@ -6,6 +6,8 @@ needs BIGINT ids, so every schema takes ``id_type``.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ID = T.IntegerType()
@@ -14,6 +16,13 @@ PRICE = T.DecimalType(10, 2)
 AMOUNT = T.DecimalType(12, 2)
 NTZ = T.TimestampNTZType()
 
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema, without a Python worker."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 SOURCE_TABLES = ("customers", "products", "orders", "order_items")
 STAR_TABLES = ("dim_customer", "dim_product", "dim_date", "fact_orders")
 

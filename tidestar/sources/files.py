@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidestar.functions.convert import to_timestamp_safe
-from tidestar.schemas import ID, WIDE_ID, feed_schema
+from tidestar.schemas import ID, WIDE_ID, empty_frame, feed_schema
 
 # Where the change files of a table lie below the landing folder.
 RAW_PREFIX = "dms-source"
 PARQUET_GLOB = "*.parquet"
 
-LEDGER_SCHEMA = "path string, length bigint, modificationTime timestamp, processed_at timestamp"
+LEDGER_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
+    T.StructField("modificationTime", T.TimestampType()), T.StructField("processed_at", T.TimestampType()),
+])
 
 
 def discover_files(
@@ -50,7 +53,7 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
 
 
 def create_ledger(spark: SparkSession, ledger_path: str) -> None:
-    spark.createDataFrame([], LEDGER_SCHEMA).write.mode("ignore").parquet(ledger_path)
+    empty_frame(spark, LEDGER_SCHEMA).write.mode("ignore").parquet(ledger_path)
 
 
 def size_formatted(size: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidestar.operators import has_null_timestamps
 from tidestar.plans.warehouse import Warehouse
-from tidestar.schemas import ID, SOURCE_TABLES, union_feed_schema
+from tidestar.schemas import ID, SOURCE_TABLES, empty_frame, union_feed_schema
 from tidestar.sources.files import (
     ARRIVAL,
     PARQUET_GLOB,
@@ -30,7 +30,7 @@ from tidestar.sources.files import (
 
 MAX_FILES = 10_000
 
-FAILED = "path string, lost_rows bigint"
+FAILED = T.StructType([T.StructField("path", T.StringType()), T.StructField("lost_rows", T.LongType())])
 
 # The columns of Spark's binaryFile source.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -117,7 +117,7 @@ def process_batch(
             )
 
         stamp = clock(batch_id) if clock else F.lit(_now(spark))
-        failed = spark.createDataFrame([(path, None) for path in unreadable], FAILED)
+        failed = spark.createDataFrame([(path, None) for path in unreadable], FAILED) if unreadable else empty_frame(spark, FAILED)
         warehouse.write_failed_files(failed, batch_id)
         if not readable:
             return
