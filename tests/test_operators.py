@@ -231,8 +231,10 @@ def test_history_merge(spark):
     ]
 
 
-@pytest.mark.parametrize("bucket_seconds", [1, 60, 86_400])
-def test_history_of_a_feed(spark, bucket_seconds):
+@pytest.mark.parametrize(
+    ("skew", "bucket_seconds"), [(None, 60), *[(op.SkewPolicy(share=share), s) for share in (0.1, 0.001) for s in (1, 60, 86_400)]],
+)
+def test_history_of_a_feed(spark, skew, bucket_seconds):
     """Against a plain loop; one key holds a third of the changes."""
     rng = random.Random(5)
     changes = []
@@ -250,7 +252,7 @@ def test_history_of_a_feed(spark, bucket_seconds):
         change = best[here]
         end = here[1] if change[0] == "D" else after[1] if after[0] == here[0] else None
         expected.append((here[0], here[1], change[0], change[2], end or dt.datetime.max, end is None))
-    got = op.scd2_history(feed, seq=["seq"], bucket_seconds=bucket_seconds)
+    got = op.scd2_history(feed, seq=["seq"], skew=skew, bucket_seconds=bucket_seconds)
     assert sorted(
         (r["id"], r["effective_start_date"], r["Op"], r["seq"], r["effective_end_date"] or dt.datetime.max, r["is_current"])
         for r in got.collect()

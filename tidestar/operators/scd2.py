@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidestar.functions.convert import epoch_micros
 from tidestar.functions.keys import op_priority
 from tidestar.operators.dimensions import Dimension
+from tidestar.operators.skew import SkewPolicy, heavy_keys
 
 
 def _struct(dim: Dimension, side: str, **replaced: Column) -> Column:
@@ -83,6 +84,7 @@ def scd2_history(
     *,
     seq: Sequence[str],
     ts_col: str = "Timestamp",
+    skew: SkewPolicy | None = None,
     bucket_seconds: int = 60,
 ) -> DataFrame:
     """Every version of every key, with the time it began and ended.
@@ -90,33 +92,53 @@ def scd2_history(
     Of several changes at one instant only the winner is a version. A version
     ends when the next one begins; a delete is a version that ends at once.
 
-    ``lead`` over a key alone would bring all changes of a heavy key into one
-    task. Here a window covers one key and one bucket of time only, and takes
-    the first instant of the key's next bucket where it needs to. As instants
-    are distinct by then, a bucket holds at most as many rows as it has
-    microseconds, and the frame of buckets at most one row per key and bucket.
+    Without a policy both steps share one shuffle by key. With one, a heavy key
+    does not come into one task: changes of one instant are reduced before they
+    are shuffled, and the look at the next version covers one bucket of time of
+    a heavy key only. The first instant of the key's next bucket is taken from a
+    small frame. As instants are distinct by then, a bucket holds at most as
+    many rows as it has microseconds.
     """
-    versions_of = feed.where(F.col(key).isNotNull() & F.col(ts_col).isNotNull())
-    micros = epoch_micros(F.col(ts_col), feed.schema[ts_col].dataType)
-    slot = F.floor(micros / F.lit(bucket_seconds * 1_000_000)).alias("_slot")
+    changes = feed.where(F.col(key).isNotNull() & F.col(ts_col).isNotNull())
+    best = Window.partitionBy(key, ts_col).orderBy(op_priority(F.col("Op")).desc(), *[F.col(c).asc() for c in seq])
 
-    firsts = versions_of.groupBy(key, slot).agg(F.min(ts_col).alias("_first"))
-    by_key = Window.partitionBy(key).orderBy("_slot")
-    following = firsts.select(key, "_slot", F.lead("_first").over(by_key).alias("_following"))
+    def winners(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").drop("_rn")
 
-    # One winner per key and instant; Spark cuts each task to one row per group before the shuffle.
-    best = Window.partitionBy(key, ts_col).orderBy(op_priority(F.col("Op")).desc(), *[F.col(c).asc() for c in seq])
-    versions = versions_of.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").drop("_rn").withColumn("_slot", slot)
+    if skew is None:
+        after = F.lead(ts_col).over(Window.partitionBy(key).orderBy(ts_col))
+        chained = winners(changes.repartition(F.col(key))).withColumn("_next", after)
+        return chained.select(*_validity_of(feed, ts_col, F.col("_next")))
+
+    micros = epoch_micros(F.col(ts_col), feed.schema[ts_col].dataType)
+    slot = F.floor(micros / F.lit(bucket_seconds * 1_000_000))
+    # At most 1/share keys, each one value: small by construction.
+    heavy = F.broadcast(heavy_keys(changes, key, skew.share).withColumn("_heavy", F.lit(True)))
+
+    firsts = changes.select(key, ts_col).join(heavy.drop("_heavy"), key).groupBy(key, slot.alias("_slot")).agg(
+        F.min(ts_col).alias("_first")
+    )
+    following = firsts.select(
+        key, "_slot", F.lead("_first").over(Window.partitionBy(key).orderBy("_slot")).alias("_following")
+    )
+    placed = winners(changes).join(heavy, key, "left").withColumn(
+        "_slot", F.when(F.col("_heavy"), slot).otherwise(F.lit(0)).cast("bigint")
+    )
     within = Window.partitionBy(key, "_slot").orderBy(ts_col)
-    chained = versions.withColumn("_next", F.lead(ts_col).over(within)).join(following, [key, "_slot"])
+    chained = placed.withColumn("_next", F.lead(ts_col).over(within)).join(following, [key, "_slot"], "left")
+    return chained.select(*_validity_of(feed, ts_col, F.coalesce("_next", "_following")))
+
+
+def _validity_of(feed: DataFrame, ts_col: str, following: Column) -> list[Column]:
+    """The feed's columns, and when the version began and ended."""
     deleted = F.coalesce(F.col("Op") == "D", F.lit(False))
-    ends = F.when(deleted, F.col(ts_col)).otherwise(F.coalesce("_next", "_following"))
-    return chained.select(
-        *feed.columns,
+    ends = F.when(deleted, F.col(ts_col)).otherwise(following)
+    return [
+        *[F.col(c) for c in feed.columns],
         F.col(ts_col).alias("effective_start_date"),
         ends.alias("effective_end_date"),
         (ends.isNull() & ~deleted).alias("is_current"),
-    )
+    ]
 
 
 def dim_date_upsert(existing: DataFrame, batch: DataFrame) -> DataFrame:

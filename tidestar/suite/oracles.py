@@ -318,8 +318,10 @@ def oracle_sql() -> dict[str, str]:
         "scd2_merge_customer": "SELECT * FROM customer_versions",
         "scd2_merge_product": "SELECT * FROM product_versions",
         "scd2_history": _history("customers_feed", "name, email, city, country, created_at"),
-        "scd2_history_items": _history("items_feed", "order_id, product_id, quantity, unit_price",
-                                       "product_id", "quantity", "unit_price"),
+        **{
+            name: _history("items_feed", "order_id, product_id, quantity, unit_price", "product_id", "quantity", "unit_price")
+            for name in ("scd2_history_items", "scd2_history_items_spread")
+        },
         "scd2_delete_expire": f"""SELECT 'close' AS event, * FROM customer_versions WHERE effective_end_date = {T3}""",
         "scd2_append": "SELECT * FROM appended",
         "dim_date_upsert": "SELECT * FROM dim_date",

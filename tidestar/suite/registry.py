@@ -511,12 +511,24 @@ def scd2_merge_product(spark, sf_dir):
 
 @query
 def scd2_history(spark, sf_dir):
-    return op.scd2_history(sf.customers_feed(spark, sf_dir), seq=sf.ARRIVAL["customers"])
+    return op.scd2_history(
+        sf.customers_feed(spark, sf_dir), seq=sf.ARRIVAL["customers"], skew=fx.skew_policy(spark, sf_dir),
+    )
 
 
 @query
 def scd2_history_items(spark, sf_dir):
-    return op.scd2_history(sf.order_items_feed(spark, sf_dir), seq=sf.ARRIVAL["order_items"])
+    return op.scd2_history(
+        sf.order_items_feed(spark, sf_dir), seq=sf.ARRIVAL["order_items"], skew=fx.skew_policy(spark, sf_dir),
+    )
+
+
+@query
+def scd2_history_items_spread(spark, sf_dir):
+    """The same history through the plan that large inputs take."""
+    return op.scd2_history(
+        sf.order_items_feed(spark, sf_dir), seq=sf.ARRIVAL["order_items"], skew=op.SkewPolicy(share=0.0001),
+    )
 
 
 @query
