@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidestar.session import checkpoint_root
+
 
 @dataclass(frozen=True)
 class SkewPolicy:
@@ -26,9 +28,15 @@ def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
 
     One narrow pass with a counter table of ``1 / share`` entries per task. No
     heavy key is missed; some light keys may be named too, which costs nothing.
+
+    Which light keys are named can differ from run to run, while both sides of a
+    join must agree on the list. So it is found once, here, and checkpointed:
+    at most ``1 / share`` values.
     """
+    checkpoint_root(df.sparkSession)
     found = df.select(key).stat.freqItems([key], share)
-    return found.select(F.explode(f"{key}_freqItems").alias(key)).where(F.col(key).isNotNull()).distinct()
+    keys = found.select(F.explode(f"{key}_freqItems").alias(key)).where(F.col(key).isNotNull()).distinct()
+    return keys.checkpoint()
 
 
 def keyed_join(
