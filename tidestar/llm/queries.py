@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidestar.llm import decontaminate, line_dedup
+from tidestar.llm.decontaminate import op4_positional_index
+from tidestar.llm.line_dedup import op2_site_spread
+from tidestar.llm.mixing import op1_pareto_mix
 from tidestar.llm.near_dedup import op10_chosen_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pareto_mix": op1_pareto_mix,
+    "op2_site_spread": op2_site_spread,
+    "op4_positional_index": op4_positional_index,
     "op10_chosen_path": op10_chosen_path,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_site_spread": line_dedup.OP2_SQL,
+    "op4_positional_index": decontaminate.OP4_SQL,
+}
