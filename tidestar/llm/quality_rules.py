@@ -132,30 +132,36 @@ def viterbi(field: Field, features: np.ndarray, line_at: np.ndarray) -> np.ndarr
 
 def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in textops.slices(batch.column(1)):
+        for part in textops.slices(batch.column(2)):
             m = measure(part)
             f = line_features(m).astype(np.float32)
             rows = [f[a:b].tobytes() if b - a <= TRAIN_LINES else None for a, b in zip(m.line_at, m.line_at[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(part)), pa.array(rows, pa.binary())], ["quality", "features"])
+            own = [batch.column(k).slice(part.first, len(part)) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(rows, pa.binary())], ["doc_id", "quality", "x"])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int, id_col: str, text_col: str) -> DataFrame:
-    """A fixed sample of (quality, text), at most ``most`` rows, without the held-out ids; which ones depends on the ids alone."""
+    """A fixed sample of (doc_id, quality, text), at most ``most`` ids, none held out; which ones depends on the ids alone."""
     clean = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     sample = clean.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(sample), "doc_id").select(F.col("quality").cast("int").alias("quality"), "text").limit(2 * most)
+    return texts.join(F.broadcast(sample), "doc_id").select("doc_id", F.col("quality").cast("int").alias("quality"), "text")
+
+
+def one_each(rows: DataFrame) -> list:
+    """(doc_id, quality, x) of a sample on the driver, one row for each id and in an order that doesn't depend on tasks."""
+    return sorted(rows.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("x").alias("x")).where("x is not null").collect(), key=lambda r: r["doc_id"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCUMENTS) -> Field | None:
     """The field learned from at most ``most`` labelled documents; None if either label is missing."""
     ship(docs.sparkSession)
-    rows = labelled(docs, labels, most, id_col, text_col).mapInArrow(_features_of, "quality int, features binary").where("features is not null").collect()
-    rows = sorted(rows, key=lambda r: bytes(r["features"]))  # the same sums in any order of tasks
+    sample = labelled(docs, labels, most, id_col, text_col)
+    rows = one_each(sample.mapInArrow(_features_of, f"doc_id {sample.schema[0].dataType.simpleString()}, quality int, x binary"))
     quality = np.array([r["quality"] for r in rows])
     if not len(rows) or quality.min() == quality.max():
         return None
-    return train([np.frombuffer(r["features"], np.float32).reshape(-1, len(FEATURES)).astype(np.float64) for r in rows], quality)
+    return train([np.frombuffer(r["x"], np.float32).reshape(-1, len(FEATURES)).astype(np.float64) for r in rows], quality)
 
 
 # Columns that the rules add, and their types.

@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidestar.llm import decontaminate, line_dedup
 from tidestar.llm.decontaminate import op4_positional_index
+from tidestar.llm.language_id import op7_byte_network
 from tidestar.llm.line_dedup import op2_site_spread
 from tidestar.llm.mixing import op1_pareto_mix
 from tidestar.llm.near_dedup import op10_chosen_path
+from tidestar.llm.quality_gam import op6_pairwise_gam
+from tidestar.llm.quality_rules import op3_line_crf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_site_spread": op2_site_spread,
+    "op3_line_crf": op3_line_crf,
     "op4_positional_index": op4_positional_index,
+    "op6_pairwise_gam": op6_pairwise_gam,
+    "op7_byte_network": op7_byte_network,
     "op10_chosen_path": op10_chosen_path,
 }
 
