@@ -36,37 +36,39 @@ TOKENS = 128  # minwise tokens of a sketch, 16 bits each
 # A pair at the threshold misses all 16 roots' children with a chance of 0.25 ** 16.
 TREES = 12
 ROOT_TOKENS = 16
-LEAF = 256  # a node of at most so many documents is compared exhaustively
-BLOCK = 128
+LEAF = 256  # a node of at most so many documents is compared exhaustively; larger ones are cut into blocks of this size
 CUT = 0.60  # sketches that agree less than this are four deviations below the threshold
 DEPTH = 40  # nodes that are still large at this depth are compared exhaustively whatever their size
 
 _RNG = np.random.default_rng(20)
 _MULTIPLY = _RNG.integers(0, 1 << 63, TOKENS, dtype=np.uint64) * U64(2) + U64(1)
 _ADD = _RNG.integers(0, 1 << 63, TOKENS, dtype=np.uint64)
+_ROOT = np.arange(1, ROOT_TOKENS + 1, dtype=U64) << U64(32)
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """The smallest value of each of ``TOKENS`` hash functions, cut to 16 bits."""
+def minwise(shingles: np.ndarray) -> np.ndarray:
+    """The smallest value of each of ``TOKENS`` hash functions."""
     best = np.full(TOKENS, 0xFFFFFFFFFFFFFFFF, U64)
     for at in range(0, len(shingles), 256):
         block = shingles[at : at + 256, None] * _MULTIPLY + _ADD
         np.minimum(best, block.min(axis=0), out=best)
-    return (mix(best) >> U64(48)).astype(np.uint16)
+    return best
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n, key, low, tokens = [], [], [], []
+        n, key, low, roots, tokens = [], [], [], [], []
         for part in textops.slices(batch.column(1)):
             for s in textops.shingle_sets(part, WORDS):
                 n.append(len(s))
                 key.append(int(s.sum(dtype=U64).view(np.int64)) if len(s) else 0)
                 low.append(int(np.bitwise_xor.reduce(mix(s)).view(np.int64)) if len(s) else 0)
-                tokens.append(sketch(s).tobytes() if len(s) else None)
+                best = minwise(s)
+                roots.append(mix(best[:ROOT_TOKENS] + _ROOT).view(np.int64).tolist() if len(s) else None)
+                tokens.append((mix(best) >> U64(48)).astype(np.uint16).tobytes() if len(s) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(low, pa.int64()), pa.array(tokens, pa.binary())],
-            ["doc_id", "n_shingles", "key", "low", "sketch"],
+            [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, key, low)), pa.array(roots, pa.list_(pa.int64())), pa.array(tokens, pa.binary())],
+            ["doc_id", "n_shingles", "key", "low", "roots", "sketch"],
         )
 
 
@@ -77,16 +79,6 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(part)), pa.array(sets, pa.binary())], ["rep", "shingles"])
 
 
-def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The children of all roots that a document goes to."""
-    token = np.arange(1, ROOT_TOKENS + 1, dtype=U64) << U64(32)
-    for batch in batches:
-        values = fixed_bytes(batch.column(1), 2 * TOKENS).view(np.uint16)[:, :ROOT_TOKENS].astype(U64)
-        nodes = mix(values + token).view(np.int64)
-        reps = np.repeat(batch.column(0).to_numpy(), ROOT_TOKENS)
-        yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(nodes.ravel())], ["rep", "node"])
-
-
 def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One or two children of each document's node: by tokens that the node selects, so all its documents agree."""
     for batch in batches:
@@ -163,8 +155,8 @@ class _Forest:
 def _spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each block, the edges of a maximum spanning forest by the sketches' agreement."""
     for batch in _grouped(batches, "block"):
-        block, rep = (batch.column(k).to_numpy() for k in (0, 1))
-        tokens = fixed_bytes(batch.column(2), 2 * TOKENS).view(np.uint16)
+        block, rep, node = (batch.column(k).to_numpy() for k in (0, 1, 2))
+        tokens = fixed_bytes(batch.column(3), 2 * TOKENS).view(np.uint16)
         found = list(_pairs(block, rep, tokens))
         if not found:
             continue
@@ -174,7 +166,7 @@ def _spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = [(x, y) for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True) if forest.join(x, y)]
         if edges:
             x, y = np.array(edges).T
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[x], rep[y])), pa.array(np.maximum(rep[x], rep[y]))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(np.minimum(rep[x], rep[y])), pa.array(np.maximum(rep[x], rep[y]))], ["node", "a", "b"])
 
 
 def _active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,26 +270,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     ship(docs.sparkSession)
     documents = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text")).where("doc_id is not null")
-    sketches = written(documents.mapInArrow(_sketches, "doc_id long, n_shingles long, key long, low long, sketch binary"), "sketches")
+    sketches = written(documents.mapInArrow(_sketches, "doc_id long, n_shingles long, key long, low long, roots array<long>, sketch binary"), "sketches")
     some = sketches.where("n_shingles > 0")
+    tokens = some.select(F.col("doc_id").alias("rep"), "sketch")
 
     same = ["n_shingles", "key", "low"]
-    classes = written(some.groupBy(*same).agg(F.min_by("sketch", "doc_id").alias("sketch"), F.min("doc_id").alias("rep")), "classes")
-    tokens = classes.select("rep", "sketch")
-
-    rows = tokens.mapInArrow(_roots, "rep long, node long")
+    classes = written(some.groupBy(*same).agg(F.min_by("roots", "doc_id").alias("roots"), F.min("doc_id").alias("rep")), "classes")
+    rows = classes.select("rep", F.explode("roots").alias("node"))
     sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-    first = written(rows.join(sizes, "node").join(tokens, "rep").select("node", "n", "rep", "sketch"), "nodes")
-    blocks = first.select(
-        F.xxhash64("node", F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / BLOCK))).alias("block"), "rep", "sketch",
+    first = written(rows.join(sizes, "node").select("node", "n", "rep"), "nodes")
+    blocks = first.join(tokens, "rep").select(
+        F.xxhash64("node", F.pmod(F.xxhash64("rep", "node"), F.ceil(F.col("n") / LEAF))).alias("block"), "rep", "node", "sketch",
     )
-    edges = written(_sorted_map(blocks, "block", ["rep"], _spanning, "a long, b long").distinct(), "edges")
+    edges = written(_sorted_map(blocks, "block", ["rep"], _spanning, "node long, a long, b long"), "edges")
+    pairs = edges.select("a", "b").distinct()
     ids = written(edges.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "ids")
     sets = _sets_of(documents, ids, "sets")
-    links = written(_with_sets(edges, sets).mapInArrow(_confirm, "a long, b long"), "links")
+    links = written(_with_sets(pairs, sets).mapInArrow(_confirm, "a long, b long"), "links")
     found = components(links)
 
-    leaves = _unsettled(first.drop("n"), found)
+    leaves = _unsettled(first, edges, found, tokens)
     ready = written(_sorted_map(leaves, "node", ["rep"], _active, "node long, rep long, comp long"), "active")
     if not ready.isEmpty():
         more = written(ready.select("rep").distinct().join(ids, "rep", "left_anti"), "ids")
@@ -315,19 +307,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return every.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def _unsettled(state: DataFrame, found: DataFrame) -> DataFrame:
-    """Leaves below the given nodes that hold more than one component: rows (node, rep, comp, sketch)."""
-    state = state.join(found, state["rep"] == found["id"], "left").select("node", "rep", F.coalesce("component", "rep").alias("comp"), "sketch")
-    leaves = None
+def _unsettled(first: DataFrame, edges: DataFrame, found: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Leaves below the roots' children that hold more than one component: rows (node, rep, comp, sketch).
+
+    A child that is a leaf itself was compared as a whole: it is settled unless an edge of its forest still joins two components.
+    """
+    label = lambda frame, key, name: frame.join(found.select(F.col("id").alias(key), F.col("component").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
+    loose = label(label(edges, "a", "comp_a"), "b", "comp_b").where("comp_a <> comp_b").select("node").distinct()
+    rows = label(first, "rep", "comp")
+    small_ones = rows.where(F.col("n") <= LEAF).join(loose, "node", "left_semi")
+    held = rows.where(F.col("n") > LEAF).groupBy("node").agg((F.min("comp") < F.max("comp")).alias("open")).where("open")
+    large_ones = rows.where(F.col("n") > LEAF).join(held, "node", "left_semi")
+    now = written(small_ones.union(large_ones).join(tokens, "rep").select("node", "n", "rep", "comp", "sketch"), "level")
+    leaves, large = now.where(F.col("n") <= LEAF).drop("n"), now.where(F.col("n") > LEAF).drop("n")
     for depth in range(DEPTH):
+        if large.isEmpty():
+            return leaves
+        state = large.mapInArrow(_children, large.schema).dropDuplicates(["node", "rep"])
         held = state.groupBy("node").agg(F.count("*").alias("n"), (F.min("comp") < F.max("comp")).alias("open")).where("open").drop("open")
         now = written(state.join(held, "node"), "level")
-        done = (now if depth == DEPTH - 1 else now.where(F.col("n") <= LEAF)).drop("n")
-        leaves = done if leaves is None else leaves.union(done)
+        last = depth == DEPTH - 1
+        leaves = leaves.union((now if last else now.where(F.col("n") <= LEAF)).drop("n"))
         large = now.where(F.col("n") > LEAF).drop("n")
-        if large.isEmpty():
-            break
-        state = large.mapInArrow(_children, large.schema).dropDuplicates(["node", "rep"]) if depth < DEPTH - 1 else large
     return leaves
 
 
