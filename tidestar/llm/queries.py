@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidestar.llm import chat_format, decontaminate, line_dedup
 from tidestar.llm.chat_format import op9_reply_trees
 from tidestar.llm.decontaminate import op4_positional_index
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_longest_match": op8_longest_match,
     "op9_reply_trees": op9_reply_trees,
     "op10_chosen_path": op10_chosen_path,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
@@ -36,3 +38,6 @@ SQL: dict[str, str] = {
     "op4_positional_index": decontaminate.OP4_SQL,
     "op9_reply_trees": chat_format.OP9_SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
