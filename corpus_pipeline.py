@@ -17,13 +17,13 @@ from tidestar.llm.line_dedup import dedup_lines
 from tidestar.llm.mixing import mix
 from tidestar.llm.near_dedup import near_duplicates
 from tidestar.llm.quality_rules import fit, judge
-from tidestar.llm.shared import col, table, written
+from tidestar.llm.shared import col, small, table, written
 
 
 def _only(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id has ``kept``; rows without an id stay. ``decisions``: (doc_id, kept)."""
     dropped = written(decisions.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*[col(c) for c in docs.columns])
+    return docs.join(small(dropped), "doc_id", "left_anti").select(*[col(c) for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
