@@ -36,9 +36,11 @@ TOKENS = 128  # minwise tokens of a sketch, 16 bits each
 # A pair at the threshold misses all 16 roots' children with a chance of 0.25 ** 16.
 TREES = 12
 ROOT_TOKENS = 16
-LEAF = 256  # a node of at most so many documents is compared exhaustively; larger ones are cut into blocks of this size
+# A node is compared exhaustively if at most so many of its documents are outside its largest component: they meet the
+# others in blocks of this size, so the work is in proportion to the node.
+LEAF = 256
 CUT = 0.60  # sketches that agree less than this are four deviations below the threshold
-DEPTH = 40  # nodes that are still large at this depth are compared exhaustively whatever their size
+DEPTH = 40  # nodes that still branch at this depth are compared exhaustively as they are
 
 _RNG = np.random.default_rng(20)
 _MULTIPLY = _RNG.integers(0, 1 << 63, TOKENS, dtype=np.uint64) * U64(2) + U64(1)
@@ -310,27 +312,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _unsettled(first: DataFrame, edges: DataFrame, found: DataFrame, tokens: DataFrame) -> DataFrame:
     """Leaves below the roots' children that hold more than one component: rows (node, rep, comp, sketch).
 
-    A child that is a leaf itself was compared as a whole: it is settled unless an edge of its forest still joins two components.
+    A child of at most ``LEAF`` documents was compared as a whole: it is settled unless an edge of its forest still joins two components.
     """
     label = lambda frame, key, name: frame.join(found.select(F.col("id").alias(key), F.col("component").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
     loose = label(label(edges, "a", "comp_a"), "b", "comp_b").where("comp_a <> comp_b").select("node").distinct()
     rows = label(first, "rep", "comp")
-    small_ones = rows.where(F.col("n") <= LEAF).join(loose, "node", "left_semi")
-    held = rows.where(F.col("n") > LEAF).groupBy("node").agg((F.min("comp") < F.max("comp")).alias("open")).where("open")
-    large_ones = rows.where(F.col("n") > LEAF).join(held, "node", "left_semi")
-    now = written(small_ones.union(large_ones).join(tokens, "rep").select("node", "n", "rep", "comp", "sketch"), "level")
-    leaves, large = now.where(F.col("n") <= LEAF).drop("n"), now.where(F.col("n") > LEAF).drop("n")
+    narrow = rows.where(F.col("n") <= LEAF).join(loose, "node", "left_semi").unionByName(rows.where(F.col("n") > LEAF)).select("node", "rep", "comp")
+    now = written(_open_nodes(narrow).join(tokens, "rep").select(*_LEVEL), "level")
+    leaves = _blocks(now)
     for depth in range(DEPTH):
+        large = now.where(F.col("outside") > LEAF).select("node", "rep", "comp", "sketch")
         if large.isEmpty():
-            return leaves
-        state = large.mapInArrow(_children, large.schema).dropDuplicates(["node", "rep"])
-        held = state.groupBy("node").agg(F.count("*").alias("n"), (F.min("comp") < F.max("comp")).alias("open")).where("open").drop("open")
-        now = written(state.join(held, "node"), "level")
-        last = depth == DEPTH - 1
-        leaves = leaves.union((now if last else now.where(F.col("n") <= LEAF)).drop("n"))
-        large = now.where(F.col("n") > LEAF).drop("n")
+            break
+        if depth == DEPTH - 1:
+            return leaves.union(large)
+        now = written(_open_nodes(large.mapInArrow(_children, large.schema).dropDuplicates(["node", "rep"])).select(*_LEVEL), "level")
+        leaves = leaves.union(_blocks(now))
     return leaves
 
 
+_LEVEL = ["node", "rep", "comp", "sketch", "main", "n_main", "outside"]
+
+
+def _open_nodes(state: DataFrame) -> DataFrame:
+    """The rows of nodes with more than one component, with the node's largest one, its size and how many are outside it."""
+    sizes = state.groupBy("node", "comp").agg(F.count("*").alias("n"))
+    held = sizes.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"))
+    open_ = held.select("node", F.col("main.comp").alias("main"), F.col("main.n").alias("n_main"), (F.col("n") - F.col("main.n")).alias("outside")).where("outside > 0")
+    return state.join(open_, "node")
+
+
+def _blocks(now: DataFrame) -> DataFrame:
+    """Nodes that are ready, the largest component in blocks and the few others in each of them."""
+    ready = now.where(F.col("outside") <= LEAF)
+    n = F.ceil(F.col("n_main") / LEAF).cast("int")
+    own = F.array(F.pmod(F.xxhash64("rep"), n).cast("int"))
+    block = F.explode(F.when(F.col("comp") == F.col("main"), own).otherwise(F.sequence(F.lit(0), n - 1)))
+    return ready.select("*", block.alias("block")).select(F.xxhash64("node", "block").alias("node"), "rep", "comp", "sketch")
+
+
 def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
