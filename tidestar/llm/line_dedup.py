@@ -63,7 +63,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key, gone = free_name(docs, "_key"), free_name(docs, "_gone")
     removed = hits.groupBy(F.col("key").alias(key)).agg(F.collect_set("at").alias(gone))
     text = col(text_col).cast("string")
-    joined = docs.withColumn(key, F.xxhash64(col(id_col), text)).join(removed, key, "left")
+    # Neither side has a bound, so the join is the same at every size.
+    joined = docs.withColumn(key, F.xxhash64(col(id_col), text)).join(removed.hint("merge"), key, "left")
     lines = F.split(text, "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     # The list in a list of one: it is split once, not once for each line that stays.
