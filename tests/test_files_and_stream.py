@@ -102,7 +102,7 @@ def run(w, root, **options):
 
 
 def test_stream_into_the_warehouse(spark, root):
-    w = Warehouse(spark, f"{root}/gold", fact_tasks=2)
+    w = Warehouse(spark, f"{root}/gold")
     options = {"clock": lambda n: F.lit(TIMES[n])}
     land(first(spark), root)
     with open(f"{local(root)}/dms-source/public/orders/bad.parquet", "w") as bad:
@@ -118,8 +118,61 @@ def test_stream_into_the_warehouse(spark, root):
     assert rows(w.facts(), "order_id", "_batch_id") == [(10, 0), (11, 1)]
 
 
+@pytest.mark.parametrize("max_files", [1, 2, 100])
+def test_no_fact_is_lost_between_triggers(spark, root, max_files):
+    w = Warehouse(spark, f"{root}/gold")
+    for tables in (("order_items",), ("orders",), ("customers", "products")):  # items are the oldest files
+        land({t: f.coalesce(1) for t, f in first(spark).items() if t in tables}, root)
+    land({"unknown": first(spark)["orders"].coalesce(1)}, root)
+    run(w, root, max_files=max_files)
+    assert rows(w.facts(), "order_id") == [(10,)]
+    assert w.pending_items().isEmpty()
+    assert {r["reason"] for r in w.failed_files().collect()} == {micro_batch.UNKNOWN_TABLE}
+
+
+def test_one_bad_price_does_not_stop_the_stream(spark, root):
+    feeds = first(spark)
+    feeds["order_items"] = fd.items(spark, ("I", 1, 10, 100, 5, "9.99", 0), ("I", 2, 10, 100, 6, "1.00", 0)).withColumn(
+        "unit_price", F.when(F.col("quantity") == 6, F.lit(1e12)).otherwise(F.col("unit_price").cast("double")))
+    land(feeds, root)
+    w = Warehouse(spark, f"{root}/gold")
+    run(w, root)
+    assert rows(w.facts(), "quantity") == [(5,)]
+    assert rows(w.pending_items(), "quantity", "reason") == [(6, "unit price too large")]
+
+
+def test_valid_files_without_rows_are_not_failed(spark, root):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    land(first(spark), root)
+    folder = f"{local(root)}/dms-source/public/customers"
+    schema = pa.schema([("id", pa.int32()), ("name", pa.string())])
+    pq.write_table(schema.empty_table(), f"{folder}/none.parquet")
+    with pq.ParquetWriter(f"{folder}/group.parquet", schema) as out:
+        out.write_batch(pa.RecordBatch.from_pylist([], schema))
+    pq.write_table(schema.with_metadata({"note": "x" * 1_500_000}).empty_table(), f"{folder}/footer.parquet")
+    whole = open(f"{folder}/footer.parquet", "rb").read()
+    with open(f"{folder}/cut.parquet", "wb") as cut:
+        cut.write(whole[:-200])
+    failed = files.failed_files(spark, f"{root}/dms-source").collect()
+    assert [os.path.basename(r["path"]) for r in failed] == ["cut.parquet"]
+    assert failed[0]["reason"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tidestar.session import checkpoint_root
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(session)
+
+
 def test_a_batch_that_fails_is_run_again(spark, root):
-    w = Warehouse(spark, f"{root}/gold", fact_tasks=2)
+    w = Warehouse(spark, f"{root}/gold")
     land(first(spark), root)
     commit, calls = w._commit, []
 
@@ -156,7 +209,7 @@ def test_other_physical_types_are_converted_not_skipped(spark, root):
         "order_items": feeds["order_items"].withColumn("id", F.col("id").cast("bigint")),
     }, root)
     land({"order_items": feeds["order_items"].withColumn("id", F.col("id") + 1)}, root)  # int beside long
-    w = Warehouse(spark, f"{root}/gold", fact_tasks=2)
+    w = Warehouse(spark, f"{root}/gold")
     run(w, root)
     assert rows(w.dimension("dim_customer"), "customer_id", "country") == [(1, None), (2, None)]
     assert [(r["product_id"], str(r["unit_price"])) for r in w.dimension("dim_product").collect()] == [(100, "9.99")]
@@ -176,7 +229,7 @@ def test_damaged_content_is_reported(spark, root):
         file.write(b"\xff" * 60)
     for crc in (n for n in os.listdir(folder) if n.endswith(".crc")):
         os.remove(f"{folder}/{crc}")
-    w = Warehouse(spark, f"{root}/gold", fact_tasks=2)
+    w = Warehouse(spark, f"{root}/gold")
     run(w, root)
     assert rows(w.dimension("dim_customer"), "customer_id") == [(1,), (2,)]
     assert [(os.path.basename(r["path"]), r["lost_rows"]) for r in w.failed_files().collect()] == [(os.path.basename(name), 10)]

@@ -38,9 +38,9 @@ def second(spark):
     }
 
 
-@pytest.fixture(scope="module", params=[None, SkewPolicy(share=0.05, salt=4)], ids=["plain", "salted"])
+@pytest.fixture(scope="module", params=[SkewPolicy(), SkewPolicy(rows=1)], ids=["plain", "salted"])
 def warehouse(spark, request):
-    w = Warehouse(spark, scratch_dir(spark, "test"), fact_tasks=2, skew=request.param)
+    w = Warehouse(spark, scratch_dir(spark, "test"), skew=request.param)
     w.create_tables()
     w.create_tables()
     w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0]))
@@ -82,7 +82,7 @@ def test_rerun_changes_nothing(spark, warehouse):
 
 
 def test_uncommitted_rows_are_not_seen(spark):
-    w = Warehouse(spark, scratch_dir(spark, "crash"), fact_tasks=2)
+    w = Warehouse(spark, scratch_dir(spark, "crash"))
     w.create_tables()
     w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0]))
     w._commit, commit = lambda *a: None, w._commit  # the batch stops before its commit
@@ -95,7 +95,7 @@ def test_uncommitted_rows_are_not_seen(spark):
 
 
 def test_hard_deletes(spark):
-    w = Warehouse(spark, scratch_dir(spark, "deletes"), fact_tasks=2)
+    w = Warehouse(spark, scratch_dir(spark, "deletes"))
     w.create_tables()
     w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0]))
     gone = {
@@ -112,6 +112,38 @@ def test_hard_deletes(spark):
     assert w.facts(version=2).count() == 2
 
 
+def split(spark, batches, root):
+    w = Warehouse(spark, root)
+    w.create_tables()
+    for n, tables in enumerate(batches):
+        w.write_batch({t: f for t, f in first(spark).items() if t in tables}, fd.ARRIVAL, n, F.lit(TIMES[n]))
+    return w
+
+
+@pytest.mark.parametrize("batches", [
+    [("order_items",), ("orders",), ("customers", "products")],
+    [("customers", "products", "orders"), ("order_items",)],
+    [("order_items", "customers"), ("products",), ("orders",)],
+])
+def test_items_wait_for_their_partners(spark, batches):
+    w = split(spark, batches, scratch_dir(spark, "split"))
+    assert rows(w.facts(), "order_id", "_batch_id") == [(10, len(batches) - 1)]
+    assert w.pending_items().isEmpty()
+    if "order_items" in batches[0]:
+        assert rows(w.pending_items(0), "id", "reason", "since") == [("1", "order not found", 0)]
+        assert w.facts(version=0).isEmpty()
+    w.write_batch({}, fd.ARRIVAL, 3, F.lit(TIMES[3]))
+    assert w.facts().count() == 1  # a fact once
+
+
+def test_a_waiting_item_that_changes(spark):
+    w = split(spark, [("order_items",)], scratch_dir(spark, "change"))
+    again = first(spark) | {"order_items": fd.items(spark, ("U", 1, 10, 100, 7, "9.99", 1))}
+    w.write_batch(again, fd.ARRIVAL, 1, F.lit(TIMES[1]))
+    assert rows(w.facts(), "quantity") == [(7,)]
+    assert w.pending_items().isEmpty()
+
+
 def test_day_folders_prune(spark, warehouse):
     facts = warehouse.facts().where(F.col("order_day") == DAY)
     assert rows(facts, "order_id") == [(10,)]
@@ -129,7 +161,7 @@ def test_catalog(spark):
     assert all(r["is_registered"] for r in catalog.verify_tables(spark, database).collect())
     star = transform_star(spark, first(spark), fd.ARRIVAL, F.lit(TIMES[0]))
     for _ in range(2):
-        catalog.append_star_tables(spark, database, star.tables(), fact_tasks=1)
+        catalog.append_star_tables(spark, database, star.tables())
     assert rows(catalog.registered_counts(spark, database), "table_name", "row_count") == [
         ("dim_customer", 4), ("dim_date", 2), ("dim_product", 2), ("fact_orders", 2),
     ]
@@ -164,7 +196,7 @@ def test_sql_over_views(spark, warehouse):
 
 
 def test_new_columns_of_written_facts(spark):
-    w = Warehouse(spark, scratch_dir(spark, "evolve"), fact_tasks=1)
+    w = Warehouse(spark, scratch_dir(spark, "evolve"))
     w.create_tables()
     w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0]))
     more = w.facts().drop("_batch_id", "order_day").withColumn("channel", F.lit("web"))

@@ -56,15 +56,15 @@ def to_int_safe(c: Column, source: T.DataType, target: T.DataType = T.IntegerTyp
 def to_decimal_safe(c: Column, source: T.DataType, target: T.DecimalType = T.DecimalType(10, 2)) -> Column:
     """Decimal of the value; 0 for null and for text that is not a number.
 
-    A number too large for the column raises, it does not turn into 0.
+    A number too large for the column is null: it neither raises nor turns into 0.
     """
+    zero = F.lit(0).cast(target)
     if isinstance(source, T.StringType):
-        value = F.when(c.rlike(DECIMAL_TEXT), c).cast(target)
-    elif isinstance(source, T.NumericType):
-        value = c.cast(target)
-    else:
-        value = F.lit(None).cast(target)
-    return F.coalesce(value, F.lit(0).cast(target))
+        return F.when(c.rlike(DECIMAL_TEXT), c.try_cast(target)).otherwise(zero)
+    if isinstance(source, T.NumericType):
+        number = F.nanvl(c, F.lit(0).cast(source)) if isinstance(source, (T.FloatType, T.DoubleType)) else c
+        return F.when(c.isNull(), zero).otherwise(number.try_cast(target))
+    return zero
 
 
 def to_timestamp_safe(c: Column, source: T.DataType) -> Column:

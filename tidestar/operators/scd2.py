@@ -84,20 +84,19 @@ def scd2_history(
     *,
     seq: Sequence[str],
     ts_col: str = "Timestamp",
-    skew: SkewPolicy | None = None,
-    bucket_seconds: int = 60,
+    skew: SkewPolicy = SkewPolicy(),
 ) -> DataFrame:
     """Every version of every key, with the time it began and ended.
 
     Of several changes at one instant only the winner is a version. A version
     ends when the next one begins; a delete is a version that ends at once.
 
-    Without a policy both steps share one shuffle by key. With one, a heavy key
-    does not come into one task: changes of one instant are reduced before they
-    are shuffled, and the look at the next version covers one bucket of time of
-    a heavy key only. The first instant of the key's next bucket is taken from a
-    small frame. As instants are distinct by then, a bucket holds at most as
-    many rows as it has microseconds.
+    Without heavy keys both steps share one shuffle by key. A heavy key does not
+    come into one task: changes of one instant are reduced before they are
+    shuffled, and the look at the next version covers one bucket of its time
+    only. The key's number of rows tells the width of its buckets; the first
+    instant of its next bucket is taken from a small frame, which holds a row
+    for each bucket that has one.
     """
     changes = feed.where(F.col(key).isNotNull() & F.col(ts_col).isNotNull())
     best = Window.partitionBy(key, ts_col).orderBy(op_priority(F.col("Op")).desc(), *[F.col(c).asc() for c in seq])
@@ -105,24 +104,26 @@ def scd2_history(
     def winners(rows: DataFrame) -> DataFrame:
         return rows.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").drop("_rn")
 
-    if skew is None:
+    found = heavy_keys({key: changes}, skew).get(key)
+    if found is None:
         after = F.lead(ts_col).over(Window.partitionBy(key).orderBy(ts_col))
         chained = winners(changes.repartition(F.col(key))).withColumn("_next", after)
         return chained.select(*_validity_of(feed, ts_col, F.col("_next")))
 
     micros = epoch_micros(F.col(ts_col), feed.schema[ts_col].dataType)
-    slot = F.floor(micros / F.lit(bucket_seconds * 1_000_000))
-    # At most 1/share keys, each one value: small by construction.
-    heavy = F.broadcast(heavy_keys(changes, key, skew.share).withColumn("_heavy", F.lit(True)))
+    spans = changes.join(found, key).groupBy(key, "_parts").agg(F.min(micros).alias("_from"), F.max(micros).alias("_to"))
+    # Four buckets to a part, since changes are not even in time.
+    heavy = spans.select(key, "_from", F.greatest(F.lit(1), F.ceil((F.col("_to") - F.col("_from") + 1) / (F.col("_parts") * 4))).alias("_width")).checkpoint()
+    slot = F.floor((micros - F.col("_from")) / F.col("_width"))
 
-    firsts = changes.select(key, ts_col).join(heavy.drop("_heavy"), key).groupBy(key, slot.alias("_slot")).agg(
+    firsts = changes.select(key, ts_col).join(heavy, key).groupBy(key, slot.alias("_slot")).agg(
         F.min(ts_col).alias("_first")
     )
     following = firsts.select(
         key, "_slot", F.lead("_first").over(Window.partitionBy(key).orderBy("_slot")).alias("_following")
     )
     placed = winners(changes).join(heavy, key, "left").withColumn(
-        "_slot", F.when(F.col("_heavy"), slot).otherwise(F.lit(0)).cast("bigint")
+        "_slot", F.coalesce(slot, F.lit(0)).cast("bigint")
     )
     within = Window.partitionBy(key, "_slot").orderBy(ts_col)
     chained = placed.withColumn("_next", F.lead(ts_col).over(within)).join(following, [key, "_slot"], "left")

@@ -12,74 +12,52 @@ from tidestar.session import checkpoint_root
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """How heavy keys are spread.
-
-    ``share``: keys with at least this share of the rows are heavy, so there
-    are at most ``1 / share`` of them whatever the data size.
-    ``salt``: number of tasks one heavy key is spread over.
-    """
-
-    share: float = 0.001
-    salt: int = 64
+    """``rows``: a key with more rows than this is heavy, and is spread over as many tasks as leave about so many rows to each."""
 
+    rows: int = 1_000_000
 
-def heavy_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Distinct keys that may hold at least ``share`` of the rows of ``df``.
 
-    One narrow pass with a counter table of ``1 / share`` entries per task. No
-    heavy key is missed; some light keys may be named too, which costs nothing.
+def heavy_keys(counted: dict[str, DataFrame], policy: SkewPolicy) -> dict[str, DataFrame]:
+    """Of several columns, each with the frame to count it in, the heavy keys: (key, parts), only for columns that have one.
 
-    Which light keys are named can differ from run to run, while both sides of a
-    join must agree on the list. So it is found once, here, and checkpointed:
-    at most ``1 / share`` values.
+    One job counts all columns: one narrow aggregation whose map side leaves a
+    row for each key and task. There are at most rows / ``policy.rows`` heavy
+    keys. Both sides of a join must agree on them, so they are checkpointed.
     """
-    checkpoint_root(df.sparkSession)
-    found = df.select(key).stat.freqItems([key], share)
-    keys = found.select(F.explode(f"{key}_freqItems").alias(key)).where(F.col(key).isNotNull()).distinct()
-    return keys.checkpoint()
-
-
-def keyed_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "inner",
-    *,
-    skew: SkewPolicy | None = None,
-    counted: DataFrame | None = None,
-) -> DataFrame:
+    frames = list(counted.values())
+    checkpoint_root(frames[0].sparkSession)
+    kinds = {name: frame.schema[name].dataType for name, frame in counted.items()}
+    every = None
+    for name, frame in counted.items():
+        own = frame.select(F.lit(name).alias("_of"), F.col(f"`{name}`").cast("string").alias("_key"))
+        every = own if every is None else every.unionAll(own)
+    sums = every.where("_key IS NOT NULL").groupBy("_of", "_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > policy.rows)
+    found = sums.select("_of", "_key", F.ceil(F.col("_n") / policy.rows).cast("int").alias("_parts")).checkpoint()
+    present = {row["_of"] for row in found.select("_of").distinct().collect()}  # at most one row for each column
+    return {
+        name: found.where(F.col("_of") == name).select(F.col("_key").cast(kinds[name]).alias(name), "_parts") for name in counted if name in present
+    }
+
+
+def keyed_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *, heavy: DataFrame | None = None) -> DataFrame:
     """Join ``left`` with ``right`` on one shared key column.
 
     The right side must hold few rows per key (a dimension, an index); the
     left side may hold any number. ``how`` is inner, left, left_semi or
-    left_anti. Without a policy this is the plain join and Spark chooses the
-    strategy from sizes. With one, the rows of heavy left keys get one of
-    ``salt`` numbers and the matching right rows are repeated for each number,
-    so that every left row still meets each right row exactly once. The number
-    is a hash of the whole left row: a retried task finds the same one, and rows
-    spread well where they are distinct.
-
-    ``counted`` is a cheaper frame to look for heavy keys in, such as the scan
-    that ``left`` was computed from.
+    left_anti. Without heavy keys (:func:`heavy_keys`) this is the plain join.
+    Rows of a heavy left key get one of its ``_parts`` numbers and the matching
+    right rows are repeated for each number, so that every left row still meets
+    each right row exactly once. The number is a hash of the whole left row: a
+    retried task finds the same one, and rows spread well where they are distinct.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    if skew is None:
+    if heavy is None:
         return left.join(right, key, how)
 
-    # At most 1/share keys, each one value: small by construction.
-    found = heavy_keys(left if counted is None else counted, key, skew.share)
-    heavy = F.broadcast(found.withColumn("_heavy", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(skew.salt)).cast("int")
-    salted_left = (
-        left.join(heavy, key, "left")
-        .withColumn("_salt", F.when(F.col("_heavy"), spread).otherwise(F.lit(0)))
-        .drop("_heavy")
-    )
-    every = F.sequence(F.lit(0), F.lit(skew.salt - 1))
-    salted_right = (
-        right.join(heavy, key, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_heavy"), every).otherwise(F.array(F.lit(0)))))
-        .drop("_heavy")
-    )
+    # At most rows / policy.rows keys: a millionth of the rows by default. Left to Spark's size check.
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.col("_parts")).cast("int")
+    salted_left = left.join(heavy, key, "left").withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_parts")
+    numbers = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    salted_right = right.join(heavy, key, "left").withColumn("_salt", F.explode(numbers)).drop("_parts")
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")

@@ -10,12 +10,11 @@ the shuffle of a heavy key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidestar.plans.star import row_counts
 from tidestar.schemas import STAR_TABLES
-from tidestar.session import checkpoint_root
 
 Star = dict[str, DataFrame]
 TOTAL = "decimal(22,2)"
@@ -45,31 +44,24 @@ def _partners(star: Star) -> list[tuple[str, DataFrame]]:
     ]
 
 
-def q_star_join_top20(star: Star, n: int = 20, pool: int = 1000) -> DataFrame:
+def q_star_join_top20(star: Star, n: int = 20) -> DataFrame:
     """The largest facts with customer, product and date.
 
     Every fact that finds its partners gives at least one row, so the first
     ``n`` such facts hold the whole result, and only they are joined with the
-    wide dimension columns.
-
-    Those ``n`` are nearly always among the ``pool`` largest facts, which one
-    pass finds without a shuffle. Where they are not, since too many of the
-    largest facts lack a partner, all facts are reduced by semi-joins instead.
+    wide dimension columns. Dates and products are asked for first; then each
+    customer keeps its ``n`` largest facts, a limit that every task applies
+    before the shuffle, so that a customer of many facts is ``n`` rows per task
+    when the customers are asked for.
     """
     order = [F.col("total_amount").desc(), F.col("order_sk"), F.col("quantity"), F.col("unit_price")]
-    facts = star["fact_orders"]
-    checkpoint_root(facts.sparkSession)
-    largest = facts.orderBy(*order).limit(pool).checkpoint()
-    matched = largest
-    for key, rows in _partners(star):
-        # At most ``pool`` keys on either side that is broadcast.
-        wanted = F.broadcast(largest.select(key))
-        found = F.broadcast(rows.select(key).join(wanted, key, "left_semi").distinct())
-        matched = matched.join(found, key, "left_semi")
-    if largest.count() == pool and matched.limit(n).count() < n:
-        matched = facts
-        for key, rows in _partners(star):
-            matched = matched.join(rows.select(key), key, "left_semi")
+    matched = star["fact_orders"]
+    dates, customers, products = _partners(star)
+    for key, rows in (dates, products):
+        matched = matched.join(rows.select(key), key, "left_semi")
+    best = Window.partitionBy("customer_key").orderBy(*order)
+    matched = matched.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n).drop("_rank")
+    matched = matched.join(customers[1].select(customers[0]), customers[0], "left_semi")
 
     # After each join the first n rows hold the result of the next one, and n rows are broadcast.
     top = matched.orderBy(*order).limit(n)

@@ -24,8 +24,9 @@ def create_star_tables(
 ) -> None:
     """Make the declared tables where they are missing.
 
-    Facts are partitioned by the day of the order.
+    Facts are partitioned by the day of the order. Each gets ``TABLE_PROPERTIES``.
     """
+    properties = ", ".join(f"'{key}' = '{value}'" for key, value in TABLE_PROPERTIES.items())
     for table in tables:
         columns = [f"{f.name} {f.dataType.simpleString()}" for f in star_schema(table, id_type).fields]
         partition = ""
@@ -34,17 +35,17 @@ def create_star_tables(
             partition = " PARTITIONED BY (order_day)"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{table} ({', '.join(columns)}) USING parquet{partition} "
-            f"LOCATION '{root}/{table}'"
+            f"LOCATION '{root}/{table}' TBLPROPERTIES ({properties})"
         )
 
 
 def append_star_tables(
-    spark: SparkSession, database: str, frames: dict[str, DataFrame], *, fact_tasks: int | None = None,
+    spark: SparkSession, database: str, frames: dict[str, DataFrame],
 ) -> None:
     """Append each frame to its table by column name."""
     for table, frame in frames.items():
         if table == "fact_orders":
-            frame = gather_by(frame.withColumn("order_day", F.to_date("order_timestamp")), "order_day", fact_tasks)
+            frame = gather_by(frame.withColumn("order_day", F.to_date("order_timestamp")), "order_day")
         columns = spark.table(f"{database}.{table}").columns
         frame.select(*columns).write.mode("append").insertInto(f"{database}.{table}")
 

@@ -103,7 +103,7 @@ def transform_star(
     id_type: T.DataType = ID,
     null_timestamps: bool | Collection[str] = True,
     drop_deleted: bool = False,
-    skew: SkewPolicy | None = None,
+    skew: SkewPolicy = SkewPolicy(),
 ) -> StarBatch:
     """The whole batch as lazy star tables, keys looked up within the batch.
 
@@ -120,13 +120,10 @@ def transform_star(
     return StarBatch(customers, products, build_dim_date(won["orders"]), facts)
 
 
-def gather_by(rows: DataFrame, folder: str, tasks: int | None = None) -> DataFrame:
+def gather_by(rows: DataFrame, folder: str) -> DataFrame:
     """Bring the rows of a partition folder together before they are written.
 
-    A folder then gets few files. By default Spark sizes the tasks: it splits a
-    folder that is large and joins small ones. For inputs of known small size,
-    ``tasks`` keeps the writing of many tiny folders parallel.
+    A folder then gets few files. Spark sizes the tasks: it splits a folder that
+    is large and joins small ones.
     """
-    if tasks is None:
-        return rows.hint("rebalance", F.col(folder))
-    return rows.repartition(tasks, folder)
+    return rows.hint("rebalance", F.col(folder))

@@ -6,8 +6,13 @@ four tables of a batch appear together or not at all, and writing a batch again
 replaces its folders and changes nothing else.
 
 Dimensions are logs: a batch appends the versions it opens and, for versions it
-closes, their final form. A batch costs work in its own size, not in the size
-of the dimension.
+closes, their final form. A batch writes as much as it changes; it reads the
+ids of the whole log, and the other columns of the ids it needs.
+
+An item and its order need not come in the same batch. The orders that won are
+kept as a log too, and items that found no partner wait in ``pending_items``
+with the reason. A batch joins its items and the waiting ones with its orders
+and the stored ones; a waiting item that finds its partners becomes a fact once.
 """
 
 from __future__ import annotations
@@ -27,14 +32,15 @@ from tidestar.operators import (
     build_dim_customer,
     build_dim_date,
     build_dim_product,
-    build_fact_orders,
     delete_facts,
     dim_date_upsert,
-    keyed_join,
+    facts_of,
+    judged_items,
     scd2_changes,
 )
-from tidestar.plans.star import dedup_feeds, gather_by, heavy_sources
-from tidestar.schemas import ID, NTZ, STAR_TABLES, empty_frame, star_schema
+from tidestar.functions.convert import to_decimal_safe, to_string_safe, to_timestamp_safe
+from tidestar.plans.star import dedup_feeds, gather_by
+from tidestar.schemas import ID, NTZ, PRICE, STAR_TABLES, empty_frame, star_schema
 
 DIMENSIONS = {d.table: d for d in (CUSTOMER, PRODUCT)}
 BUILDERS = {"dim_customer": build_dim_customer, "dim_product": build_dim_product}
@@ -55,11 +61,10 @@ class Warehouse:
         *,
         id_type: T.DataType = ID,
         fact_unit: str = DAY,
-        fact_tasks: int | None = None,
-        skew: SkewPolicy | None = None,
+        skew: SkewPolicy = SkewPolicy(),
     ) -> None:
         self.spark, self.root, self.id_type = spark, root.rstrip("/"), id_type
-        self.fact_unit, self.fact_tasks, self.skew = fact_unit, fact_tasks, skew
+        self.fact_unit, self.skew = fact_unit, skew
 
     # ---- tables -------------------------------------------------------
 
@@ -77,7 +82,14 @@ class Warehouse:
             fields = [T.StructField("table_name", T.StringType()), T.StructField("batch_id", T.LongType()),
                       T.StructField("committed_at", NTZ), T.StructField("rows", T.LongType())]
         elif table == "failed_files":
-            fields = [T.StructField("path", T.StringType()), T.StructField("lost_rows", T.LongType())]
+            fields = [T.StructField("path", T.StringType()), T.StructField("lost_rows", T.LongType()), T.StructField("reason", T.StringType())]
+        elif table == "stored_orders":
+            fields = [T.StructField("id", self.id_type), T.StructField("customer_id", self.id_type), T.StructField("order_date", NTZ),
+                      T.StructField("status", T.StringType()), T.StructField("Op", T.StringType())]
+        elif table == "pending_items":
+            fields = [T.StructField("id", T.StringType()), T.StructField("order_id", self.id_type), T.StructField("product_id", self.id_type),
+                      T.StructField("quantity", T.IntegerType()), T.StructField("unit_price", PRICE), T.StructField("Op", T.StringType()),
+                      T.StructField("reason", T.StringType()), T.StructField("since", T.LongType())]
         elif table == "fact_deletes":
             fields = [T.StructField("order_id", self.id_type)]
         else:
@@ -91,7 +103,7 @@ class Warehouse:
 
     def create_tables(self) -> None:
         """Make the folders of all tables; those that exist are left alone."""
-        for table in (*STAR_TABLES, "fact_deletes", "failed_files", "commits"):
+        for table in (*STAR_TABLES, "fact_deletes", "failed_files", "stored_orders", "pending_items", "commits"):
             empty_frame(self.spark, self.schema(table)).coalesce(1).write.mode("ignore").partitionBy("_batch_id").parquet(self.path(table))
 
     def _scan(self, table: str, merge_schema: bool = False) -> DataFrame:
@@ -159,10 +171,10 @@ class Warehouse:
 
     def _versions(self, log: DataFrame, dim: Dimension) -> DataFrame:
         """Each version once: its closed form if it was closed, else as opened."""
-        closed = log.where("event = 'close'")
-        opened = log.where("event = 'open'")
-        still_open = opened.join(closed.select(dim.natural_id, "opened_in"), [dim.natural_id, "opened_in"], "left_anti")
-        return still_open.unionByName(closed)
+        # One pass: of the at most two rows of a version the closed one comes first by name.
+        row = F.struct(*[F.col(f.name) for f in log.schema.fields if f.name not in (dim.natural_id, "opened_in")])
+        latest = log.groupBy(dim.natural_id, "opened_in").agg(F.min_by(row, "event").alias("_row"))
+        return latest.select(dim.natural_id, "opened_in", "_row.*")
 
     def dimension(self, table: str, version: int | None = None, as_of: Column | None = None) -> DataFrame:
         """All versions of a dimension, current and closed."""
@@ -176,8 +188,7 @@ class Warehouse:
         where its size allows, and the log is then not shuffled.
         """
         dim = DIMENSIONS[table]
-        log = self._committed(table, before, writing=writing)
-        log = keyed_join(log, wanted, dim.natural_id, "left_semi", skew=self.skew)
+        log = self._committed(table, before, writing=writing).join(wanted, dim.natural_id, "left_semi")
         return self._versions(log, dim).where("is_current").select(*dim.columns, "opened_in")
 
     def star(self, version: int | None = None, as_of: Column | None = None) -> dict[str, DataFrame]:
@@ -218,7 +229,7 @@ class Warehouse:
         placed = facts.withColumn(
             self.fact_folder, F.date_format("order_timestamp", _FORMATS[self.fact_unit]),
         )
-        placed = gather_by(placed, self.fact_folder, self.fact_tasks)
+        placed = gather_by(placed, self.fact_folder)
         return self._put(placed, "fact_orders", batch_id, self.fact_folder)
 
     def delete_from_fact(self, orders: DataFrame, batch_id: int, committed_at: Column) -> None:
@@ -231,7 +242,7 @@ class Warehouse:
 
         ``lost_rows`` is null where not even the footer could be read.
         """
-        self._put(failed.select("path", F.col("lost_rows").cast("bigint").alias("lost_rows")), "failed_files", batch_id)
+        self._put(failed.select("path", F.col("lost_rows").cast("bigint").alias("lost_rows"), "reason"), "failed_files", batch_id)
 
     def failed_files(self) -> DataFrame:
         return self._scan("failed_files")
@@ -250,6 +261,38 @@ class Warehouse:
             f"{self.path('commits')}/_batch_id={batch_id}/part_of={label}"
         )
 
+    def _orders_in_reach(self, won: DataFrame, items: DataFrame | None, before: int) -> DataFrame:
+        """The winning orders of a batch (``own``), and the latest stored form of other orders that its items or waiting ones ask for."""
+        int_of = lambda c: to_int_safe(F.col(c), won.schema[c].dataType, self.id_type)
+        own = won.select(
+            int_of("id").alias("id"), int_of("customer_id").alias("customer_id"), to_timestamp_safe(F.col("order_date"), won.schema["order_date"].dataType).alias("order_date"),
+            to_string_safe(F.col("status")).alias("status"), "Op", F.lit(True).alias("own"),
+        )
+        asked = self._ids(items, "order_id", "id").union(self.pending_items(before).select(F.col("order_id").alias("id"))).distinct()
+        stored = self._committed("stored_orders", before).join(asked, "id", "left_semi").join(own.select("id"), "id", "left_anti")
+        row = F.struct("customer_id", "order_date", "status", "Op")
+        latest = stored.groupBy("id").agg(F.max_by(row, "_batch_id").alias("_row")).select("id", "_row.*", F.lit(False).alias("own"))
+        return own.unionByName(latest)
+
+    def _items_in_reach(self, won: DataFrame, before: int, batch_id: int) -> DataFrame:
+        """The winning items of a batch and those that wait, unless the batch changes them."""
+        int_of = lambda c, kind=self.id_type: to_int_safe(F.col(c), won.schema[c].dataType, kind)
+        own = won.select(
+            F.col("id").cast("string").alias("id"), int_of("order_id").alias("order_id"), int_of("product_id").alias("product_id"), int_of("quantity", T.IntegerType()).alias("quantity"),
+            to_decimal_safe(F.col("unit_price"), won.schema["unit_price"].dataType).alias("unit_price"), "Op", F.lit(batch_id).cast("bigint").alias("since"),
+        )
+        waiting = self.pending_items(before).join(own.select("id"), "id", "left_anti")
+        return own.unionByName(waiting.select(*own.columns))
+
+    def pending_items(self, version: int | None = None) -> DataFrame:
+        """Items that gave no fact up to a version, with the reason and the batch they came in (``since``)."""
+        done = self.commits().where("table_name = 'pending_items'")
+        if version is not None:
+            done = done.where(F.col("batch_id") <= version)
+        last = done.agg(F.max("batch_id")).first()[0]
+        rows = self._scan("pending_items")
+        return rows.where(F.col("_batch_id") == F.lit(last).cast("bigint")).drop("_batch_id")
+
     def write_batch(
         self,
         feeds: dict[str, DataFrame],
@@ -266,8 +309,13 @@ class Warehouse:
         Dimensions are written first and read back for the key lookup of the
         facts, so an item finds customers and products of earlier batches, and
         their changes are not computed twice. With ``hard_delete`` deleted
-        orders also lose the facts of earlier batches.
+        orders also lose the facts of earlier batches. A batch id that is
+        committed is left as it is.
         """
+        done = self.commits().where((F.col("batch_id") == batch_id) & (F.col("table_name") != "fact_deletes"))
+        written = {row["table_name"]: row["rows"] for row in done.select("table_name", "rows").collect()}
+        if written:
+            return written
         won = dedup_feeds(
             self.spark, feeds, arrival, id_type=self.id_type, null_timestamps=null_timestamps,
         )
@@ -278,19 +326,24 @@ class Warehouse:
         dates = dim_date_upsert(self.dates(batch_id - 1), build_dim_date(won["orders"]))
         rows["dim_date"] = self._put(dates, "dim_date", batch_id)
 
-        asked = {
-            "dim_customer": self._ids(feeds.get("orders"), "customer_id", "customer_id"),
-            "dim_product": self._ids(feeds.get("order_items"), "product_id", "product_id"),
-        }
+        before, id_type = batch_id - 1, self.id_type
+        orders = self._orders_in_reach(won["orders"], feeds.get("order_items"), before)
+        items = self._items_in_reach(won["order_items"], before, batch_id)
         known = {
-            table: self.current_rows(table, ids, writing=batch_id, before=batch_id)
-            for table, ids in asked.items()
+            "dim_customer": self.current_rows("dim_customer", orders.select("customer_id").distinct(), writing=batch_id, before=batch_id),
+            "dim_product": self.current_rows("dim_product", items.select("product_id").distinct(), writing=batch_id, before=batch_id),
         }
-        facts = build_fact_orders(
-            won["orders"], won["order_items"], known["dim_customer"], known["dim_product"],
-            id_type=self.id_type, drop_deleted=drop_deleted, skew=self.skew, raw=heavy_sources(feeds),
-        )
-        rows["fact_orders"] = self.write_facts(facts, batch_id)
+        raw = {"orders": orders, "order_items": items}
+        judged = judged_items(orders, items, *known.values(), id_type=id_type, drop_deleted=drop_deleted, skew=self.skew, raw=raw)
+        # Judged once, then read by the facts and by the waiting items.
+        staged = f"{self.path('_staging')}/_batch_id={batch_id}"
+        judged.write.mode("overwrite").parquet(staged)
+        judged = self.spark.read.parquet(staged)
+        rows["fact_orders"] = self.write_facts(facts_of(judged), batch_id)
+        waiting = judged.where("reason IS NOT NULL").withColumnRenamed("item_id", "id")
+        rows["pending_items"] = self._put(waiting.select(*[f.name for f in self.schema("pending_items").fields if f.name != "_batch_id"]), "pending_items", batch_id)
+        own = orders.where("own").select(*[f.name for f in self.schema("stored_orders").fields if f.name != "_batch_id"])
+        rows["stored_orders"] = self._put(own, "stored_orders", batch_id)
         if hard_delete:
             gone = won["orders"].where("Op = 'D'").select(F.col("id").cast(self.id_type).alias("order_id"))
             rows["fact_deletes"] = self._put(gone, "fact_deletes", batch_id)

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+LOCAL_MASTER = re.compile(r"local(\[|$)")  # driver and tasks in one process
+
+
 def build_session(app: str = "tidestar", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tested with.
 
@@ -36,13 +40,17 @@ def build_session(app: str = "tidestar", master: str | None = None, **conf: str)
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    Only where no folder is named (a local test session) a local one is made,
-    and the name is put into the session so that later calls agree.
+    Only a local session may lack it; a temporary folder is made then. On a
+    cluster every executor would write to its own disk, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not root:
-        root = context.getCheckpointDir() or "file:" + tempfile.mkdtemp(prefix="tidestar-")
+        root = context.getCheckpointDir()
+    if not root:
+        if not LOCAL_MASTER.match(context.master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share; the master is {context.master}")
+        root = "file:" + tempfile.mkdtemp(prefix="tidestar-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root.rstrip("/")

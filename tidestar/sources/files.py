@@ -12,6 +12,7 @@ from tidestar.schemas import ID, WIDE_ID, empty_frame, feed_schema
 # Where the change files of a table lie below the landing folder.
 RAW_PREFIX = "dms-source"
 PARQUET_GLOB = "*.parquet"
+SIZE_UNITS = ("B", "KB", "MB", "GB")
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
@@ -58,14 +59,11 @@ def create_ledger(spark: SparkSession, ledger_path: str) -> None:
 
 def size_formatted(size: Column) -> Column:
     """Size for people: whole bytes, else one decimal of KB, MB or GB."""
-    kb = size / F.lit(1024.0)
-    mb = kb / F.lit(1024.0)
-    return (
-        F.when(size < 1024, F.concat(size.cast("string"), F.lit(" B")))
-        .when(kb < 1024, F.format_string("%.1f KB", kb))
-        .when(mb < 1024, F.format_string("%.1f MB", mb))
-        .otherwise(F.format_string("%.1f GB", mb / F.lit(1024.0)))
-    )
+    units = F.array(*[F.lit(unit) for unit in SIZE_UNITS])
+    # The unit is the power of 1024 that the number's binary digits reach.
+    power = F.least(F.floor((F.length(F.bin(size)) - 1) / 10), F.lit(len(SIZE_UNITS) - 1)).cast("int")
+    digits = F.when(power == 0, size.cast("string")).otherwise(F.format_string("%.1f", size / F.pow(F.lit(1024.0), power)))
+    return F.concat_ws(" ", digits, F.get(units, power))
 
 
 def file_catalog(files: DataFrame) -> DataFrame:
@@ -164,11 +162,12 @@ ARRIVAL = ("_file_time", "_file", "_row")
 
 
 def failed_files(spark: SparkSession, prefix: str | list[str], *, glob: str = PARQUET_GLOB) -> DataFrame:
-    """Files (below a prefix, or listed) that no row can be read from.
+    """Files (below a prefix, or listed) that cannot be read, with the ``reason``.
 
-    The scan takes no column, so it reads footers only. A valid file with zero
-    rows is no failure: it is one footer between two marks (4 bytes, the footer,
-    its length in 4 bytes, 4 bytes), which is looked for in small files.
+    One scan takes no column, so it reads footers only; every file that shows a
+    row is fine. The silent ones, which have no rows or cannot be read, are
+    opened again by Spark's own reader, which then fails: all at once, and in
+    halves of those that fail.
     """
     files = discover_files(spark, prefix, glob=glob).select("path", "length")
     seen = (
@@ -177,21 +176,30 @@ def failed_files(spark: SparkSession, prefix: str | list[str], *, glob: str = PA
         .option("pathGlobFilter", glob)
         .option("ignoreCorruptFiles", "true")
         .parquet(*([prefix] if isinstance(prefix, str) else prefix))
-        .select(_plain_path(F.col("_metadata.file_path")).alias("path"))
+        .select(_plain_path(F.col("_metadata.file_path")).alias("plain"))
         .distinct()
     )
-    files = files.withColumn("plain", _plain_path(F.col("path")))
-    silent = files.join(seen.select(F.col("path").alias("plain")), "plain", "left_anti")
-    small = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(prefix)
-        .where(F.col("length") < 1 << 20)
-        .select(_plain_path(F.col("path")).alias("path"), _only_footer(F.col("content"), F.col("length")).alias("_empty"))
-        .where("_empty")
-    )
-    return silent.join(small.select(F.col("path").alias("plain")), "plain", "left_anti").drop("plain")
+    silent = files.withColumn("plain", _plain_path(F.col("path"))).join(seen, "plain", "left_anti")
+    # Files without rows or without a footer: few next to the files of a prefix.
+    listed = {row["path"]: row["length"] for row in silent.select("path", "length").collect()}
+    failed = [(path, listed[path], reason) for path, reason in _unreadable(spark, sorted(listed))]
+    schema = "path string, length bigint, reason string"
+    return spark.createDataFrame(failed, schema) if failed else spark.range(0).selectExpr("'' AS path", "0L AS length", "'' AS reason")
+
+
+def _unreadable(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
+    if not paths:
+        return []
+    try:
+        spark.read.schema("Op string").option("ignoreCorruptFiles", "false").parquet(*paths).select(F.lit(1)).count()
+        return []
+    except Exception as error:
+        if not any(sign in str(error) for sign in ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")):
+            raise
+        if len(paths) == 1:
+            return [(paths[0], str(error).split("\n", 1)[0][:300])]
+    half = len(paths) // 2
+    return _unreadable(spark, paths[:half]) + _unreadable(spark, paths[half:])
 
 
 def damaged_files(read: DataFrame, spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -217,14 +225,6 @@ def _plain_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^([a-z0-9]+):/+", "$1:/")
 
 
-def _only_footer(content: Column, length: Column) -> Column:
-    head = F.hex(F.substring(content, 1, 4)) == F.lit("50415231")
-    tail = F.hex(F.substring(content, -4, 4)) == F.lit("50415231")
-    size = F.hex(F.substring(content, -8, 4))
-    big_endian = F.concat(*[F.substring(size, start, 2) for start in (7, 5, 3, 1)])
-    return head & tail & (F.conv(big_endian, 16, 10).cast("bigint") + 12 == length)
-
-
 def file_error_report(failed: DataFrame, root: str) -> DataFrame:
     """Failed files per source table, and a row with the total."""
     per_table = failed.groupBy(table_of_key(object_key(F.col("path"), root)).alias("source_table")).agg(

@@ -28,9 +28,11 @@ from tidestar.sources.files import (
     table_of_key,
 )
 
+# Files of one micro-batch. A bound of the driver's list only: an item and its order may come in different batches.
 MAX_FILES = 10_000
 
-FAILED = T.StructType([T.StructField("path", T.StringType()), T.StructField("lost_rows", T.LongType())])
+FAILED = T.StructType([T.StructField("path", T.StringType()), T.StructField("lost_rows", T.LongType()), T.StructField("reason", T.StringType())])
+UNKNOWN_TABLE = "no table of the star"
 
 # The columns of Spark's binaryFile source.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -89,14 +91,15 @@ def process_batch(
 
     def run(files: DataFrame, batch_id: int) -> None:
         spark = warehouse.spark
-        new = {table: paths for table, paths in _new_files(files).items() if table in SOURCE_TABLES}
-        if not new:
+        found = _new_files(files)
+        new = {table: paths for table, paths in found.items() if table in SOURCE_TABLES}
+        foreign = {path: UNKNOWN_TABLE for table, paths in found.items() if table not in SOURCE_TABLES for path in paths}
+        if not new and not foreign:
             return
-        unreadable: dict[str, None] = {}
-        if skip_corrupt:
+        unreadable: dict[str, str] = {}
+        if skip_corrupt and new:
             every = [path for paths in new.values() for path in paths]
-            found = failed_files(spark, every).select("path").collect()  # at most max_files rows
-            unreadable = {row["path"]: None for row in found}
+            unreadable = {row["path"]: row["reason"] for row in failed_files(spark, every).collect()}  # at most max_files rows
         readable = {table: [p for p in paths if p not in unreadable] for table, paths in new.items()}
         readable = {table: paths for table, paths in readable.items() if paths}
 
@@ -117,7 +120,8 @@ def process_batch(
             )
 
         stamp = clock(batch_id) if clock else F.lit(_now(spark))
-        failed = spark.createDataFrame([(path, None) for path in unreadable], FAILED) if unreadable else empty_frame(spark, FAILED)
+        noted = [(path, None, reason) for path, reason in {**unreadable, **foreign}.items()]
+        failed = spark.createDataFrame(noted, FAILED) if noted else empty_frame(spark, FAILED)
         warehouse.write_failed_files(failed, batch_id)
         if not readable:
             return
@@ -129,7 +133,7 @@ def process_batch(
             # Some file has a good footer and bad content: tell which, and take what can be read.
             frames = feeds(leave_out=True)
             for table, paths in readable.items():
-                failed = failed.unionByName(damaged_files(frames[table], spark, paths))
+                failed = failed.unionByName(damaged_files(frames[table], spark, paths).withColumn("reason", F.lit("content cannot be read")))
             warehouse.write_failed_files(failed, batch_id)
             write(frames)
 

@@ -12,7 +12,6 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestar.operators import SkewPolicy
 from tidestar.plans import catalog
 from tidestar.plans.star import StarBatch, transform_star
 from tidestar.plans.warehouse import MONTH, Warehouse
@@ -28,10 +27,6 @@ _made: dict[tuple[str, str, str], object] = {}
 BATCH_AT = "2024-03-02 00:00:00"
 BETWEEN = "2024-02-15 00:00:00"
 
-# Below this input size one heavy key fits a task, so joins are left as they are.
-SALT_FROM_BYTES = 1 << 30
-
-
 def once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], T_]) -> T_:
     slot = (spark.sparkContext.applicationId, sf_dir, label)
     if slot not in _made:
@@ -39,25 +34,9 @@ def once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], T_]) -
     return _made[slot]  # type: ignore[return-value]
 
 
-def skew_policy(spark: SparkSession, sf_dir: str) -> SkewPolicy | None:
-    """Salting for large inputs, by the size of the line items on storage."""
-
-    def decide() -> SkewPolicy | None:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/lineitem.parquet")
-        return SkewPolicy() if files.agg(F.sum("length")).first()[0] >= SALT_FROM_BYTES else None
-
-    return once(spark, sf_dir, "skew", decide)
-
-
-def fact_tasks(spark: SparkSession, sf_dir: str) -> int | None:
-    """A fixed number of write tasks for small inputs; Spark decides for large ones."""
-    return spark.sparkContext.defaultParallelism if skew_policy(spark, sf_dir) is None else None
-
-
 def new_warehouse(spark: SparkSession, sf_dir: str, label: str) -> Warehouse:
     return Warehouse(
         spark, scratch_dir(spark, label), id_type=WIDE_ID, fact_unit=MONTH,
-        fact_tasks=fact_tasks(spark, sf_dir), skew=skew_policy(spark, sf_dir),
     )
 
 
@@ -65,12 +44,12 @@ def literal_star(spark: SparkSession, sf_dir: str) -> StarBatch:
     """The whole feed as one batch. The sample feeds have no missing times."""
     return transform_star(
         spark, sf.sample_feed(spark, sf_dir), sf.ARRIVAL, sf.at(BATCH_AT),
-        id_type=WIDE_ID, null_timestamps=False, skew=skew_policy(spark, sf_dir),
+        id_type=WIDE_ID, null_timestamps=False,
     )
 
 
-def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The one-batch star as written tables."""
+def gold_root(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the one-batch star."""
 
     def write() -> str:
         root = scratch_dir(spark, "gold")
@@ -78,7 +57,12 @@ def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             frame.write.parquet(f"{root}/{table}")
         return root
 
-    root = once(spark, sf_dir, "gold", write)
+    return once(spark, sf_dir, "gold", write)
+
+
+def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The one-batch star as written tables."""
+    root = gold_root(spark, sf_dir)
     return {t: spark.read.schema(star_schema(t, WIDE_ID)).parquet(f"{root}/{t}") for t in STAR_TABLES}
 
 
@@ -127,12 +111,12 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
 
 
 def broken_landing(spark: SparkSession, sf_dir: str) -> str:
-    """Customer and order change files, each with one file that is not Parquet."""
+    """The change files of all feeds, each table with one file that is not Parquet."""
 
     def write() -> str:
         root = scratch_dir(spark, "broken")
         feeds = sf.sample_feed(spark, sf_dir)
-        for table in ("customers", "orders"):
+        for table in SOURCE_TABLES:
             folder = f"{root}/{RAW_PREFIX}/public/{table}"
             feeds[table].write.parquet(folder)
             lines = sf.read(spark, sf_dir, "region").select("r_name").coalesce(1)  # five rows
@@ -151,7 +135,7 @@ def catalog_database(spark: SparkSession, sf_dir: str) -> str:
         catalog.ensure_database(spark, database, f"{root}/{database}")
         for _ in range(2):  # the second call finds everything in place
             catalog.create_star_tables(spark, database, root, id_type=WIDE_ID)
-        catalog.append_star_tables(spark, database, gold(spark, sf_dir), fact_tasks=fact_tasks(spark, sf_dir))
+        catalog.append_star_tables(spark, database, gold(spark, sf_dir))
         return database
 
     return once(spark, sf_dir, "catalog", write)

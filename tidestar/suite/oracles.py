@@ -237,10 +237,18 @@ def oracle_sql() -> dict[str, str]:
         "size_formatted": f"SELECT o_orderkey, size, {_size('size')} AS size_text FROM {SIZE_ROWS}",
         "read_cdc_parquet": "SELECT * FROM items_feed",
         "stream_cdc": PER_FEED,
-        "skip_corrupt_files": """SELECT 'customers' AS source_table, "Op", id, "Timestamp" FROM customers_feed
-  UNION ALL SELECT 'orders', "Op", id, "Timestamp" FROM orders_feed""",
-        "file_error_report": """SELECT 'customers' AS source_table, 1::BIGINT AS errors UNION ALL SELECT 'orders', 1
-  UNION ALL SELECT 'TOTAL', 2""",
+        "skip_corrupt_files": " UNION ALL ".join(
+            f"""SELECT '{t}' AS source_table, "Op", id, "Timestamp" FROM {r}""" for t, r in FEED_OF.items()
+        ),
+        "file_error_report": " UNION ALL ".join(
+            [*(f"SELECT '{t}' AS source_table, 1::BIGINT AS errors" for t in FEED_OF), f"SELECT 'TOTAL', {len(FEED_OF)}"]
+        ),
+        "file_catalog": f"SELECT *, true AS all_parquet, true AS sizes_agree, true AS all_timed FROM ({ROWS_PER_FEED})",
+        "process_batch_split": f"""SELECT table_name, row_count, NULL::{TOTAL} AS amount FROM ({STAR_COUNTS}) WHERE table_name <> 'fact_orders'
+  UNION ALL SELECT 'fact_orders', count(*), sum(total_amount)::{TOTAL} FROM fact_orders""",
+        "pending_items": """SELECT order_id, product_id, quantity, unit_price,
+    CASE WHEN o.id IS NULL THEN 'order not found' ELSE 'no current customer' END AS reason, 0::BIGINT AS since
+  FROM items_won i LEFT JOIN (SELECT id FROM orders_won) o ON o.id = i.order_id""",
         "route_by_table": f'SELECT source_table, "Op", n_rows, max_id FROM ({PER_FEED})',
         "process_batch": f"""SELECT table_name, row_count, NULL::{TOTAL} AS amount FROM ({STAR_COUNTS}) WHERE table_name <> 'fact_orders'
   UNION ALL SELECT 'fact_orders', count(*), sum(total_amount)::{TOTAL} FROM fact_orders""",
@@ -257,7 +265,8 @@ def oracle_sql() -> dict[str, str]:
   UNION ALL SELECT 'unit_price', 'DECIMAL(10,2)', 'DOUBLE', count(*), 0 FROM lineitem""",
         "register_tables": f"""SELECT table_name, key, value, row_count FROM ({STAR_COUNTS}),
   (VALUES ('layer', 'gold'), ('origin', 'feed')) AS p(key, value)""",
-        "verify_tables": f"SELECT table_name, true AS is_registered, row_count FROM ({STAR_COUNTS})",
+        "verify_tables": f"""SELECT table_name, true AS is_registered, row_count FROM ({STAR_COUNTS})
+  UNION ALL SELECT 'fact_returns', false, NULL""",
         "delete_from_fact": "SELECT * FROM fact_orders WHERE order_id NOT IN (SELECT id FROM orders_feed WHERE status = 'P')",
         "snapshot_diff_cdc": f"""SELECT CASE WHEN o.id IS NULL THEN 'I' WHEN n.id IS NULL THEN 'D' ELSE 'U' END AS "Op",
   coalesce(n.id, o.id) AS id, {_N}, {T2} AS "Timestamp"
@@ -278,7 +287,9 @@ def oracle_sql() -> dict[str, str]:
         "to_int_safe": """SELECT p_partkey, replace(p_brand, 'Brand#', '')::INTEGER AS brand_no, 0 AS name_no, 0 AS fraction_no,
   trunc(p_retailprice)::INTEGER AS whole_price, CASE WHEN p_size > 10 THEN p_size ELSE 0 END AS large_size FROM part""",
         "to_decimal_safe": """SELECT l_orderkey, l_linenumber, l_extendedprice::DECIMAL(10,2) AS price, 0::DECIMAL(10,2) AS flag,
-  (l_linenumber + 0.25)::DECIMAL(10,2) AS line FROM lineitem""",
+  (l_linenumber + 0.25)::DECIMAL(10,2) AS line,
+  try_cast(floor(l_extendedprice * 10000)::BIGINT::VARCHAR || '.5' AS DECIMAL(10,2)) AS wide_text,
+  try_cast(floor(l_extendedprice * 10000)::BIGINT AS DECIMAL(10,2)) AS wide FROM lineitem""",
         "to_timestamp_safe": """SELECT event_id, ts AS stamp, ts::DATE::TIMESTAMP AS midnight, NULL::TIMESTAMP AS none FROM events""",
         "to_date_safe": "SELECT event_id, ts::DATE AS day, NULL::DATE AS none FROM events",
         "infer_column_types": _feed_profile(

@@ -13,6 +13,7 @@ from tidestar import functions as fn
 from tidestar import operators as op
 from tidestar.plans import analytics, catalog, quality
 from tidestar.plans.star import row_counts
+from tidestar.plans.warehouse import Warehouse
 from tidestar.schemas import SOURCE_TABLES, STAR_TABLES, WIDE_ID, feed_schema
 from tidestar.session import scratch_dir
 from tidestar.sources import files, synth
@@ -86,8 +87,19 @@ def processed_ledger(spark, sf_dir):
 
 @query
 def file_catalog(spark, sf_dir):
+    """Of the catalogued files of each table: their rows, whether all names and printed sizes are as they should be."""
     root = fx.landing(spark, sf_dir)
-    return files.file_catalog(files.discover_files(spark, f"{root}/{files.RAW_PREFIX}"))
+    listed = files.file_catalog(files.discover_files(spark, f"{root}/{files.RAW_PREFIX}"))
+    number, unit = F.split("size_formatted", " ")[0].cast("double"), F.split("size_formatted", " ")[1]
+    factor = F.element_at(F.create_map(F.lit("B"), F.lit(1), F.lit("KB"), F.lit(1 << 10), F.lit("MB"), F.lit(1 << 20), F.lit("GB"), F.lit(1 << 30)), unit)
+    fits = (F.abs(number * factor - F.col("length")) <= 0.05001 * factor) & ((factor == 1) | (F.col("length") >= factor))
+    checked = listed.select(
+        F.col("uri").alias("path"), F.col("uri").endswith(".parquet").alias("named"), fits.alias("fits"), F.col("modificationTime").isNotNull().alias("timed"),
+    )
+    told = checked.groupBy(files.table_of_key(files.object_key(F.col("path"), root)).alias("source_table")).agg(
+        F.bool_and("named").alias("all_parquet"), F.bool_and("fits").alias("sizes_agree"), F.bool_and("timed").alias("all_timed"),
+    )
+    return told.join(_rows_per_table(checked, _rows_per_file(spark, root), root), "source_table")
 
 
 @query
@@ -131,7 +143,7 @@ def skip_corrupt_files(spark, sf_dir):
         files.read_cdc_parquet(
             spark, f"{root}/{files.RAW_PREFIX}/public/{table}", table, id_type=WIDE_ID, skip_corrupt=True, glob="part-*",
         ).select(F.lit(table).alias("source_table"), "Op", "id", "Timestamp")
-        for table in ("customers", "orders")
+        for table in SOURCE_TABLES
     ])
 
 
@@ -159,6 +171,17 @@ def route_by_table(spark, sf_dir):
     return _union(parts)
 
 
+def _streamed(warehouse: Warehouse) -> DataFrame:
+    """Rows of the star tables and of the waiting items, and the revenue."""
+    counts = row_counts({
+        "dim_customer": warehouse.dimension("dim_customer"),
+        "dim_product": warehouse.dimension("dim_product"),
+        "dim_date": warehouse.dates(),
+    }).withColumn("amount", F.lit(None).cast(analytics.TOTAL))
+    facts = warehouse.facts().agg(F.count(F.lit(1)).alias("row_count"), F.sum("total_amount").cast(analytics.TOTAL).alias("amount"))
+    return counts.unionByName(facts.withColumn("table_name", F.lit("fact_orders")))
+
+
 @query
 def process_batch(spark, sf_dir):
     """Landing files through the stream into a warehouse, then its row counts and revenue."""
@@ -168,15 +191,29 @@ def process_batch(spark, sf_dir):
         warehouse, f"{root}/{files.RAW_PREFIX}", root, clock=lambda _: sf.at(fx.BATCH_AT), arrival=sf.ARRIVAL,
     )
     stream.awaitTermination()
-    facts = warehouse.facts()
-    counts = row_counts({
-        "dim_customer": warehouse.dimension("dim_customer"),
-        "dim_product": warehouse.dimension("dim_product"),
-        "dim_date": warehouse.dates(),
-    }).withColumn("amount", F.lit(None).cast(analytics.TOTAL))
-    return counts.unionByName(facts.agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum("total_amount").cast(analytics.TOTAL).alias("amount"),
-    ).withColumn("table_name", F.lit("fact_orders")))
+    return _streamed(warehouse)
+
+
+@query
+def process_batch_split(spark, sf_dir):
+    """Every table's changes in a batch of its own, the items first: each waits until its order and product are there."""
+    warehouse = fx.new_warehouse(spark, sf_dir, "split")
+    warehouse.create_tables()
+    feeds = sf.sample_feed(spark, sf_dir)
+    for batch_id, table in enumerate(("order_items", "orders", "customers", "products")):
+        warehouse.write_batch({table: feeds[table]}, sf.ARRIVAL, batch_id, sf.at(fx.BATCH_AT), null_timestamps=False)
+    return _streamed(warehouse)
+
+
+@query
+def pending_items(spark, sf_dir):
+    """What waits, and why, while the customers have not come yet."""
+    warehouse = fx.new_warehouse(spark, sf_dir, "pending")
+    warehouse.create_tables()
+    feeds = sf.sample_feed(spark, sf_dir)
+    for batch_id, tables in enumerate((("order_items",), ("orders", "products"))):
+        warehouse.write_batch({t: feeds[t] for t in tables}, sf.ARRIVAL, batch_id, sf.at(fx.BATCH_AT), null_timestamps=False)
+    return warehouse.pending_items().select("order_id", "product_id", "quantity", "unit_price", "reason", "since")
 
 
 @query
@@ -223,21 +260,22 @@ def schema_mismatch_report(spark, sf_dir):
 @query
 def register_tables(spark, sf_dir):
     """Star tables under a second database name, with merged properties."""
-    frames = fx.gold(spark, sf_dir)
+    root = fx.gold_root(spark, sf_dir)
     database = "tidestar_registered_" + scratch_dir(spark, "names")[-12:]
     catalog.ensure_database(spark, database, scratch_dir(spark, "registered"))
     for properties in ({"layer": "raw", "origin": "feed"}, catalog.TABLE_PROPERTIES):
-        for table, frame in frames.items():
-            location = frame.inputFiles()[0].rsplit("/", 1)[0]
-            catalog.register_table(spark, database, table, location, properties)
+        for table in STAR_TABLES:
+            catalog.register_table(spark, database, table, f"{root}/{table}", properties)
     properties = catalog.table_properties(spark, database).where(F.col("key").isin("layer", "origin"))
     return properties.join(F.broadcast(catalog.registered_counts(spark, database)), "table_name")
 
 
 @query
 def verify_tables(spark, sf_dir):
+    """The star tables and one that nobody made."""
     database = fx.catalog_database(spark, sf_dir)
-    return catalog.verify_tables(spark, database).join(catalog.registered_counts(spark, database), "table_name")
+    found = catalog.verify_tables(spark, database, (*STAR_TABLES, "fact_returns"))
+    return found.join(catalog.registered_counts(spark, database), "table_name", "left")
 
 
 @query
@@ -318,6 +356,8 @@ def to_decimal_safe(spark, sf_dir):
         fn.to_decimal_safe(F.col("l_extendedprice"), T.DoubleType()).alias("price"),
         fn.to_decimal_safe(F.col("l_returnflag"), T.StringType()).alias("flag"),
         fn.to_decimal_safe(F.concat(F.col("l_linenumber").cast("string"), F.lit(".25")), T.StringType()).alias("line"),
+        fn.to_decimal_safe(F.concat(F.floor(F.col("l_extendedprice") * 10_000).cast("string"), F.lit(".5")), T.StringType()).alias("wide_text"),
+        fn.to_decimal_safe(F.floor(F.col("l_extendedprice") * 10_000), T.LongType()).alias("wide"),
     )
 
 
@@ -458,16 +498,15 @@ def _fact_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
 @query
 def build_fact_orders(spark, sf_dir):
     return op.build_fact_orders(
-        *_fact_inputs(spark, sf_dir), id_type=WIDE_ID,
-        skew=fx.skew_policy(spark, sf_dir), raw=sf.sample_feed(spark, sf_dir),
+        *_fact_inputs(spark, sf_dir), id_type=WIDE_ID, raw=sf.sample_feed(spark, sf_dir),
     )
 
 
 @query
 def build_fact_orders_salted(spark, sf_dir):
-    """The same facts through the salted joins that large inputs take."""
+    """The same facts with so low a bound that many keys are heavy."""
     return op.build_fact_orders(
-        *_fact_inputs(spark, sf_dir), id_type=WIDE_ID, skew=op.SkewPolicy(salt=16), raw=sf.sample_feed(spark, sf_dir),
+        *_fact_inputs(spark, sf_dir), id_type=WIDE_ID, skew=op.SkewPolicy(rows=20), raw=sf.sample_feed(spark, sf_dir),
     )
 
 
@@ -477,7 +516,7 @@ def fact_rejects(spark, sf_dir):
     orders, items, customers, products = _fact_inputs(spark, sf_dir)
     return op.fact_rejects(
         orders.where("status <> 'O'"), items, customers, products, id_type=WIDE_ID,
-        skew=fx.skew_policy(spark, sf_dir), raw=sf.sample_feed(spark, sf_dir),
+        raw=sf.sample_feed(spark, sf_dir),
     )
 
 
@@ -512,22 +551,22 @@ def scd2_merge_product(spark, sf_dir):
 @query
 def scd2_history(spark, sf_dir):
     return op.scd2_history(
-        sf.customers_feed(spark, sf_dir), seq=sf.ARRIVAL["customers"], skew=fx.skew_policy(spark, sf_dir),
+        sf.customers_feed(spark, sf_dir), seq=sf.ARRIVAL["customers"],
     )
 
 
 @query
 def scd2_history_items(spark, sf_dir):
     return op.scd2_history(
-        sf.order_items_feed(spark, sf_dir), seq=sf.ARRIVAL["order_items"], skew=fx.skew_policy(spark, sf_dir),
+        sf.order_items_feed(spark, sf_dir), seq=sf.ARRIVAL["order_items"],
     )
 
 
 @query
 def scd2_history_items_spread(spark, sf_dir):
-    """The same history through the plan that large inputs take."""
+    """The same history with so low a bound that many keys are heavy."""
     return op.scd2_history(
-        sf.order_items_feed(spark, sf_dir), seq=sf.ARRIVAL["order_items"], skew=op.SkewPolicy(share=0.0001),
+        sf.order_items_feed(spark, sf_dir), seq=sf.ARRIVAL["order_items"], skew=op.SkewPolicy(rows=1),
     )
 
 
