@@ -34,10 +34,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go; a document that loses all its lines goes with them, as others hold each of them. n_chars follows the text."""
-    cleaned = dedup_lines(docs.select("doc_id", "text", "lang", "source", "n_chars"))
-    left = cleaned.where(~((F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines"))))
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", n_chars).select(*docs.columns)
+    cleaned = dedup_lines(docs)
+    n_lines, n_removed = (col(c) for c in cleaned.columns[-2:])
+    left = cleaned.where(~((n_removed > 0) & (n_removed == n_lines)))
+    n_chars = F.when(n_removed > 0, F.length("text").cast("long")).otherwise(col("n_chars")) if "n_chars" in docs.columns else None
+    return left.select(*[n_chars.alias(c) if c == "n_chars" else col(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +54,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the mix, with how many words of each are taken, repeats counted."""
-    return mix(docs).where(F.col("taken") > 0)
+    mixed = mix(docs)
+    return mixed.where(col(mixed.columns[-1]) > 0)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from cases import SCHEMA, components, sentence
+from pyspark.sql import functions as F
 from test_decontaminate import judged, split
 
 import corpus_pipeline as pipeline
@@ -65,6 +66,17 @@ def test_odd_rows_and_empty_tables(spark):
         stage(spark, odd, SMALL).collect()
 
 
+def test_clashing_columns_and_repeated_rows(spark, docs):
+    names = ["n_removed", "n_lines", "kept", "copies", "name", "cut", "u", "Taken", "target", "key", "rep", "id"]
+    rows = docs.limit(30)
+    wide = rows.union(rows).select("*", *[F.lit(1).alias(c) for c in names])
+    for name, stage in pipeline.STAGES[:-1]:
+        assert stage(spark, wide, SMALL).columns == wide.columns, name
+    mixed = pipeline.mixing(spark, wide, SMALL)
+    assert mixed.columns == [*wide.columns, "size", "source_size", "target_", "taken_"]
+    assert mixed.where("taken_ > 0").count() > 0
+
+
 def test_run(spark):
     got = pipeline.run(spark, SMALL)
     assert got.columns == [*COLUMNS, "size", "source_size", "target", "taken"]

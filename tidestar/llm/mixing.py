@@ -97,8 +97,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     text = col(text_col).cast("string")
     names = {c: free_name(docs, c) for c in ("size", "source_size", "target", "taken")}
-    measured = docs.select("*", n_words(text).alias("_mix_size"), _name(col(source_col)).alias("_mix_name"), uniform(col(id_col), text, seed).alias("_mix_u"))
-    rows = written(measured.select(col(source_col).cast("string").alias("source"), F.col("_mix_name").alias("name"), F.col("_mix_u").alias("u"), F.col("_mix_size").alias("size")), "sizes")
+    rows = written(
+        docs.select(col(source_col).cast("string").alias("source"), _name(col(source_col)).alias("name"), uniform(col(id_col), text, seed).alias("u"), n_words(text).alias("size")),
+        "sizes",
+    )
     plan = written(
         targets(rows, weights, share, most)
         .withColumn("name", _name(F.col("source")))
@@ -108,12 +110,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
     # Within a source all documents have the same odds of inclusion, so the order of the odds' quotient is that of u.
     chosen = plan.where(F.col("rest") > 0).select("name", "rest")
-    decided = written(plan.join(_cuts(rows, chosen), "name", "left").select("name", "source_size", "target", "copies", "cut"), "decided")
-    copies = F.col("copies") + F.when(F.col("_mix_u") <= F.col("cut"), 1).otherwise(0)
-    return measured.join(small(decided), measured["_mix_name"] == decided["name"]).select(
-        *[measured[f"`{c}`"] for c in docs.columns],
-        F.col("_mix_size").alias(names["size"]), decided["source_size"].alias(names["source_size"]), decided["target"].alias(names["target"]),
-        (F.col("_mix_size") * copies).cast("long").alias(names["taken"]),
+    decided = written(plan.join(_cuts(rows, chosen), "name", "left").select("name", F.struct("source_size", "target", "copies", "cut").alias("plan")), "decided")
+    name, size, u, of = (free_name(docs, c) for c in ("_name", "_size", "_u", "_plan"))
+    measured = docs.select("*", _name(col(source_col)).alias(name), n_words(text).alias(size), uniform(col(id_col), text, seed).alias(u))
+    copies = F.col(f"{of}.copies") + F.when(F.col(u) <= F.col(f"{of}.cut"), 1).otherwise(0)
+    return measured.join(small(decided.select(F.col("name").alias(name), F.col("plan").alias(of))), name).select(
+        *[col(c) for c in docs.columns],
+        F.col(size).alias(names["size"]), F.col(f"{of}.source_size").alias(names["source_size"]), F.col(f"{of}.target").alias(names["target"]),
+        (F.col(size) * copies).cast("long").alias(names["taken"]),
     )
 
 
