@@ -215,6 +215,8 @@ def test_other_physical_types_are_converted_not_skipped(spark, root):
     assert [(r["product_id"], str(r["unit_price"])) for r in w.dimension("dim_product").collect()] == [(100, "9.99")]
     assert w.facts().count() == 2
     assert w.failed_files().isEmpty()
+    told = rows(w.schema_mismatches(), "source_table", "column_name", "data_type", "filled_rows", "lost_rows")
+    assert {("customers", "id", "LONG", 2, 0), ("products", "id", "STRING", 1, 0), ("products", "price", "STRING", 1, 0)} <= set(told)
 
 
 def test_damaged_content_is_reported(spark, root):

@@ -18,6 +18,7 @@ and the stored ones; a waiting item that finds its partners becomes a fact once.
 from __future__ import annotations
 
 from collections.abc import Collection
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +38,11 @@ from tidestar.operators import (
     facts_of,
     judged_items,
     scd2_changes,
+    schema_mismatches,
 )
 from tidestar.functions.convert import to_decimal_safe, to_string_safe, to_timestamp_safe
 from tidestar.plans.star import dedup_feeds, gather_by
-from tidestar.schemas import ID, NTZ, PRICE, STAR_TABLES, empty_frame, star_schema
+from tidestar.schemas import ID, NTZ, PRICE, STAR_TABLES, empty_frame, feed_schema, star_schema
 
 DIMENSIONS = {d.table: d for d in (CUSTOMER, PRODUCT)}
 BUILDERS = {"dim_customer": build_dim_customer, "dim_product": build_dim_product}
@@ -83,6 +85,9 @@ class Warehouse:
                       T.StructField("committed_at", NTZ), T.StructField("rows", T.LongType())]
         elif table == "failed_files":
             fields = [T.StructField("path", T.StringType()), T.StructField("lost_rows", T.LongType()), T.StructField("reason", T.StringType())]
+        elif table == "schema_mismatches":
+            fields = [T.StructField(c, T.StringType()) for c in ("source_table", "column_name", "table_type", "data_type")]
+            fields += [T.StructField(c, T.LongType()) for c in ("filled_rows", "lost_rows")]
         elif table == "stored_orders":
             fields = [T.StructField("id", self.id_type), T.StructField("customer_id", self.id_type), T.StructField("order_date", NTZ),
                       T.StructField("status", T.StringType()), T.StructField("Op", T.StringType())]
@@ -103,7 +108,7 @@ class Warehouse:
 
     def create_tables(self) -> None:
         """Make the folders of all tables; those that exist are left alone."""
-        for table in (*STAR_TABLES, "fact_deletes", "failed_files", "stored_orders", "pending_items", "commits"):
+        for table in (*STAR_TABLES, "fact_deletes", "failed_files", "stored_orders", "pending_items", "schema_mismatches", "commits"):
             empty_frame(self.spark, self.schema(table)).coalesce(1).write.mode("ignore").partitionBy("_batch_id").parquet(self.path(table))
 
     def _scan(self, table: str, merge_schema: bool = False) -> DataFrame:
@@ -261,6 +266,19 @@ class Warehouse:
             f"{self.path('commits')}/_batch_id={batch_id}/part_of={label}"
         )
 
+    def _mismatches(self, feeds: dict[str, DataFrame]) -> list[DataFrame]:
+        """Of each feed whose columns have other types than declared: which ones, and how many values do not fit."""
+        found = []
+        for table, feed in feeds.items():
+            declared = feed_schema(table, self.id_type)
+            if any(f.name in feed.columns and feed.schema[f.name].dataType != f.dataType for f in declared.fields):
+                found.append(schema_mismatches(declared, feed).withColumn("source_table", F.lit(table)))
+        return found
+
+    def schema_mismatches(self, version: int | None = None) -> DataFrame:
+        """Columns that arrived with other types than declared, by batch."""
+        return self._committed("schema_mismatches", version)
+
     def _orders_in_reach(self, won: DataFrame, items: DataFrame | None, before: int) -> DataFrame:
         """The winning orders of a batch (``own``), and the latest stored form of other orders that its items or waiting ones ask for."""
         int_of = lambda c: to_int_safe(F.col(c), won.schema[c].dataType, self.id_type)
@@ -326,6 +344,8 @@ class Warehouse:
         dates = dim_date_upsert(self.dates(batch_id - 1), build_dim_date(won["orders"]))
         rows["dim_date"] = self._put(dates, "dim_date", batch_id)
 
+        if other := self._mismatches(feeds):
+            rows["schema_mismatches"] = self._put(reduce(DataFrame.unionByName, other), "schema_mismatches", batch_id)
         before, id_type = batch_id - 1, self.id_type
         orders = self._orders_in_reach(won["orders"], feeds.get("order_items"), before)
         items = self._items_in_reach(won["order_items"], before, batch_id)
