@@ -36,9 +36,10 @@ TOKENS = 128  # minwise tokens of a sketch, 16 bits each
 # A pair at the threshold misses all 16 roots' children with a chance of 0.25 ** 16.
 TREES = 12
 ROOT_TOKENS = 16
-# A node is compared exhaustively if at most so many of its documents are outside its largest component: they meet the
-# others in blocks of this size, so the work is in proportion to the node.
-LEAF = 256
+LEAF = 256  # a node of at most so many documents is compared exhaustively; larger ones are cut into blocks of this size
+# A node is also compared exhaustively if at most so many of its documents are outside its largest component: they meet
+# that one's blocks, so the work is in proportion to the node. All other nodes branch.
+OUTSIDE = 1024
 CUT = 0.60  # sketches that agree less than this are four deviations below the threshold
 DEPTH = 40  # nodes that still branch at this depth are compared exhaustively as they are
 
@@ -208,9 +209,11 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     use = shared[place]
     column, owner = (np.cumsum(shared) - 1)[place[use]], owner[use]
     out = np.zeros((len(sets), len(sets)), np.float32)
-    for at in range(0, int(shared.sum()), 8192):
-        lo, hi = np.searchsorted(column, (at, at + 8192))
-        part = np.zeros((len(sets), 8192), np.float32)
+    total = int(shared.sum())
+    for at in range(0, total, 4096):
+        width = min(4096, total - at)
+        lo, hi = np.searchsorted(column, (at, at + width))
+        part = np.zeros((len(sets), width), np.float32)
         part[owner[lo:hi], column[lo:hi] - at] = 1
         out += part @ part.T
     return out.astype(np.int64)
@@ -236,9 +239,10 @@ def _exhaustive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _compared(buffers: list[pa.Buffer]) -> Iterator[tuple[int, int]]:
     sets = [np.frombuffer(x, U64) for x in buffers]
     size = np.array([len(s) for s in sets])
-    for lo in range(0, len(sets), LEAF):  # more than one round only for a leaf at the greatest depth
-        for lo2 in range(lo, len(sets), LEAF):
-            some = [*range(lo, min(lo + LEAF, len(sets))), *(range(lo2, min(lo2 + LEAF, len(sets))) if lo2 > lo else ())]
+    most = LEAF + OUTSIDE  # more than one round only for a leaf at the greatest depth
+    for lo in range(0, len(sets), most):
+        for lo2 in range(lo, len(sets), most):
+            some = [*range(lo, min(lo + most, len(sets))), *(range(lo2, min(lo2 + most, len(sets))) if lo2 > lo else ())]
             at = np.array(some)
             i, j = np.nonzero(np.triu(linked(_overlaps([sets[k] for k in some]), size[at][:, None], size[at][None, :]), 1))
             yield from zip(at[i].tolist(), at[j].tolist(), strict=True)
@@ -321,7 +325,7 @@ def _unsettled(first: DataFrame, edges: DataFrame, found: DataFrame, tokens: Dat
     now = written(_open_nodes(narrow).join(tokens, "rep").select(*_LEVEL), "level")
     leaves = _blocks(now)
     for depth in range(DEPTH):
-        large = now.where(F.col("outside") > LEAF).select("node", "rep", "comp", "sketch")
+        large = now.where(F.col("outside") > OUTSIDE).select("node", "rep", "comp", "sketch")
         if large.isEmpty():
             break
         if depth == DEPTH - 1:
@@ -344,7 +348,7 @@ def _open_nodes(state: DataFrame) -> DataFrame:
 
 def _blocks(now: DataFrame) -> DataFrame:
     """Nodes that are ready, the largest component in blocks and the few others in each of them."""
-    ready = now.where(F.col("outside") <= LEAF)
+    ready = now.where(F.col("outside") <= OUTSIDE)
     n = F.ceil(F.col("n_main") / LEAF).cast("int")
     own = F.array(F.pmod(F.xxhash64("rep"), n).cast("int"))
     block = F.explode(F.when(F.col("comp") == F.col("main"), own).otherwise(F.sequence(F.lit(0), n - 1)))
