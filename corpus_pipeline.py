@@ -9,27 +9,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidestar.llm.decontaminate import contamination
 from tidestar.llm.line_dedup import dedup_lines
-from tidestar.llm.mixing import mix
+from tidestar.llm.mixing import WORD, mix
 from tidestar.llm.near_dedup import near_duplicates
 from tidestar.llm.quality_rules import fit, judge
-from tidestar.llm.shared import col, small, table, written
+from tidestar.llm.shared import col, free_name, small, table, written
 
 
-def _only(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id has ``kept``; rows without an id stay. ``decisions``: (doc_id, kept)."""
-    dropped = written(decisions.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
-    return docs.join(small(dropped), "doc_id", "left_anti").select(*[col(c) for c in docs.columns])
+def _key() -> Column:
+    """A hash of id and text, equal only for equal ids and texts; a null id is one of its own."""
+    return F.xxhash64(col("doc_id"), col("text").cast("string"))
+
+
+def _only(docs: DataFrame, decisions: DataFrame, by: Column) -> DataFrame:
+    """The rows of ``docs`` whose ``by`` is not that of a decision against them. ``decisions``: (doc_id, kept), doc_id = a value of ``by``."""
+    key = free_name(docs, "_key")
+    dropped = written(decisions.where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct(), "dropped")
+    return docs.withColumn(key, by).join(small(dropped), key, "left_anti").select(*[col(c) for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the labelling of lines reject go."""
-    judged = judge(docs.select("doc_id", "text"), fit(docs, table(spark, sf_dir, "labels")))
-    return _only(docs, judged.groupBy("doc_id").agg(F.max("kept").alias("kept")))
+    """Documents that the base rules or the labelling of lines reject go; each row is judged by its own text."""
+    field = fit(docs, table(spark, sf_dir, "labels"))
+    return _only(docs, judge(docs.select(_key().alias("doc_id"), "text"), field), _key())
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,14 +48,25 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    return _only(docs, near_duplicates(docs).select("doc_id", "kept"))
+    """Of each group of near duplicates the document with the smallest id stays.
+
+    Rows without id get one made of their text, above 2 ** 62; of equal texts among them one row stays.
+    """
+    own = col("doc_id").cast("long")
+    text = col("text").cast("string")
+    # Texts without words are no copies of each other and are linked with nothing.
+    nameless = F.coalesce(own.isNull() & text.rlike(WORD), F.lit(False))
+    row = F.struct(*[col(c) for c in docs.columns])
+    once = docs.where(nameless).select(text.alias("text"), row.alias("row")).groupBy("text").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
+    docs = docs.where(~nameless).union(once)
+    by = F.when(nameless, F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)).otherwise(own)
+    return _only(docs, near_duplicates(docs.select(by.alias("doc_id"), "text")), by)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _only(docs, found.groupBy("doc_id").agg((~F.max("contaminated")).alias("kept")))
+    found = contamination(docs.select(_key().alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _only(docs, found.select("doc_id", (~F.col("contaminated")).alias("kept")), _key())
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

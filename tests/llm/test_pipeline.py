@@ -66,6 +66,21 @@ def test_odd_rows_and_empty_tables(spark):
         stage(spark, odd, SMALL).collect()
 
 
+def test_rows_without_id_pass_the_filters(spark, docs):
+    """Rows without an id, and rows that share one, are judged by their own text."""
+    rng = random.Random(5)
+    good, near = sentence(rng, 200), sentence(rng, 200)
+    close = near.rsplit(" ", 1)[0] + " other"
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").where("size(split(text, ' ')) >= 12").first()["text"]
+    row = lambda i, t, s="s": (i, t, "en", s, 1, None, None, None)
+    left = lambda stage, rows: sorted(((r["doc_id"], r["text"]) for r in stage(spark, documents(spark, rows), SMALL).collect()), key=repr)
+    junk = "too short"
+    assert left(pipeline.quality_rules, [row(None, junk), row(None, good), row(1, good), row(1, junk)]) == sorted([(None, good), (1, good)], key=repr)
+    assert left(pipeline.decontamination, [row(None, item), row(None, good), row(1, good), row(1, item)]) == sorted([(None, good), (1, good)], key=repr)
+    rows = [row(None, good, "a"), row(None, good, "b"), row(7, near), row(None, close), row(None, None), row(None, None), row(None, " ")]
+    assert left(pipeline.near_dedup, rows) == sorted([(None, good), (7, near), (None, None), (None, None), (None, " ")], key=repr)
+
+
 def test_clashing_columns_and_repeated_rows(spark, docs):
     names = ["n_removed", "n_lines", "kept", "copies", "name", "cut", "u", "Taken", "target", "key", "rep", "id"]
     rows = docs.limit(30)
