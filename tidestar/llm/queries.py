@@ -14,6 +14,7 @@ from tidestar.llm.language_id import op7_byte_network
 from tidestar.llm.line_dedup import op2_site_spread
 from tidestar.llm.mixing import op1_pareto_mix
 from tidestar.llm.near_dedup import op10_chosen_path
+from tidestar.llm.periodic_runs import op11_multi_scale_minimizers
 from tidestar.llm.privacy import op5_disclosure
 from tidestar.llm.quality_gam import op6_pairwise_gam
 from tidestar.llm.quality_rules import op3_line_crf
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_longest_match": op8_longest_match,
     "op9_reply_trees": op9_reply_trees,
     "op10_chosen_path": op10_chosen_path,
+    "op11_multi_scale_minimizers": op11_multi_scale_minimizers,
     "pipeline": corpus_pipeline.run,
 }
 
