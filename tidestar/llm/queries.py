@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from tidestar.llm import chat_format, decontaminate, line_dedup
 from tidestar.llm.chat_format import op9_reply_trees
+from tidestar.llm.context_tree import op12_context_tree
 from tidestar.llm.decontaminate import op4_positional_index
 from tidestar.llm.language_id import op7_byte_network
 from tidestar.llm.line_dedup import op2_site_spread
@@ -18,6 +19,7 @@ from tidestar.llm.periodic_runs import op11_multi_scale_minimizers
 from tidestar.llm.privacy import op5_disclosure
 from tidestar.llm.quality_gam import op6_pairwise_gam
 from tidestar.llm.quality_rules import op3_line_crf
+from tidestar.llm.spelling import op13_group_trie
 from tidestar.llm.token_counts import op8_longest_match
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_reply_trees": op9_reply_trees,
     "op10_chosen_path": op10_chosen_path,
     "op11_multi_scale_minimizers": op11_multi_scale_minimizers,
+    "op12_context_tree": op12_context_tree,
+    "op13_group_trie": op13_group_trie,
     "pipeline": corpus_pipeline.run,
 }
 
