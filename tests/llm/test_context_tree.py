@@ -11,7 +11,7 @@ from cases import documents, words
 from pyspark.sql import functions as F
 
 from tidestar.llm import queries
-from tidestar.llm.context_tree import gram_values, log_estimate, score_texts
+from tidestar.llm.context_tree import log_estimate, log_probabilities, pack, pack_keys, score_texts, unpack, unpack_keys
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -63,18 +63,26 @@ def test_scores_against_the_definition(spark, depth):
             trees.setdefault(place, Tree(depth)).add(context, bit)
     rows = [(i, t, i < len(learned)) for i, t in enumerate([*learned, *tested])]
     df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
-    got = {r["doc_id"]: r for r in score_texts(df.repartition(3), F.col("learn"), depth=depth, block_bytes=10, group_grams=20).collect()}
+    got = {r["doc_id"]: r for r in score_texts(df.repartition(3), F.col("learn"), depth=depth, block_bytes=10).collect()}
     for i, text, _ in rows:
         expected = sum(math.log10(trees[p].probability(c, b) if p in trees else 0.5) for c, p, b in coded(text, depth))
         assert math.isclose(got[i]["score"], expected, rel_tol=1e-9), text
         assert got[i]["n_bytes"] == len((text or "").encode())
 
 
-def test_bytes_of_a_context_have_probability_one(spark):
-    learned = spark.createDataFrame([(i << 8 | b, n) for i, b, n in ((5 << 32, 65, 9), (5 << 32, 66, 1), (7 << 24, 65, 4))], "key long, n long")
-    every = spark.range(256).select(((F.lit((5 << 32) + 1) * 256) + F.col("id")).alias("key"), F.lit(0).cast("long").alias("n"))
-    values = {r["key"]: r["value"] for r in gram_values(learned.union(every)).collect()}
-    assert math.isclose(sum(10 ** v for k, v in values.items() if k >> 8 == (5 << 32) + 1), 1, rel_tol=1e-9)
+def test_bytes_of_a_context_have_probability_one():
+    learned = {(5 << 32) << 8 | 65: 9, (5 << 32) << 8 | 66: 1, (7 << 24) << 8 | 65: 4}
+    every = np.unique(np.array([*learned, *(((5 << 32) + 1 << 8) + np.arange(256)).tolist()], np.uint64))
+    logs = log_probabilities(every, np.array([learned.get(int(k), 0) for k in every]), 5)
+    assert math.isclose(sum(10 ** v for k, v in zip(every.tolist(), logs, strict=True) if k >> 8 == (5 << 32) + 1), 1, rel_tol=1e-9)
+
+
+def test_packed_numbers():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2))
+    assert (unpack_keys(pack_keys(keys)) == keys).all() and len(unpack_keys(pack_keys(keys[:0]))) == 0
+    values = rng.standard_normal(7)
+    assert (unpack(pack(values), np.float64) == values).all()
 
 
 def test_estimate_of_large_counts():

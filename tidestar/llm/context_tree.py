@@ -17,12 +17,13 @@ and the deepest one all of the rest.
 
 Counting is a sum over all learned texts; nothing is sampled. Texts are dealt
 into blocks of some ``BLOCK_BYTES`` in the order of the scan, written with the
-distinct grams (context and byte) of each block. Grams are summed over the
-corpus; the tree is summed up from the deepest level to the root and its shares
-handed down again, in groups that hold all children of their nodes: contexts that
-agree in the last three bytes, then in the last byte, then the rest, which is
-256 x 255 nodes at most. Each block gets the probabilities of its own grams
-back, so a task holds one block and no table of the corpus.
+distinct grams (context and byte) of each block, packed by part: all grams that
+agree in the last three bytes of the context are in one part. A part sums its
+grams over the blocks and its tree up to depth three; these nodes are summed up
+by last byte, and the rest, which is 256 x 255 nodes at most, on the driver. On
+the way back the shares go down the same way, and each block gets the
+probabilities of its own grams, so a task holds one block or one part and no
+table of the corpus. A part that is spread over many blocks is read as a stream.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ from tidestar.llm.shared import col, ship, table, written
 
 DEPTH = 5  # bytes of context; 4 to 6
 BLOCK_BYTES = 16 << 20
-GROUP_GRAMS = 1_000_000  # about so many distinct grams make a task of the tree
+PARTS = 2048  # a power of two
 CHUNK = 1 << 20
 END = 0xFF  # the symbol after the last byte of a text: no byte of UTF-8
 END_TOKEN = 0  # key of the token after the last word
@@ -153,8 +154,11 @@ class Tally:
 
     def add(self, keys: np.ndarray, weights: np.ndarray) -> None:
         which, distinct = pd.factorize(keys)
+        self.merge(distinct, np.bincount(which, weights=weights, minlength=len(distinct)).astype(np.int64))
+
+    def merge(self, distinct: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(distinct)
-        self.counts.append(np.bincount(which, weights=weights, minlength=len(distinct)).astype(np.int64))
+        self.counts.append(counts)
         self.loose += len(distinct)
         if self.loose > CHUNK:
             self.keys, self.counts = ([x] for x in self.total())
@@ -170,29 +174,63 @@ class Tally:
         return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Numbers of eight bytes, first all their first bytes, then all their second ones: they compress well where they are small or near each other."""
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack(raw: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys, by their differences."""
+    return pack(np.diff(keys, prepend=U64(0)))
+
+
+def unpack_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw, U64), dtype=U64)
+
+
+def part_of(context: np.ndarray) -> np.ndarray:
+    """Part of a context of three bytes, or of a token."""
+    return (textops.mix(context) & U64(PARTS - 1)).astype(np.int32)
+
+
+def _by_part(kind: int, keys: np.ndarray, n: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    part = part_of(keys >> U64(8 * (depth - 2)) if kind == GRAM else keys)
+    order = np.argsort(part, kind="stable")
+    first = np.r_[np.flatnonzero(np.diff(part[order], prepend=-1)), len(part)]
+    for a, b in zip(first, first[1:], strict=False):
+        yield int(part[order[a]]), keys[order[a:b]], n[order[a:b]]
+
+
+def _rows(schema: pa.Schema, count: int, **columns: object) -> pa.RecordBatch:
+    """A batch of the schema with nulls in all other columns."""
+    filled = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(count, f.type) for f in schema]
+    return pa.RecordBatch.from_arrays(filled, schema=schema)
+
+
 def _blocks(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
-    """Rows of kind ``TEXT``: block, doc_id, text, learn; of the other kinds: block, key, n (occurrences in learned texts of the block)."""
+    """Rows of kind ``TEXT``: block, doc_id, text, learn; of the other kinds: block, part, keys, counts (occurrences in learned texts of the block)."""
     id_type = docs.schema["doc_id"].dataType
-    schema = f"block bigint, kind int, doc_id {id_type.simpleString()}, text string, learn boolean, key bigint, n bigint"
+    types = f"block bigint, kind int, doc_id {id_type.simpleString()}, text string, learn boolean, part int, keys binary, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, size, tallies = TaskContext.get().partitionId() << 32, 0, {GRAM: Tally(), TOKEN: Tally()}
-        names = ["block", "kind", "doc_id", "text", "learn", "key", "n"]
-        kind_of_id = pa.null()
+        block, size, tallies, schema = TaskContext.get().partitionId() << 32, 0, {GRAM: Tally(), TOKEN: Tally()}, None
 
         def counted() -> Iterator[pa.RecordBatch]:
             for kind, tally in tallies.items():
-                keys, n = tally.total()
-                for i in range(0, len(keys), CHUNK):
-                    k, m = keys[i : i + CHUNK], len(keys[i : i + CHUNK])
-                    none = lambda t: pa.nulls(m, t)  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(m, block)), pa.array(np.full(m, kind, np.int32)), none(kind_of_id), none(pa.string()), none(pa.bool_()),
-                        pa.array(k.view(np.int64)), pa.array(n[i : i + CHUNK]),
-                    ], names)
+                parts = list(_by_part(kind, *tally.total(), depth))
+                yield _rows(
+                    schema, len(parts), block=[block] * len(parts), kind=[kind] * len(parts), part=[p for p, _, _ in parts],
+                    keys=[pack_keys(k) for _, k, _ in parts], counts=[pack(n) for _, _, n in parts],
+                )
 
         for batch in batches:
-            kind_of_id = batch.column(0).type
+            if schema is None:
+                kinds = [pa.int64(), pa.int32(), batch.column(0).type, pa.string(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
+                schema = pa.schema(list(zip(("block", "kind", "doc_id", "text", "learn", "part", "keys", "counts"), kinds, strict=True)))
             for part in textops.slices(batch.column(1)):
                 rows = len(part)
                 ids, texts, flags = (batch.column(k).slice(part.first, rows) for k in range(3))
@@ -202,10 +240,10 @@ def _blocks(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
                 token, at = tokens_of(part)
                 tallies[TOKEN].add(token, np.repeat(learn, np.diff(at)))
                 tallies[TOKEN].add(np.array([END_TOKEN], U64), np.array([learn.sum()]))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(rows, block)), pa.array(np.full(rows, TEXT, np.int32)), ids, texts, flags,
-                    pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()),
-                ], names)
+                whole = _rows(schema, rows, block=[block] * rows, kind=[TEXT] * rows)
+                for name, column in (("doc_id", ids), ("text", texts), ("learn", flags)):
+                    whole = whole.set_column(schema.get_field_index(name), schema.field(name), column)
+                yield whole
                 size += len(part.data) + rows
                 if size >= block_bytes:
                     yield from counted()
@@ -213,77 +251,139 @@ def _blocks(docs: DataFrame, depth: int, block_bytes: int) -> DataFrame:
         if size:
             yield from counted()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, types)
 
 
 def _column(frame: pa.Table, name: str, kind: type = np.float64) -> np.ndarray:
     return frame[name].to_numpy().astype(kind)
 
 
-def _nodes(frame: pa.Table) -> tuple[np.ndarray, Level]:
-    """The order of the rows by key, and the level they make."""
+def _nodes(frame: pa.Table) -> Level:
     keys = _column(frame, "key", np.int64).view(U64)
     order = np.argsort(keys)
-    return order, Level(keys[order], *(_column(frame, c)[order] for c in ("zeros", "ones", "below")))
+    return Level(keys[order], *(_column(frame, c)[order] for c in ("zeros", "ones", "below")))
+
+
+NODES = [("key", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("below", pa.float64())]
+# Of each part a row with its sums, and one for each of its nodes at depth three.
+SUMS = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("total", pa.int64()), ("distinct", pa.int64()), *NODES])
+SUMS_TYPE = "kind int, part int, keys binary, counts binary, total bigint, distinct bigint, key bigint, zeros double, ones double, below double"
+NODES_TYPE = "key bigint, zeros double, ones double, below double"
+
 
+def _node_columns(level: Level) -> dict[str, np.ndarray]:
+    return {"key": level.keys.view(np.int64), "zeros": level.zeros, "ones": level.ones, "below": level.below}
 
-def _node_table(level: Level) -> pa.Table:
-    return pa.table({"key": level.keys.view(np.int64), "zeros": level.zeros, "ones": level.ones, "below": level.below})
 
+def _dealt(rows: DataFrame, *order: str) -> DataFrame:
+    """All rows of a kind and part in one task, one part after another."""
+    return rows.repartition("kind", "part").sortWithinPartitions("kind", "part", *order)
 
-def _shares(level: Level, one: np.ndarray, rest: np.ndarray) -> pa.Table:
-    return pa.table({"key": level.keys.view(np.int64), "one": one, "rest": rest})
 
+def _part_sums(packed: DataFrame, depth: int) -> DataFrame:
+    """Sums of each part over the blocks, and its nodes of depth three."""
 
-NODES = "key bigint, zeros double, ones double, below double"
-SHARES = "key bigint, one double, rest double"
+    def finish(kind: int, part: int, tally: Tally) -> Iterator[pa.RecordBatch]:
+        keys, n = tally.total()
+        yield _rows(SUMS, 1, kind=[kind], part=[part], keys=[pack_keys(keys)], counts=[pack(n)], total=[int(n.sum())], distinct=[int((n > 0).sum())])
+        if kind == GRAM:
+            top = climb(leaves(keys, n)[0], depth - 3)[-1]
+            yield _rows(SUMS, len(top.keys), kind=np.full(len(top.keys), kind), part=np.full(len(top.keys), part), **_node_columns(top))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tally = None, Tally()
+        for batch in batches:
+            kinds, parts, keys, counts = (batch.column(k).to_pylist() for k in range(4))
+            for kind, part, k, n in zip(kinds, parts, keys, counts, strict=True):
+                if (kind, part) != now:
+                    if now:
+                        yield from finish(*now, tally)
+                    now, tally = (kind, part), Tally()
+                tally.merge(unpack_keys(k), unpack(n))
+        if now:
+            yield from finish(*now, tally)
 
-def gram_values(grams: DataFrame, depth: int = DEPTH, group_grams: int = GROUP_GRAMS) -> DataFrame:
-    """For distinct grams (key, n), n = 0 allowed: (key, value), the log10 of the probability of the byte in its context."""
-    steps = depth - 3
-    parts = max(1, -(-grams.count() // group_grams))
-    # All grams of three last bytes in one part.
-    part_of = lambda key, shift: F.pmod(F.xxhash64(F.shiftrightunsigned(key, shift)), F.lit(parts))
-    dealt = grams.select("key", "n", part_of("key", 8 * (depth - 2)).alias("part"))
-    first_byte = F.shiftrightunsigned("key", 24)  # of the nodes of depth 3
+    return _dealt(packed.select("kind", "part", "keys", "counts")).mapInArrow(run, SUMS_TYPE)
 
-    def to_three(frame: pa.Table) -> pa.Table:
-        level, _, _ = leaves(_column(frame, "key", np.int64).view(U64), _column(frame, "n"))
-        return _node_table(climb(level, steps)[-1])
 
-    three = written(dealt.groupBy("part").applyInArrow(to_three, NODES), "nodes").withColumn("byte", first_byte)
+def _shares_of_three(three: DataFrame) -> DataFrame:
+    """For the nodes of depth three what their ancestors say: part, key, one, rest."""
+    by_byte = three.withColumn("byte", F.shiftrightunsigned("key", 24))
 
     def to_one(frame: pa.Table) -> pa.Table:
-        return _node_table(climb(_nodes(frame)[1], 2)[-1])
+        return pa.table(_node_columns(climb(_nodes(frame), 2)[-1]))
 
     # At most 256 x 255 nodes.
-    top = three.groupBy("byte").applyInArrow(to_one, NODES).toArrow()
-    _, level = _nodes(top)
-    levels = climb(level, 1)
-    root = levels[-1].down(np.zeros(len(levels[-1].keys)), np.ones(len(levels[-1].keys)))
-    shared = grams.sparkSession.sparkContext.broadcast((level.keys, *descend(levels, *root)))
+    top = by_byte.groupBy("byte").applyInArrow(to_one, NODES_TYPE).toArrow()
+    levels = climb(_nodes(top), 1)
+    known = levels[-1].down(np.zeros(len(levels[-1].keys)), np.ones(len(levels[-1].keys)))
+    shared = three.sparkSession.sparkContext.broadcast((levels[0].keys, *descend(levels, *known)))
 
     def from_one(frame: pa.Table) -> pa.Table:
-        levels = climb(_nodes(frame)[1], 2)
+        levels = climb(_nodes(frame), 2)
         keys, one, rest = shared.value
         at = np.searchsorted(keys, levels[-1].keys)
-        return _shares(levels[0], *descend(levels, one[at], rest[at]))
-
-    shares = three.groupBy("byte").applyInArrow(from_one, SHARES).withColumn("part", part_of("key", 8))
+        one, rest = descend(levels, one[at], rest[at])
+        return pa.table({"part": part_of(levels[0].keys >> U64(8)), "key": levels[0].keys.view(np.int64), "one": one, "rest": rest})
+
+    return by_byte.groupBy("byte").applyInArrow(from_one, "part int, key bigint, one double, rest double")
+
+
+def log_probabilities(grams: np.ndarray, counts: np.ndarray, steps: int, above: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Log10 of the probability of the byte of each distinct gram. ``above``: sorted nodes ``steps`` levels up and what is known there; None where that is the root."""
+    level, node, bit = leaves(grams, counts)
+    levels = climb(level, steps)
+    top = levels[-1]
+    if above is None:
+        one, rest = top.down(np.zeros(len(top.keys)), np.ones(len(top.keys)))
+    else:
+        at = np.searchsorted(above[0], top.keys)
+        one, rest = above[1][at], above[2][at]
+    one, _ = descend(levels, one, rest)
+    return np.log10(np.where(bit, one[node], 1 - one[node])).sum(axis=1)
+
+
+def _block_values(packed: DataFrame, sums: DataFrame, shares: DataFrame, depth: int) -> DataFrame:
+    """The keys of each block with their values: block, kind, keys, values. A gram's is its log10 probability, a token's its count."""
+    null = lambda t: F.lit(None).cast(t)
+    rows = shares.select(
+        F.lit(GRAM).alias("kind"), "part", F.lit(0).alias("step"), null("bigint").alias("block"), null("binary").alias("keys"), null("binary").alias("counts"), "key", "one", "rest",
+    ).unionByName(
+        sums.where("keys IS NOT NULL").select("kind", "part", F.lit(1).alias("step"), "keys", "counts"), allowMissingColumns=True,
+    ).unionByName(packed.select("kind", "part", F.lit(2).alias("step"), "block", "keys"), allowMissingColumns=True)
 
-    def from_three(frame: pa.Table, above: pa.Table) -> pa.Table:
-        keys = _column(frame, "key", np.int64).view(U64)
-        level, node, bit = leaves(keys, _column(frame, "n"))
-        levels = climb(level, steps)
-        known = _column(above, "key", np.int64).view(U64)
-        order = np.argsort(known)
-        at = order[np.searchsorted(known[order], levels[-1].keys)]
-        one, _ = descend(levels, _column(above, "one")[at], _column(above, "rest")[at])
-        value = np.log10(np.where(bit, one[node], 1 - one[node])).sum(axis=1)
-        return pa.table({"key": keys.view(np.int64), "value": value})
-
-    return dealt.groupBy("part").cogroup(shares.groupBy("part")).applyInArrow(from_three, "key bigint, value double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above, keys, values = [], np.zeros(0, U64), np.zeros(0)
+        for batch in batches:
+            column = {name: batch.column(name) for name in batch.schema.names}
+            step = column["step"].to_numpy()
+            out = {"block": [], "kind": [], "keys": [], "values": []}
+            # A stretch of rows of one step; a part's shares come before its sums, and those before its blocks.
+            for rows in np.split(np.arange(len(step)), np.flatnonzero(np.diff(step)) + 1):
+                if not len(rows):
+                    continue
+                a, n = int(rows[0]), len(rows)
+                if step[a] == 0:
+                    above.append([column[c].slice(a, n).to_numpy() for c in ("key", "one", "rest")])
+                    continue
+                kinds, own = column["kind"].slice(a, n).to_pylist(), column["keys"].slice(a, n).to_pylist()
+                if step[a] == 1:
+                    for kind, k, c in zip(kinds, own, column["counts"].slice(a, n).to_pylist(), strict=True):
+                        keys, values = unpack_keys(k), unpack(c).astype(float)
+                        if kind == GRAM:
+                            known = [np.concatenate(c) for c in zip(*above, strict=True)]
+                            order = np.argsort(known[0].view(U64))
+                            values = log_probabilities(keys, values, depth - 3, (known[0].view(U64)[order], known[1][order], known[2][order]))
+                        above = []
+                    continue
+                for kind, block, k in zip(kinds, column["block"].slice(a, n).to_pylist(), own, strict=True):
+                    out["block"].append(block)
+                    out["kind"].append(kind)
+                    out["keys"].append(k)
+                    out["values"].append(pack(values[np.searchsorted(keys, unpack_keys(k))]))
+            yield pa.RecordBatch.from_arrays([pa.array(out["block"], pa.int64()), pa.array(out["kind"], pa.int32()), pa.array(out["keys"], pa.binary()), pa.array(out["values"], pa.binary())], list(out))
+
+    return _dealt(rows, "step").mapInArrow(run, "block bigint, kind int, keys binary, values binary")
 
 
 def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -294,7 +394,7 @@ def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndar
 
 def score_texts(
     docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", *,
-    depth: int = DEPTH, block_bytes: int = BLOCK_BYTES, group_grams: int = GROUP_GRAMS,
+    depth: int = DEPTH, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, learned, n_bytes, score, bits_per_byte, n_tokens, n_known, train_tokens, base_score.
 
@@ -315,22 +415,20 @@ def score_texts(
         col(id_col).alias("doc_id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"),
     )
     rows = written(_blocks(frame, depth, block_bytes), "blocks")
-    own = rows.where(F.col("kind") != TEXT).select("block", "kind", "key", "n")
-    counts = written(own.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    token_counts = counts.where(F.col("kind") == TOKEN)
-    train, distinct = token_counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    grams = gram_values(counts.where(F.col("kind") == GRAM).select("key", "n"), depth, group_grams)
-    values = grams.select(F.lit(GRAM).alias("kind"), "key", "value").unionAll(
-        token_counts.select("kind", "key", F.col("n").cast("double").alias("value")))
-    known = own.join(values, ["kind", "key"]).select(F.col("block").alias("home"), "kind", "key", "value")
+    packed = rows.where(F.col("kind") != TEXT)
+    sums = written(_part_sums(packed, depth), "sums")
+    train, distinct = sums.where(F.col("kind") == TOKEN).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    known = _block_values(packed, sums, _shares_of_three(sums.where("key IS NOT NULL")), depth).withColumnRenamed("block", "home")
     texts = rows.where(F.col("kind") == TEXT).select("block", "doc_id", "text", "learn")
     id_type = texts.schema["doc_id"].dataType.simpleString()
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        kind, key, value = _column(right, "kind", np.int8), _column(right, "key", np.int64).view(U64), _column(right, "value")
-        tables = {}
+        kind, tables = _column(right, "kind", np.int8), {}
         for k in (GRAM, TOKEN):
-            keys, values = key[kind == k], value[kind == k]
+            own = right.filter(pa.array(kind == k))
+            keys = [unpack_keys(x) for x in own["keys"].to_pylist()]
+            values = [unpack(x, np.float64) for x in own["values"].to_pylist()]
+            keys, values = (np.concatenate(x) if x else np.zeros(0) for x in (keys, values))
             order = np.argsort(keys)
             tables[k] = keys[order], values[order]
         of_end = _lookup(*tables[TOKEN], np.array([END_TOKEN], U64))[0] if len(tables[TOKEN][0]) else 0.0
