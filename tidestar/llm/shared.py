@@ -40,10 +40,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
+def written(frame: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """The frame as a table in the shared folder: cuts lineage, survives lost executors."""
     path = scratch_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", codec).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
