@@ -236,3 +236,32 @@ def test_damaged_content_is_reported(spark, root):
     assert rows(w.dimension("dim_customer"), "customer_id") == [(1,), (2,)]
     assert [(os.path.basename(r["path"]), r["lost_rows"]) for r in w.failed_files().collect()] == [(os.path.basename(name), 10)]
     assert w.facts().count() == 1
+
+
+def damaged(spark, root, n=3000, groups=3):
+    """Customers in a file of several row groups, the second of which has bad pages. Returns its path and the ids of each group."""
+    import pyarrow.parquet as pq
+
+    feed = fd.customers(spark, *[("I", i, f"name {i} " * 9, f"{i * 7919}", 0) for i in range(n)])
+    folder = f"{local(root)}/dms-source/public/customers"
+    feed.limit(1).coalesce(1).write.mode("append").parquet(f"{root}/dms-source/public/customers")
+    path = f"{folder}/several.parquet"
+    pq.write_table(feed.toArrow(), path, row_group_size=n // groups, compression="none", use_dictionary=False, write_page_checksum=True)
+    group = pq.ParquetFile(path).metadata.row_group(1)
+    names = [group.column(k) for k in range(group.num_columns) if group.column(k).path_in_schema == "name"][0]
+    with open(path, "r+b") as file:
+        file.seek(names.data_page_offset + names.total_compressed_size // 2)
+        file.write(b"?" * 40)  # a changed text that only the checksum tells
+    return path, [range(k * n // groups, (k + 1) * n // groups) for k in range(groups)]
+
+
+def test_good_row_groups_of_a_damaged_file(spark, root):
+    path, groups = damaged(spark, root)
+    read = files.read_cdc_parquet(spark, path, "customers", skip_corrupt=True, arrival=True, block_bytes=30_000)
+    assert sorted(r["id"] for r in read.select("id").collect()) == [*groups[0], *groups[2]]
+    # A column that is not damaged is read whole; the loss is told by all columns.
+    lost = files.damaged_blocks(read, spark, [path], block_bytes=30_000).collect()
+    assert [(os.path.basename(r["path"]), r["lost_rows"]) for r in lost] == [("several.parquet", len(groups[1]))]
+    assert lost[0]["block"] > 0
+    everything = files.read_cdc_parquet(spark, path, "customers", skip_corrupt=True, block_bytes=1 << 30)
+    assert everything.select("Op", "name").where("length(name) > 0").count() < len(groups[0]) + len(groups[2])

@@ -122,6 +122,7 @@ def read_cdc_parquet(
     skip_corrupt: bool = False,
     glob: str = PARQUET_GLOB,
     arrival: bool = False,
+    block_bytes: int | None = None,
 ) -> DataFrame:
     """Changes of one table, any codec. ``ts_col`` is renamed to ``Timestamp``.
 
@@ -134,13 +135,23 @@ def read_cdc_parquet(
     column of another type than asked for, so use it on files that were checked
     (:func:`failed_files`, :func:`damaged_files`). With ``arrival`` the columns
     ``_file_time``, ``_file`` and ``_row`` tell the order of arrival.
+
+    What is left out is the rest of the block that a task reads at a time. With
+    ``block_bytes`` files are read in blocks of at most so many bytes; where that
+    is less than a row group, each row group is a block of its own, so good ones
+    behind a damaged one are kept. Pages are then checked against their checksums,
+    and ``_block`` tells where the block of a row begins.
     """
     paths = [paths] if isinstance(paths, str) else paths
+    if block_bytes:
+        spark = _block_session(spark, block_bytes)
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     schema = feed_schema(table, id_type, ts_col) if declared else _merged_schema(reader, paths)
     if schema is None:
         schema = feed_schema(table, WIDE_ID, ts_col)
     reader = reader.schema(schema).option("ignoreCorruptFiles", str(skip_corrupt).lower()).option("mergeSchema", "false")
+    if block_bytes:
+        reader = reader.option("parquet.page.verify-checksum.enabled", "true")
     rows = reader.parquet(*paths)
     columns = [F.col(f"`{c}`") for c in schema.fieldNames() if c != ts_col]
     absent = [f for f in feed_schema(table, id_type, ts_col).fields if f.name not in schema.fieldNames() and f.name != ts_col]
@@ -155,9 +166,24 @@ def read_cdc_parquet(
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.row_index").alias("_row"),
         ]
+    if arrival and block_bytes:
+        columns.append(F.col("_metadata.file_block_start").alias("_block"))
     return rows.select(*columns)
 
 
+# Bytes of a block where files with damaged content are read again: less than the row groups that writers make.
+RECOVERY_BYTES = 1 << 20
+
+
+def _block_session(spark: SparkSession, block_bytes: int) -> SparkSession:
+    """A session whose scans read files in smaller blocks; all else is shared."""
+    other = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.shuffle.partitions"):
+        other.conf.set(key, spark.conf.get(key))
+    other.conf.set("spark.sql.files.maxPartitionBytes", str(block_bytes))
+    return other
+
+
 ARRIVAL = ("_file_time", "_file", "_row")
 
 
@@ -220,6 +246,18 @@ def damaged_files(read: DataFrame, spark: SparkSession, paths: list[str]) -> Dat
     return told.join(got, "_file", "left").select(F.col("_file").alias("path"), lost.alias("lost_rows")).where("lost_rows > 0")
 
 
+def damaged_blocks(read: DataFrame, spark: SparkSession, paths: list[str], block_bytes: int = RECOVERY_BYTES) -> DataFrame:
+    """Blocks of which rows cannot be read: path, block (its first byte), lost_rows. ``read``: the files by blocks of the same size, with ``_block``."""
+    told = (
+        _block_session(spark, block_bytes).read.schema("Op string").option("ignoreCorruptFiles", "true").parquet(*paths)
+        .groupBy(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")).agg(F.count(F.lit(1)).alias("told"))
+    )
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in read.columns if not c.startswith("_")])
+    got = read.groupBy("_file", "_block").agg((F.count_if(whole == 0) + F.count_if(whole != 0)).alias("got"))
+    lost = F.col("told") - F.coalesce("got", F.lit(0))
+    return told.join(got, ["_file", "_block"], "left").select(F.col("_file").alias("path"), F.col("_block").alias("block"), lost.alias("lost_rows")).where("lost_rows > 0")
+
+
 def _plain_path(path: Column) -> Column:
     """Paths come as ``file:/x`` or ``file:///x`` depending on the source."""
     return F.regexp_replace(path, r"^([a-z0-9]+):/+", "$1:/")

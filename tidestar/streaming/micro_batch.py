@@ -21,7 +21,8 @@ from tidestar.schemas import ID, SOURCE_TABLES, empty_frame, union_feed_schema
 from tidestar.sources.files import (
     ARRIVAL,
     PARQUET_GLOB,
-    damaged_files,
+    RECOVERY_BYTES,
+    damaged_blocks,
     failed_files,
     object_key,
     read_cdc_parquet,
@@ -107,7 +108,7 @@ def process_batch(
             return {
                 table: read_cdc_parquet(
                     spark, paths, table, id_type=warehouse.id_type, ts_col=ts_col, declared=False,
-                    skip_corrupt=leave_out, arrival=True,
+                    skip_corrupt=leave_out, arrival=True, block_bytes=RECOVERY_BYTES if leave_out else None,
                 )
                 for table, paths in readable.items()
             }
@@ -130,10 +131,12 @@ def process_batch(
         except Exception as error:
             if not skip_corrupt or "FAILED_READ_FILE" not in str(error):
                 raise
-            # Some file has a good footer and bad content: tell which, and take what can be read.
+            # Some file has a good footer and bad content: tell which blocks, and take all others.
             frames = feeds(leave_out=True)
             for table, paths in readable.items():
-                failed = failed.unionByName(damaged_files(frames[table], spark, paths).withColumn("reason", F.lit("content cannot be read")))
+                lost = damaged_blocks(frames[table], spark, paths)
+                why = F.concat(F.lit("content cannot be read in the block at byte "), F.col("block").cast("string"))
+                failed = failed.unionByName(lost.select("path", "lost_rows", why.alias("reason")))
             warehouse.write_failed_files(failed, batch_id)
             write(frames)
 
