@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidestar.operators import SkewPolicy
 from tidestar.plans import analytics, catalog
 from tidestar.plans.star import StarBatch, transform_star
-from tidestar.plans.warehouse import Warehouse
+from tidestar.plans.warehouse import Warehouse, interleaved
 from tidestar.session import scratch_dir
 
 DAY = dt.date(2024, 1, 15)
@@ -205,3 +205,119 @@ def test_new_columns_of_written_facts(spark):
     assert [tuple(r) for r in w.facts(merge_schema=True).select("_batch_id", "channel").orderBy("_batch_id").collect()] == [
         (0, None), (1, "web"),
     ]
+
+
+def many(spark, n=400, customers=20, days=40):
+    """A warehouse with four batches of facts over many days and customers."""
+    w = Warehouse(spark, scratch_dir(spark, "many"))
+    w.create_tables()
+    start = dt.date(2024, 1, 1)
+    for b in range(4):
+        feeds = {
+            "orders": fd.orders(spark, *[("I", i, i % customers, start + dt.timedelta(days=i * 7 % days), 0) for i in range(b, n, 4)]),
+            "order_items": fd.items(spark, *[("I", i, i, 1, i, "1.00", 0) for i in range(b, n, 4)]),
+        }
+        if b == 0:
+            feeds |= {"customers": fd.customers(spark, *[("I", i, f"c{i}", "x", 0) for i in range(customers)]), "products": fd.products(spark, ("I", 1, "p", "1.00", 0))}
+        w.write_batch(feeds, fd.ARRIVAL, b, F.lit(TIMES[0] + dt.timedelta(hours=b)))
+    return w
+
+
+def ids(df):
+    return sorted(r["order_id"] for r in df.select("order_id").collect())
+
+
+def gone(spark, numbers):
+    return spark.createDataFrame([(i,) for i in numbers], "order_id int")
+
+
+def test_deletion_vectors(spark):
+    w = many(spark)
+    files = w._scan("fact_orders").select("_metadata.file_path").distinct().count()
+    w.delete_from_fact(gone(spark, range(0, 400, 3)), 4, F.lit(TIMES[1]))
+    w.delete_from_fact(gone(spark, [*range(0, 400, 5), 5000]), 5, F.lit(TIMES[2]))  # some are gone already
+    left = [i for i in range(400) if i % 3 and i % 5]
+    assert ids(w.facts()) == left
+    assert ids(w.facts(version=4)) == [i for i in range(400) if i % 3]
+    assert ids(w.facts(version=3)) == ids(w.facts(as_of=F.lit(TIMES[0] + dt.timedelta(hours=5)))) == list(range(400))
+    assert rows(w.deleted_rows(), "_batch_id", "deleted") == [(4, 134), (5, 400 - 134 - len(left))]
+    assert w._scan("fact_orders").select("_metadata.file_path").distinct().count() == files  # no file was written anew
+    w.write_batch({"orders": fd.orders(spark, ("I", 3, 1, DAY, 5)), "order_items": fd.items(spark, ("I", 3, 3, 1, 9, "1.00", 5))}, fd.ARRIVAL, 6, F.lit(TIMES[3]))
+    assert ids(w.facts()) == sorted([*left, 3])  # comes again after its deletion
+
+
+def test_every_position_of_a_bitmap(spark):
+    w = Warehouse(spark, scratch_dir(spark, "bits"))
+    w.create_tables()
+    w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0]))
+    n = 70_000  # three bitmaps of one file
+    one = w.facts().drop("_batch_id", "order_day", "order_id")
+    facts = one.crossJoin(spark.range(n).select(F.col("id").cast("int").alias("order_id"))).select(*[f.name for f in w.schema("fact_orders").fields if f.name not in ("_batch_id", "order_day")])
+    w._commit({"fact_orders": w.write_facts(facts.coalesce(1), 1)}, 1, F.lit(TIMES[1]))
+    kept = spark.range(n).select(F.col("id").cast("int").alias("order_id")).where("order_id % 7 <> 0")
+    w.delete_from_fact(spark.range(n).select(F.col("id").cast("int").alias("order_id")).where("order_id % 7 = 0"), 2, F.lit(TIMES[2]))
+    found = w.facts().select("order_id")
+    assert found.where("_batch_id = 1").exceptAll(kept).isEmpty() and kept.exceptAll(found).isEmpty()
+    assert w._scan("fact_vectors").count() >= 3
+
+
+def test_compaction(spark):
+    w = many(spark)
+    w.delete_from_fact(gone(spark, range(0, 400, 3)), 4, F.lit(TIMES[1]))
+    before = sorted(map(tuple, w.facts().collect()), key=repr)
+    assert w.compact_facts(5, F.lit(TIMES[2]), rows_per_file=30) == len(before)
+    assert w.compact_facts(5, F.lit(TIMES[2]), rows_per_file=30) == len(before)  # done already
+    assert sorted(map(tuple, w.facts().collect()), key=repr) == before
+    assert ids(w.facts(version=3)) == list(range(400)) and ids(w.facts(version=4)) == ids(w.facts())
+    told = w.compacted_files(5)
+    assert 5 <= told.count() <= 12 and told.agg(F.sum("rows")).first()[0] == len(before)
+    read = lambda **at: [r["_file"] for r in w._placed_facts(**at).select("_file").distinct().collect()]
+    assert len(read()) == told.count() < len(read(version=4))
+    # A short time and one customer: few files are opened, none is missed.
+    customer = w.facts().where("order_id = 1").first()["customer_key"]
+    days = (dt.date(2024, 1, 5), dt.date(2024, 1, 12))
+    part = w.facts(days=days, customer_key=customer)
+    every = w.facts().where((F.col("customer_key") == customer) & F.col("order_timestamp").cast("date").between(*days))
+    assert ids(part) == ids(every) and ids(part)
+    assert len(read(days=days, customer_key=customer)) <= told.count() // 2
+    assert ids(w.facts(days=(dt.date(2030, 1, 1), dt.date(2030, 1, 2)))) == []
+    # Life goes on: a batch, a delete in compacted and in new files, another compaction.
+    w.write_batch({"orders": fd.orders(spark, ("I", 901, 1, DAY, 5), ("I", 902, 1, DAY, 5)), "order_items": fd.items(spark, ("I", 901, 901, 1, 9, "1.00", 5), ("I", 902, 902, 1, 9, "1.00", 5))}, fd.ARRIVAL, 6, F.lit(TIMES[3]))
+    w.delete_from_fact(gone(spark, [1, 902]), 7, F.lit(TIMES[3] + dt.timedelta(hours=1)))
+    left = sorted([i for i in range(2, 400) if i % 3] + [901])
+    assert ids(w.facts()) == left
+    w.compact_facts(8, F.lit(TIMES[3] + dt.timedelta(hours=2)))
+    assert ids(w.facts()) == left and ids(w.facts(version=6)) == sorted([*left, 1, 902])
+    assert w.compacted_files(8).count() == 1
+    assert rows(w.facts().where("order_id = 901"), "_batch_id") == [(6,)]
+
+
+def test_compaction_keeps_added_columns_and_takes_no_facts(spark):
+    w = Warehouse(spark, scratch_dir(spark, "empty"))
+    w.create_tables()
+    assert w.compact_facts(0, F.lit(TIMES[0])) == 0 and w.facts().isEmpty()
+    w.write_batch(first(spark), fd.ARRIVAL, 1, F.lit(TIMES[1]))
+    more = w.facts().drop("_batch_id", "order_day").withColumn("channel", F.lit("web"))
+    w._commit({"fact_orders": w.write_facts(more, 2)}, 2, F.lit(TIMES[2]))
+    w.compact_facts(3, F.lit(TIMES[3]))
+    assert [tuple(r) for r in w.facts(merge_schema=True).select("_batch_id", "channel").orderBy("_batch_id").collect()] == [(1, None), (2, "web")]
+
+
+def test_curve(spark):
+    df = spark.range(64).select((F.col("id") % 8).alias("x"), F.floor(F.col("id") / 8).alias("y"))
+    got = {(r["x"], r["y"]): r["z"] for r in df.select("x", "y", interleaved(F.col("x"), F.col("y")).alias("z")).collect()}
+    for (x, y), z in got.items():
+        assert z == sum(((x >> k & 1) << (2 * k + 1)) | ((y >> k & 1) << 2 * k) for k in range(16))
+    assert spark.range(1).select(interleaved(F.lit(65535), F.lit(0)).alias("z")).first()["z"] == 0xAAAAAAAA
+
+
+def test_waiting_items_that_nothing_touches_are_not_written_again(spark):
+    w = split(spark, [("order_items",)], scratch_dir(spark, "still"))
+    w.write_batch({"customers": first(spark)["customers"]}, fd.ARRIVAL, 1, F.lit(TIMES[1]))
+    assert rows(w.pending_items(), "id", "reason", "since") == [("1", "order not found", 0)]
+    assert w._scan("pending_items").where("_batch_id = 1").isEmpty()
+    w.write_batch({t: first(spark)[t] for t in ("orders", "products")}, fd.ARRIVAL, 2, F.lit(TIMES[2]))
+    assert w.facts().count() == 1 and w.pending_items().isEmpty()
+    assert rows(w.pending_items(1), "id") == [("1",)]
+    staged = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(w.root)
+    assert staged.where("path like '%_staging%'").isEmpty()

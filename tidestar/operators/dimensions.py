@@ -56,20 +56,26 @@ def _column(df: DataFrame, name: str) -> tuple[Column, T.DataType]:
     return F.lit(None).cast("string"), T.StringType()
 
 
-def build_dim_customer(changes: DataFrame, batch_ts: Column, id_type: T.DataType = T.IntegerType()) -> DataFrame:
+def customer_columns(changes: DataFrame, batch_ts: Column, id_type: T.DataType = T.IntegerType()) -> list[Column]:
+    """The columns of a customer version, from those of a change."""
     customer_id = to_int_safe(*_column(changes, "id"), id_type)
-    return changes.select(
+    return [
         surrogate_key("dim_customer", customer_id).alias("customer_key"),
         customer_id.alias("customer_id"),
         *[to_string_safe(_column(changes, c)[0]).alias(c) for c in ("name", "email", "city", "country")],
         to_timestamp_safe(*_column(changes, "created_at")).alias("created_date"),
         *_validity(batch_ts),
-    )
+    ]
 
 
-def build_dim_product(changes: DataFrame, batch_ts: Column, id_type: T.DataType = T.IntegerType()) -> DataFrame:
+def build_dim_customer(changes: DataFrame, batch_ts: Column, id_type: T.DataType = T.IntegerType()) -> DataFrame:
+    return changes.select(*customer_columns(changes, batch_ts, id_type))
+
+
+def product_columns(changes: DataFrame, batch_ts: Column, id_type: T.DataType = T.IntegerType()) -> list[Column]:
+    """The columns of a product version, from those of a change."""
     product_id = to_int_safe(*_column(changes, "id"), id_type)
-    return changes.select(
+    return [
         surrogate_key("dim_product", product_id).alias("product_key"),
         product_id.alias("product_id"),
         to_string_safe(_column(changes, "name")[0]).alias("product_name"),
@@ -77,7 +83,11 @@ def build_dim_product(changes: DataFrame, batch_ts: Column, id_type: T.DataType
         to_decimal_safe(*_column(changes, "price")).alias("unit_price"),
         to_timestamp_safe(*_column(changes, "created_at")).alias("created_date"),
         *_validity(batch_ts),
-    )
+    ]
+
+
+def build_dim_product(changes: DataFrame, batch_ts: Column, id_type: T.DataType = T.IntegerType()) -> DataFrame:
+    return changes.select(*product_columns(changes, batch_ts, id_type))
 
 
 def date_sk(day: Column) -> Column:

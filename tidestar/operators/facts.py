@@ -32,7 +32,7 @@ def _orders(orders: DataFrame, id_type: T.DataType) -> DataFrame:
 def _items(items: DataFrame, id_type: T.DataType) -> DataFrame:
     # The item's own id makes rows distinct, which salting relies on. Items with ``since`` went through here before: a null price was too large.
     return items.select(
-        *[c for c in ("Op", "since") if c in items.columns],
+        *[c for c in ("Op", "since", "waited") if c in items.columns],
         F.col("id").cast("string").alias("item_id"),
         to_int_safe(*_column(items, "order_id"), id_type).alias("order_id"),
         to_int_safe(*_column(items, "product_id"), id_type).alias("product_id"),

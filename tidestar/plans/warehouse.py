@@ -5,18 +5,29 @@ Every row lies in the folder of the batch that wrote it (``_batch_id=n``), and
 four tables of a batch appear together or not at all, and writing a batch again
 replaces its folders and changes nothing else.
 
+A delete marks rows instead of looking for them at every read: ``fact_vectors``
+holds for each file of facts bitmaps of the row positions that are gone, one for
+each 32,768 rows of a file that has any. A read tests the bits of the files
+that have some. :meth:`Warehouse.compact_facts` writes the facts of all batches so far anew, without
+deleted rows, in a few files along a space-filling curve over date and customer;
+readers of that version and later ones take these files, readers of earlier
+versions the old folders, which stay.
+
 Dimensions are logs: a batch appends the versions it opens and, for versions it
 closes, their final form. A batch writes as much as it changes; it reads the
 ids of the whole log, and the other columns of the ids it needs.
 
 An item and its order need not come in the same batch. The orders that won are
 kept as a log too, and items that found no partner wait in ``pending_items``
-with the reason. A batch joins its items and the waiting ones with its orders
-and the stored ones; a waiting item that finds its partners becomes a fact once.
+with the reason, a log as well: a batch notes the items that begin to wait, wait
+for another reason, or wait no more. Waiting items are judged again only if the
+batch has a change of their order, customer or product; a waiting item that finds
+its partners becomes a fact once.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Collection
 from functools import reduce
 
@@ -33,7 +44,6 @@ from tidestar.operators import (
     build_dim_customer,
     build_dim_date,
     build_dim_product,
-    delete_facts,
     dim_date_upsert,
     facts_of,
     judged_items,
@@ -52,6 +62,24 @@ FEEDS = {"dim_customer": "customers", "dim_product": "products"}
 DAY, MONTH = "day", "month"
 _FORMATS = {DAY: "yyyy-MM-dd", MONTH: "yyyy-MM"}
 
+# Fixed value: positions of one bitmap of Spark's bitmap functions, 2 ** 15.
+BITMAP_BITS = 15
+ROWS_PER_FILE = 4_000_000
+CURVE_BITS = 16  # of each dimension of the space-filling curve
+
+
+def interleaved(x: Column, y: Column, bits: int = CURVE_BITS) -> Column:
+    """Place on the curve that takes the bits of two numbers in turn (Morton order)."""
+
+    def apart(c: Column) -> Column:
+        # Doubles the distance of all bits, in halves; the masks keep 16, 8, 4, 2 and 1 bits of each pair.
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            c = c.bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask))
+        return c
+
+    kept = [c.cast("bigint").bitwiseAND(F.lit((1 << bits) - 1)) for c in (x, y)]
+    return F.shiftleft(apart(kept[0]), 1).bitwiseOR(apart(kept[1]))
+
 
 class Warehouse:
     """The star tables below one folder on shared storage."""
@@ -93,10 +121,12 @@ class Warehouse:
                       T.StructField("status", T.StringType()), T.StructField("Op", T.StringType())]
         elif table == "pending_items":
             fields = [T.StructField("id", T.StringType()), T.StructField("order_id", self.id_type), T.StructField("product_id", self.id_type),
-                      T.StructField("quantity", T.IntegerType()), T.StructField("unit_price", PRICE), T.StructField("Op", T.StringType()),
-                      T.StructField("reason", T.StringType()), T.StructField("since", T.LongType())]
+                      T.StructField("customer_id", self.id_type), T.StructField("quantity", T.IntegerType()), T.StructField("unit_price", PRICE),
+                      T.StructField("Op", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("since", T.LongType())]
         elif table == "fact_deletes":
             fields = [T.StructField("order_id", self.id_type)]
+        elif table == "fact_vectors":
+            fields = [T.StructField("file", T.StringType()), T.StructField("bucket", T.LongType()), T.StructField("bitmap", T.BinaryType()), T.StructField("rows", T.LongType())]
         else:
             fields = [T.StructField(f.name, f.dataType) for f in star_schema(table, self.id_type).fields]
             if table in DIMENSIONS:
@@ -108,7 +138,7 @@ class Warehouse:
 
     def create_tables(self) -> None:
         """Make the folders of all tables; those that exist are left alone."""
-        for table in (*STAR_TABLES, "fact_deletes", "failed_files", "stored_orders", "pending_items", "schema_mismatches", "commits"):
+        for table in (*STAR_TABLES, "fact_deletes", "fact_vectors", "failed_files", "stored_orders", "pending_items", "schema_mismatches", "commits"):
             empty_frame(self.spark, self.schema(table)).coalesce(1).write.mode("ignore").partitionBy("_batch_id").parquet(self.path(table))
 
     def _scan(self, table: str, merge_schema: bool = False) -> DataFrame:
@@ -127,6 +157,17 @@ class Warehouse:
         writer.parquet(f"{self.path(table)}/_batch_id={batch_id}")
         return seen.get["rows"]
 
+    def stage(self, df: DataFrame, label: str, batch_id: int) -> DataFrame:
+        """The frame written below the warehouse and read back, so that a batch computes it once."""
+        path = f"{self.path('_staging')}/{label}-{batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def unstage(self, label: str, batch_id: int) -> None:
+        """Remove what :meth:`stage` wrote."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path('_staging')}/{label}-{batch_id}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     # ---- commits and versions ----------------------------------------
 
     def commits(self) -> DataFrame:
@@ -143,7 +184,7 @@ class Warehouse:
 
     def _committed(
         self, table: str, version: int | None = None, as_of: Column | None = None, writing: int | None = None,
-        merge_schema: bool = False,
+        merge_schema: bool = False, *columns: str | Column,
     ) -> DataFrame:
         """Rows of committed batches, up to a batch id or a time.
 
@@ -154,6 +195,8 @@ class Warehouse:
         if as_of is not None:
             done = done.where(F.col("committed_at") <= as_of)
         rows = self._scan(table, merge_schema)
+        if columns:
+            rows = rows.select(*columns)
         if version is not None:
             done, rows = done.where(F.col("batch_id") <= version), rows.where(F.col("_batch_id") <= version)
         ids = done.select(F.col("batch_id").alias("_batch_id"))
@@ -165,11 +208,118 @@ class Warehouse:
 
     # ---- reading ------------------------------------------------------
 
-    def facts(self, version: int | None = None, as_of: Column | None = None, merge_schema: bool = False) -> DataFrame:
-        """Facts at a version or time, without those deleted by then."""
-        rows = self._committed("fact_orders", version, as_of, merge_schema=merge_schema)
-        deletes = self._committed("fact_deletes", version, as_of)
-        return delete_facts(rows, deletes, batch_col="_batch_id")
+    def facts(
+        self, version: int | None = None, as_of: Column | None = None, merge_schema: bool = False, *,
+        days: tuple[dt.date, dt.date] | None = None, customer_key: int | None = None,
+    ) -> DataFrame:
+        """Facts at a version or time, without those deleted by then.
+
+        ``days`` (first and last) and ``customer_key`` choose facts; files of the last compaction that
+        cannot hold any, by their least and largest values, are not opened.
+        """
+        rows = self._undeleted(self._placed_facts(version, as_of, merge_schema, days=days, customer_key=customer_key), version, as_of)
+        if days is not None:
+            rows = rows.where(F.col("date_sk").between(*[int(d.strftime("%Y%m%d")) for d in days]))
+        if customer_key is not None:
+            rows = rows.where(F.col("customer_key") == customer_key)
+        return rows.drop("_file", "_position")
+
+    def _generation(self, version: int | None, as_of: Column | None) -> int | None:
+        """The batch id of the last compaction that a reader sees."""
+        done = self.commits().where(F.col("table_name") == "fact_compacted")
+        if as_of is not None:
+            done = done.where(F.col("committed_at") <= as_of)
+        if version is not None:
+            done = done.where(F.col("batch_id") <= version)
+        return done.agg(F.max("batch_id")).first()[0]
+
+    def _placed_facts(
+        self, version: int | None = None, as_of: Column | None = None, merge_schema: bool = False, writing: int | None = None,
+        days: tuple[dt.date, dt.date] | None = None, customer_key: int | None = None,
+    ) -> DataFrame:
+        """Facts of all batches, deleted ones too, each with its file and its position there."""
+        position = F.col("_metadata.row_index").alias("_position")
+        file = F.concat_ws("/", "_batch_id", self.fact_folder, "_metadata.file_name").alias("_file")
+        rows = self._committed("fact_orders", version, as_of, writing, merge_schema, "*", file, position)
+        generation = self._generation(version, as_of)
+        if generation is None:
+            return rows
+        rows = rows.where(F.col("_batch_id") > generation)
+        path = f"{self.path('fact_compacted')}/_generation={generation}"
+        paths = [path]
+        if days is not None or customer_key is not None:
+            hit = F.lit(True)
+            if days is not None:
+                first, last = (int(d.strftime("%Y%m%d")) for d in days)
+                hit = hit & (F.col("last_date") >= first) & (F.col("first_date") <= last)
+            if customer_key is not None:
+                hit = hit & F.lit(customer_key).between(F.col("first_customer"), F.col("last_customer"))
+            # One row for each file of the compaction.
+            paths = [f"{path}/{row['file']}" for row in self.compacted_files(generation).where(hit).select("file").collect()]
+            if not paths:
+                return rows
+        reader = self.spark.read.option("mergeSchema", "true") if merge_schema else self.spark.read.schema(self.schema("fact_orders"))
+        old = reader.parquet(*paths)
+        old = old.select("*", F.concat_ws("/", F.lit("compacted"), F.lit(generation), "_metadata.file_name").alias("_file"), position)
+        return rows.unionByName(old, allowMissingColumns=merge_schema)
+
+    def _undeleted(self, rows: DataFrame, version: int | None = None, as_of: Column | None = None) -> DataFrame:
+        """The rows whose bit is not set. Where a batch deletes from a file again, its bitmaps are united."""
+        vectors = self._committed("fact_vectors", version, as_of).groupBy(F.col("file").alias("_file"), F.col("bucket").alias("_bucket")).agg(
+            F.bitmap_or_agg("bitmap").alias("_bitmap"))
+        at = F.col("_position")
+        byte = F.conv(F.hex(F.substring("_bitmap", (F.shiftright(at.bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)), 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        # The least bit of a byte is its first position.
+        mask = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (at.bitwiseAND(F.lit(7)) + 1).cast("int"))
+        placed = rows.withColumn("_bucket", F.shiftright("_position", BITMAP_BITS)).join(vectors, ["_file", "_bucket"], "left")
+        return placed.where(F.col("_bitmap").isNull() | (byte.bitwiseAND(mask) == 0)).select(*rows.columns)
+
+    def _put_vectors(self, orders: DataFrame, batch_id: int, writing: int | None = None) -> int:
+        """Mark the facts of ``orders.order_id`` as deleted: a scan of two columns of the facts, grouped by file and bucket."""
+        rows = self._undeleted(self._placed_facts(writing=writing)).select("order_id", "_file", "_position")
+        gone = rows.join(orders.select("order_id").distinct(), "order_id", "left_semi")
+        bits = F.col("_position").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+        marked = gone.groupBy(F.col("_file").alias("file"), F.shiftright("_position", BITMAP_BITS).alias("bucket")).agg(
+            F.bitmap_construct_agg(bits).alias("bitmap"), F.count(F.lit(1)).alias("rows"))
+        return self._put(marked, "fact_vectors", batch_id)
+
+    def deleted_rows(self, version: int | None = None) -> DataFrame:
+        """Of each batch that deleted facts, how many, told by the bits of its bitmaps."""
+        vectors = self._committed("fact_vectors", version)
+        return vectors.groupBy("_batch_id").agg(F.sum(F.bitmap_count("bitmap")).alias("deleted"))
+
+    def compacted_files(self, generation: int) -> DataFrame:
+        """Files of a compaction with their rows, and the least and largest date and customer of each."""
+        return self.spark.read.parquet(f"{self.path('fact_files')}/_generation={generation}")
+
+    def compact_facts(self, batch_id: int, committed_at: Column, rows_per_file: int = ROWS_PER_FILE) -> int:
+        """Write all facts so far anew, without deleted ones, as batch ``batch_id``, and tell their number.
+
+        Each fact keeps the batch it came with. Files hold about ``rows_per_file`` facts that are near
+        in date and customer: the curve interleaves the bits of the two, dates scaled to their range, and
+        customer keys are spread evenly as they are. Later batches are read from their own folders.
+        """
+        done = self.commits().where((F.col("batch_id") == batch_id) & (F.col("table_name") == "fact_compacted")).select("rows").collect()
+        if done:
+            return done[0]["rows"]
+        # Without any fact there is no file to take columns from.
+        facts = self.facts(merge_schema=self._last_commit("fact_orders") is not None)
+        total = facts.count()
+        top = (1 << CURVE_BITS) - 1
+        day = F.unix_date(F.col("order_timestamp").cast("date"))
+        first, last = facts.agg(F.min(day), F.max(day)).first()
+        x = ((day - F.lit(first or 0)) * F.lit(top) / F.lit(max(1, (last or 0) - (first or 0)))).cast("bigint")
+        y = F.shiftright("customer_key", 64 - CURVE_BITS) + F.lit(1 << (CURVE_BITS - 1))
+        path, files = f"{self.path('fact_compacted')}/_generation={batch_id}", max(1, -(-total // rows_per_file))
+        placed = facts.withColumn("_curve", interleaved(x, y)).repartitionByRange(files, "_curve").sortWithinPartitions("_curve")
+        placed.drop("_curve").write.mode("overwrite").parquet(path)
+        told = self.spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(
+            F.min("date_sk").alias("first_date"), F.max("date_sk").alias("last_date"),
+            F.min("customer_key").alias("first_customer"), F.max("customer_key").alias("last_customer"), F.count(F.lit(1)).alias("rows"),
+        )
+        told.coalesce(1).write.mode("overwrite").parquet(f"{self.path('fact_files')}/_generation={batch_id}")
+        self._commit({"fact_compacted": total}, batch_id, committed_at)
+        return total
 
     def dates(self, version: int | None = None) -> DataFrame:
         return self._committed("dim_date", version).drop("_batch_id")
@@ -239,8 +389,9 @@ class Warehouse:
 
     def delete_from_fact(self, orders: DataFrame, batch_id: int, committed_at: Column) -> None:
         """Hard-delete the facts of the orders in ``orders.order_id`` as of a batch."""
-        rows = self._put(orders.select("order_id").distinct(), "fact_deletes", batch_id)
-        self._commit({"fact_deletes": rows}, batch_id, committed_at)
+        ids = orders.select("order_id").distinct()
+        rows = {"fact_vectors": self._put_vectors(ids, batch_id), "fact_deletes": self._put(ids, "fact_deletes", batch_id)}
+        self._commit(rows, batch_id, committed_at)
 
     def write_failed_files(self, failed: DataFrame, batch_id: int) -> None:
         """Note the files a batch could not read, so that none is lost from sight.
@@ -261,7 +412,7 @@ class Warehouse:
             for table, n in rows.items()
         ]
         # One file per group of tables, so a later delete in the same batch id keeps the earlier entries.
-        label = "fact_deletes" if set(rows) == {"fact_deletes"} else "batch"
+        label = "fact_deletes" if "fact_orders" not in rows and "fact_vectors" in rows else "fact_compacted" if set(rows) == {"fact_compacted"} else "batch"
         self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries))).write.mode("overwrite").parquet(
             f"{self.path('commits')}/_batch_id={batch_id}/part_of={label}"
         )
@@ -279,37 +430,49 @@ class Warehouse:
         """Columns that arrived with other types than declared, by batch."""
         return self._committed("schema_mismatches", version)
 
-    def _orders_in_reach(self, won: DataFrame, items: DataFrame | None, before: int) -> DataFrame:
-        """The winning orders of a batch (``own``), and the latest stored form of other orders that its items or waiting ones ask for."""
+    def _orders_in_reach(self, won: DataFrame, items: DataFrame, before: int) -> DataFrame:
+        """The winning orders of a batch (``own``), and the latest stored form of other orders that ``items`` ask for."""
         int_of = lambda c: to_int_safe(F.col(c), won.schema[c].dataType, self.id_type)
         own = won.select(
             int_of("id").alias("id"), int_of("customer_id").alias("customer_id"), to_timestamp_safe(F.col("order_date"), won.schema["order_date"].dataType).alias("order_date"),
             to_string_safe(F.col("status")).alias("status"), "Op", F.lit(True).alias("own"),
         )
-        asked = self._ids(items, "order_id", "id").union(self.pending_items(before).select(F.col("order_id").alias("id"))).distinct()
+        asked = items.select(F.col("order_id").alias("id")).distinct()
         stored = self._committed("stored_orders", before).join(asked, "id", "left_semi").join(own.select("id"), "id", "left_anti")
         row = F.struct("customer_id", "order_date", "status", "Op")
         latest = stored.groupBy("id").agg(F.max_by(row, "_batch_id").alias("_row")).select("id", "_row.*", F.lit(False).alias("own"))
         return own.unionByName(latest)
 
-    def _items_in_reach(self, won: DataFrame, before: int, batch_id: int) -> DataFrame:
-        """The winning items of a batch and those that wait, unless the batch changes them."""
+    def _items_in_reach(self, won: DataFrame, feeds: dict[str, DataFrame], before: int, batch_id: int) -> DataFrame:
+        """The winning items of a batch, and those that wait for something the batch changes. ``waited``: whether it waited before."""
         int_of = lambda c, kind=self.id_type: to_int_safe(F.col(c), won.schema[c].dataType, kind)
         own = won.select(
             F.col("id").cast("string").alias("id"), int_of("order_id").alias("order_id"), int_of("product_id").alias("product_id"), int_of("quantity", T.IntegerType()).alias("quantity"),
             to_decimal_safe(F.col("unit_price"), won.schema["unit_price"].dataType).alias("unit_price"), "Op", F.lit(batch_id).cast("bigint").alias("since"),
         )
-        waiting = self.pending_items(before).join(own.select("id"), "id", "left_anti")
-        return own.unionByName(waiting.select(*own.columns))
+        if self._last_commit("pending_items", before) is None:
+            return own.withColumn("waited", F.lit(False))
+        waiting = self.pending_items(before)
+        own = own.join(waiting.select("id", F.lit(True).alias("waited")), "id", "left").withColumn("waited", F.coalesce("waited", F.lit(False)))
+        touched, hit = waiting, F.lit(False)
+        for table, column in (("orders", "order_id"), ("customers", "customer_id"), ("products", "product_id")):
+            if table in feeds:
+                ids = self._ids(feeds[table], "id", column).withColumn(f"_{table}", F.lit(True))
+                touched, hit = touched.join(ids, column, "left"), hit | F.col(f"_{table}").isNotNull()
+        again = touched.where(hit).join(own.select("id"), "id", "left_anti").withColumn("waited", F.lit(True))
+        return own.unionByName(again.select(*own.columns))
+
+    def _last_commit(self, table: str, version: int | None = None) -> int | None:
+        done = self.commits().where((F.col("table_name") == table) & (F.col("rows") > 0))
+        if version is not None:
+            done = done.where(F.col("batch_id") <= version)
+        return done.agg(F.max("batch_id")).first()[0]
 
     def pending_items(self, version: int | None = None) -> DataFrame:
         """Items that gave no fact up to a version, with the reason and the batch they came in (``since``)."""
-        done = self.commits().where("table_name = 'pending_items'")
-        if version is not None:
-            done = done.where(F.col("batch_id") <= version)
-        last = done.agg(F.max("batch_id")).first()[0]
-        rows = self._scan("pending_items")
-        return rows.where(F.col("_batch_id") == F.lit(last).cast("bigint")).drop("_batch_id")
+        log = self._committed("pending_items", version)
+        row = F.struct(*[f.name for f in self.schema("pending_items").fields if f.name not in ("id", "_batch_id")])
+        return log.groupBy("id").agg(F.max_by(row, "_batch_id").alias("_row")).select("id", "_row.*").where("reason IS NOT NULL")
 
     def write_batch(
         self,
@@ -330,13 +493,17 @@ class Warehouse:
         orders also lose the facts of earlier batches. A batch id that is
         committed is left as it is.
         """
-        done = self.commits().where((F.col("batch_id") == batch_id) & (F.col("table_name") != "fact_deletes"))
+        done = self.commits().where((F.col("batch_id") == batch_id) & ~F.col("table_name").isin("fact_deletes", "fact_vectors", "fact_compacted"))
         written = {row["table_name"]: row["rows"] for row in done.select("table_name", "rows").collect()}
         if written:
             return written
         won = dedup_feeds(
             self.spark, feeds, arrival, id_type=self.id_type, null_timestamps=null_timestamps,
         )
+        # Winners are found once, then read by the dates, the facts and the logs.
+        for table in ("orders", "order_items"):
+            if table in feeds:
+                won[table] = self.stage(won[table], table, batch_id)
         rows = {
             table: self._write_dimension(table, feeds.get(feed), won[feed], batch_id, batch_ts)
             for table, feed in FEEDS.items()
@@ -347,25 +514,28 @@ class Warehouse:
         if other := self._mismatches(feeds):
             rows["schema_mismatches"] = self._put(reduce(DataFrame.unionByName, other), "schema_mismatches", batch_id)
         before, id_type = batch_id - 1, self.id_type
-        orders = self._orders_in_reach(won["orders"], feeds.get("order_items"), before)
-        items = self._items_in_reach(won["order_items"], before, batch_id)
+        items = self._items_in_reach(won["order_items"], feeds, before, batch_id)
+        orders = self._orders_in_reach(won["orders"], items, before)
         known = {
             "dim_customer": self.current_rows("dim_customer", orders.select("customer_id").distinct(), writing=batch_id, before=batch_id),
             "dim_product": self.current_rows("dim_product", items.select("product_id").distinct(), writing=batch_id, before=batch_id),
         }
-        raw = {"orders": orders, "order_items": items}
-        judged = judged_items(orders, items, *known.values(), id_type=id_type, drop_deleted=drop_deleted, skew=self.skew, raw=raw)
+        judged = judged_items(
+            orders, items, *known.values(), id_type=id_type, drop_deleted=drop_deleted, skew=self.skew,
+            raw={"orders": won["orders"], "order_items": won["order_items"]},
+        )
         # Judged once, then read by the facts and by the waiting items.
-        staged = f"{self.path('_staging')}/_batch_id={batch_id}"
-        judged.write.mode("overwrite").parquet(staged)
-        judged = self.spark.read.parquet(staged)
+        judged = self.stage(judged, "judged", batch_id)
         rows["fact_orders"] = self.write_facts(facts_of(judged), batch_id)
-        waiting = judged.where("reason IS NOT NULL").withColumnRenamed("item_id", "id")
-        rows["pending_items"] = self._put(waiting.select(*[f.name for f in self.schema("pending_items").fields if f.name != "_batch_id"]), "pending_items", batch_id)
+        noted = judged.where("reason IS NOT NULL OR waited").withColumnRenamed("item_id", "id")
+        rows["pending_items"] = self._put(noted.select(*[f.name for f in self.schema("pending_items").fields if f.name != "_batch_id"]), "pending_items", batch_id)
         own = orders.where("own").select(*[f.name for f in self.schema("stored_orders").fields if f.name != "_batch_id"])
         rows["stored_orders"] = self._put(own, "stored_orders", batch_id)
         if hard_delete:
             gone = won["orders"].where("Op = 'D'").select(F.col("id").cast(self.id_type).alias("order_id"))
             rows["fact_deletes"] = self._put(gone, "fact_deletes", batch_id)
+            rows["fact_vectors"] = self._put_vectors(gone, batch_id, writing=batch_id)
         self._commit(rows, batch_id, batch_ts)
+        for label in ("orders", "order_items", "judged"):
+            self.unstage(label, batch_id)
         return rows
