@@ -104,6 +104,8 @@ CTES = {
     "fact_versions": facts("items_a", ALWAYS_CUSTOMER, ALWAYS_PRODUCT, ", 0::BIGINT AS _batch_id") + " UNION ALL "
     + facts("items_n", ALWAYS_CUSTOMER, ALWAYS_PRODUCT, ", 1::BIGINT AS _batch_id") + " UNION ALL "
     + facts("items_r", "customer_versions", "product_versions", ", 2::BIGINT AS _batch_id"),
+    "fact_left": """SELECT *, CASE WHEN order_status = 'P' THEN 3 WHEN order_id % 5 = 0 THEN 4 WHEN order_id % 7 = 0 THEN 6 END AS deleted_in
+  FROM fact_versions""",
     "appended": " UNION ALL ".join(
         DIM_CUSTOMER.format(ts=ts, source=f"""(SELECT * FROM customers_feed WHERE "Op" = '{op}')""")
         for op, ts in (("I", T1), ("U", T2), ("D", T3))
@@ -249,6 +251,11 @@ def oracle_sql() -> dict[str, str]:
         "pending_items": """SELECT order_id, product_id, quantity, unit_price,
     CASE WHEN o.id IS NULL THEN 'order not found' ELSE 'no current customer' END AS reason, 0::BIGINT AS since
   FROM items_won i LEFT JOIN (SELECT id FROM orders_won) o ON o.id = i.order_id""",
+        "keyed_state_waiting": """SELECT order_id, product_id, quantity, unit_price,
+    CASE WHEN o.id IS NULL THEN 'order not found' ELSE 'no current customer' END AS reason
+  FROM items_won i LEFT JOIN (SELECT id FROM orders_won) o ON o.id = i.order_id""",
+        **{name: f"""SELECT table_name, row_count, NULL::{TOTAL} AS amount FROM ({STAR_COUNTS}) WHERE table_name <> 'fact_orders'
+  UNION ALL SELECT 'fact_orders', count(*), sum(total_amount)::{TOTAL} FROM fact_orders""" for name in ("keyed_state_star", "keyed_state_restarted")},
         "route_by_table": f'SELECT source_table, "Op", n_rows, max_id FROM ({PER_FEED})',
         "process_batch": f"""SELECT table_name, row_count, NULL::{TOTAL} AS amount FROM ({STAR_COUNTS}) WHERE table_name <> 'fact_orders'
   UNION ALL SELECT 'fact_orders', count(*), sum(total_amount)::{TOTAL} FROM fact_orders""",
@@ -273,6 +280,21 @@ def oracle_sql() -> dict[str, str]:
   FROM (SELECT * FROM customers_feed WHERE "Op" = 'I' AND country <> 'ASIA') o
   FULL JOIN (SELECT * FROM customers_won WHERE "Op" <> 'D') n ON o.id = n.id
   WHERE o.id IS NULL OR n.id IS NULL OR {_CHANGED}""",
+        "snapshot_diff_digest": f"""SELECT CASE WHEN o.id IS NULL THEN 'I' WHEN n.id IS NULL THEN 'D' ELSE 'U' END AS "Op",
+  coalesce(n.id, o.id) AS id, {_N}, {T2} AS "Timestamp"
+  FROM (SELECT * FROM customers_feed WHERE "Op" = 'I' AND country <> 'ASIA') o
+  FULL JOIN (SELECT * FROM customers_won WHERE "Op" <> 'D') n ON o.id = n.id
+  WHERE o.id IS NULL OR n.id IS NULL OR {_CHANGED}""",
+        "snapshot_diff_few": f"""SELECT "Op", count(*) AS n_rows, sum(id)::BIGINT AS ids, sum(total)::{TOTAL} AS amount FROM (
+  SELECT CASE WHEN b = 0 THEN 'I' WHEN a = 0 THEN 'D' WHEN id % 400 = 9 AND status <> 'X' THEN 'U' END AS "Op", id, total
+  FROM (SELECT *, CASE WHEN id % 600 <> 11 THEN 1 ELSE 0 END AS b, CASE WHEN id % 500 <> 7 THEN 1 ELSE 0 END AS a FROM orders_feed) WHERE a + b > 0)
+  WHERE "Op" IS NOT NULL GROUP BY ALL""",
+        "deletion_vectors": f"""SELECT v AS version, count(*) AS n_facts, sum(total_amount)::{TOTAL} AS amount
+  FROM fact_left, (VALUES (2), (3), (4), (5), (6)) AS versions(v) WHERE deleted_in IS NULL OR deleted_in > v GROUP BY v""",
+        "deleted_rows": "SELECT deleted_in::BIGINT AS batch_id, count(*) AS deleted FROM fact_left WHERE deleted_in IS NOT NULL GROUP BY deleted_in",
+        "compacted_facts": "SELECT * EXCLUDE (deleted_in) FROM fact_left WHERE deleted_in IS NULL",
+        "compacted_range": """SELECT * EXCLUDE (deleted_in) FROM fact_left WHERE deleted_in IS NULL
+  AND order_timestamp BETWEEN TIMESTAMP '1995-04-01' AND TIMESTAMP '1995-06-30'""",
         # scalar functions
         "op_priority": f'SELECT id, "Op", {RANK} AS priority FROM customers_feed',
         "surrogate_key": f"""SELECT c_custkey, {key("'dim_customer|' || c_custkey")} AS customer_key,

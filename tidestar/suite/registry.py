@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,7 +19,7 @@ from tidestar.schemas import SOURCE_TABLES, STAR_TABLES, WIDE_ID, feed_schema
 from tidestar.session import scratch_dir
 from tidestar.sources import files, synth
 from tidestar.sources import sample_feed as sf
-from tidestar.streaming import micro_batch
+from tidestar.streaming import keyed_state, micro_batch
 from tidestar.suite import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,6 +217,39 @@ def pending_items(spark, sf_dir):
     return warehouse.pending_items().select("order_id", "product_id", "quantity", "unit_price", "reason", "since")
 
 
+@query
+def keyed_state_star(spark, sf_dir):
+    """Landing files through keyed state into a warehouse, then its row counts and revenue."""
+    root = fx.landing(spark, sf_dir)
+    warehouse = fx.new_warehouse(spark, sf_dir, "keyed")
+    keyed_state.start(warehouse, f"{root}/{files.RAW_PREFIX}", clock=sf.at(fx.BATCH_AT), arrival=sf.ARRIVAL).awaitTermination()
+    return _streamed(warehouse)
+
+
+def _landed_apart(spark: SparkSession, sf_dir: str, *tables: tuple[str, ...]) -> Warehouse:
+    """A warehouse fed from keyed state; the query stops after each group of tables and starts again from its checkpoint."""
+    root, warehouse = scratch_dir(spark, "apart"), fx.new_warehouse(spark, sf_dir, "keyed")
+    feeds = sf.sample_feed(spark, sf_dir)
+    for group in tables:
+        for table in group:
+            feeds[table].write.parquet(f"{root}/{files.RAW_PREFIX}/public/{table}")
+        keyed_state.start(warehouse, f"{root}/{files.RAW_PREFIX}", clock=sf.at(fx.BATCH_AT), arrival=sf.ARRIVAL).awaitTermination()
+    return warehouse
+
+
+@query
+def keyed_state_restarted(spark, sf_dir):
+    """Items first, then orders, customers and products, the stream started anew for each."""
+    return _streamed(_landed_apart(spark, sf_dir, ("order_items",), ("orders",), ("customers",), ("products",)))
+
+
+@query
+def keyed_state_waiting(spark, sf_dir):
+    """What waits in the state, and why, while the customers have not come yet."""
+    warehouse = _landed_apart(spark, sf_dir, ("order_items",), ("orders", "products"))
+    return keyed_state.waiting_items(warehouse).select("order_id", "product_id", "quantity", "unit_price", "reason")
+
+
 @query
 def create_star_tables(spark, sf_dir):
     database = fx.catalog_database(spark, sf_dir)
@@ -295,6 +329,71 @@ def snapshot_diff_cdc(spark, sf_dir):
     return op.snapshot_diff(before, won.where("Op <> 'D'").select(*columns), sf.at(sf.UPDATED_AT))
 
 
+@query
+def snapshot_diff_digest(spark, sf_dir):
+    """The same changes, found by digests of buckets."""
+    columns = ["id", "name", "email", "city", "country"]
+    before = sf.customers_feed(spark, sf_dir).where("Op = 'I'").where("country <> 'ASIA'").select(*columns)
+    won = _won(spark, sf_dir, "customers")
+    return op.snapshot_diff_by_digest(before, won.where("Op <> 'D'").select(*columns), sf.at(sf.UPDATED_AT))
+
+
+@query
+def snapshot_diff_few(spark, sf_dir):
+    """Orders of which one in a hundred changed, some came and some went: changes from changed buckets, and the share of rows they hold."""
+    orders = sf.orders_feed(spark, sf_dir).select("id", "customer_id", "order_date", "status", "total")
+    after = orders.where("id % 500 <> 7").withColumn("status", F.when(F.col("id") % 400 == 9, "X").otherwise(F.col("status")))
+    changes = op.snapshot_diff_by_digest(orders.where("id % 600 <> 11"), after, sf.at(sf.UPDATED_AT), buckets=op.BUCKETS * 16)
+    return changes.groupBy("Op").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("id").alias("ids"), F.sum("total").cast(analytics.TOTAL).alias("amount"))
+
+
+def _pruned(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The three batches, then two deletes, a compaction, and a delete from the compacted files."""
+
+    def write() -> Warehouse:
+        warehouse = fx.new_warehouse(spark, sf_dir, "pruned")
+        warehouse.create_tables()
+        for batch_id, feeds in enumerate(fx.batches(spark, sf_dir)):
+            warehouse.write_batch(feeds, sf.ARRIVAL, batch_id, sf.at(sf.INSERTED_AT), null_timestamps=False)
+        orders = sf.orders_feed(spark, sf_dir).select(F.col("id").alias("order_id"), "status", "order_date")
+        warehouse.delete_from_fact(orders.where("status = 'P'"), 3, sf.at(sf.UPDATED_AT))
+        warehouse.delete_from_fact(orders.where("order_id % 5 = 0"), 4, sf.at(sf.UPDATED_AT))
+        warehouse.compact_facts(5, sf.at(sf.DELETED_AT), rows_per_file=20_000)
+        warehouse.delete_from_fact(orders.where("order_id % 7 = 0"), 6, sf.at(sf.DELETED_AT))
+        return warehouse
+
+    return fx.once(spark, sf_dir, "pruned", write)
+
+
+@query
+def deletion_vectors(spark, sf_dir):
+    """Facts of each version left by deletes that mark positions in files, before and after a compaction."""
+    warehouse = _pruned(spark, sf_dir)
+    return _union([
+        warehouse.facts(version=v).agg(F.count(F.lit(1)).alias("n_facts"), F.sum("total_amount").cast(analytics.TOTAL).alias("amount")).withColumn("version", F.lit(v))
+        for v in (2, 3, 4, 5, 6)
+    ])
+
+
+@query
+def deleted_rows(spark, sf_dir):
+    """Facts that each delete marked, counted in its bitmaps."""
+    return _pruned(spark, sf_dir).deleted_rows().select(F.col("_batch_id").alias("batch_id"), "deleted")
+
+
+@query
+def compacted_facts(spark, sf_dir):
+    """All facts left, most of them from the compacted files."""
+    return _pruned(spark, sf_dir).facts().drop("order_month")
+
+
+@query
+def compacted_range(spark, sf_dir):
+    """Facts of a quarter, from the files of the compaction that can hold any."""
+    days = (dt.date(1995, 4, 1), dt.date(1995, 6, 30))
+    return _pruned(spark, sf_dir).facts(days=days).drop("order_month")
+
+
 # ---- scalar functions ---------------------------------------------------
 
 
