@@ -28,9 +28,12 @@ its partners becomes a fact once.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection
-from functools import reduce
+from collections.abc import Callable, Collection
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +61,8 @@ DIMENSIONS = {d.table: d for d in (CUSTOMER, PRODUCT)}
 BUILDERS = {"dim_customer": build_dim_customer, "dim_product": build_dim_product}
 FEEDS = {"dim_customer": "customers", "dim_product": "products"}
 
+T_ = TypeVar("T_")
+
 # The unit of the fact partition folders.
 DAY, MONTH = "day", "month"
 _FORMATS = {DAY: "yyyy-MM-dd", MONTH: "yyyy-MM"}
@@ -138,8 +143,17 @@ class Warehouse:
 
     def create_tables(self) -> None:
         """Make the folders of all tables; those that exist are left alone."""
-        for table in (*STAR_TABLES, "fact_deletes", "fact_vectors", "failed_files", "stored_orders", "pending_items", "schema_mismatches", "commits"):
-            empty_frame(self.spark, self.schema(table)).coalesce(1).write.mode("ignore").partitionBy("_batch_id").parquet(self.path(table))
+        tables = (*STAR_TABLES, "fact_deletes", "fact_vectors", "failed_files", "stored_orders", "pending_items", "schema_mismatches", "commits")
+        self._together([partial(self._create, table) for table in tables])
+
+    def _create(self, table: str) -> None:
+        empty_frame(self.spark, self.schema(table)).coalesce(1).write.mode("ignore").partitionBy("_batch_id").parquet(self.path(table))
+
+    def _together(self, jobs: list[Callable[[], T_]]) -> list[T_]:
+        """Run jobs that don't depend on each other side by side; small ones leave most of a cluster idle. All have ended when this returns or raises."""
+        with ThreadPoolExecutor(4) as pool:
+            started = [pool.submit(inheritable_thread_target(self.spark)(job)) for job in jobs]
+        return [job.result() for job in started]
 
     def _scan(self, table: str, merge_schema: bool = False) -> DataFrame:
         reader = self.spark.read
@@ -501,15 +515,16 @@ class Warehouse:
             self.spark, feeds, arrival, id_type=self.id_type, null_timestamps=null_timestamps,
         )
         # Winners are found once, then read by the dates, the facts and the logs.
-        for table in ("orders", "order_items"):
-            if table in feeds:
-                won[table] = self.stage(won[table], table, batch_id)
-        rows = {
-            table: self._write_dimension(table, feeds.get(feed), won[feed], batch_id, batch_ts)
-            for table, feed in FEEDS.items()
-        }
+        # Items are looked at a second time only where some wait.
+        twice = ["orders", "order_items"] if self._last_commit("pending_items", batch_id - 1) is not None else ["orders"]
+        twice = [table for table in twice if table in feeds]
+        won |= dict(zip(twice, self._together([partial(self.stage, won[table], table, batch_id) for table in twice]), strict=True))
         dates = dim_date_upsert(self.dates(batch_id - 1), build_dim_date(won["orders"]))
-        rows["dim_date"] = self._put(dates, "dim_date", batch_id)
+        written = self._together([
+            *[partial(self._write_dimension, table, feeds.get(feed), won[feed], batch_id, batch_ts) for table, feed in FEEDS.items()],
+            partial(self._put, dates, "dim_date", batch_id),
+        ])
+        rows = dict(zip([*FEEDS, "dim_date"], written, strict=True))
 
         if other := self._mismatches(feeds):
             rows["schema_mismatches"] = self._put(reduce(DataFrame.unionByName, other), "schema_mismatches", batch_id)
@@ -522,15 +537,18 @@ class Warehouse:
         }
         judged = judged_items(
             orders, items, *known.values(), id_type=id_type, drop_deleted=drop_deleted, skew=self.skew,
-            raw={"orders": won["orders"], "order_items": won["order_items"]},
+            raw={"orders": won["orders"], "order_items": won["order_items"] if "order_items" in twice else feeds.get("order_items", won["order_items"])},
         )
         # Judged once, then read by the facts and by the waiting items.
         judged = self.stage(judged, "judged", batch_id)
-        rows["fact_orders"] = self.write_facts(facts_of(judged), batch_id)
         noted = judged.where("reason IS NOT NULL OR waited").withColumnRenamed("item_id", "id")
-        rows["pending_items"] = self._put(noted.select(*[f.name for f in self.schema("pending_items").fields if f.name != "_batch_id"]), "pending_items", batch_id)
-        own = orders.where("own").select(*[f.name for f in self.schema("stored_orders").fields if f.name != "_batch_id"])
-        rows["stored_orders"] = self._put(own, "stored_orders", batch_id)
+        own = orders.where("own")
+        columns = lambda table: [f.name for f in self.schema(table).fields if f.name != "_batch_id"]
+        rows["fact_orders"], rows["pending_items"], rows["stored_orders"] = self._together([
+            partial(self.write_facts, facts_of(judged), batch_id),
+            partial(self._put, noted.select(*columns("pending_items")), "pending_items", batch_id),
+            partial(self._put, own.select(*columns("stored_orders")), "stored_orders", batch_id),
+        ])
         if hard_delete:
             gone = won["orders"].where("Op = 'D'").select(F.col("id").cast(self.id_type).alias("order_id"))
             rows["fact_deletes"] = self._put(gone, "fact_deletes", batch_id)
