@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import hashlib
+import math
 import random
 from collections import defaultdict
 
 from cases import SCHEMA, documents, sentence, words
 from compare import connect, difference
+from pyspark.sql import functions as F
 
 from tidestar.llm import queries
 from tidestar.llm.line_dedup import dedup_lines
@@ -94,6 +97,70 @@ def test_mix(spark):
     assert [r["taken"] for r in mix(blank).collect()] == [0, 0]
 
 
+def drawn(rows, seed="mix"):
+    """Copies of each row (id, text, source) without rows equal in all three: factors by bisection, then the odds one by one."""
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len(words(t))
+    target, out = filled(sizes), {}
+    for source in sizes:
+        own = [(i, t, len(words(t))) for i, t, s in rows if s == source]
+        weight = {n: max(1, math.floor(256 * math.sqrt(n))) for *_, n in own if n}
+        low, high = 0.0, 10.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            if sum(n * min(MOST, middle * weight[n]) for *_, n in own if n) < target[source]:
+                low = middle
+            else:
+                high = middle
+        odds, rest = [], target[source]
+        for i, t, n in own:
+            if n:
+                e = min(MOST, high * weight[n])
+                out[i] = math.floor(e + 1e-9)
+                rest -= n * out[i]
+                if e - out[i] > 1e-9:
+                    p = e - out[i]
+                    digest = hashlib.md5(f"{seed}|{i}|{hashlib.md5((t or '').encode()).hexdigest()}".encode()).hexdigest()
+                    u = (int(digest[:12], 16) + 0.5) / 2**48
+                    odds.append((u / (1 - u) / (p / (1 - p)), i, n))
+        for _, i, n in sorted(odds):
+            if rest < n / 2:
+                break
+            out[i] += 1
+            rest -= n
+    return out
+
+
+def test_the_draw_against_plain(spark):
+    rng = random.Random(16)
+    rows = [(i, sentence(rng, rng.choice([1, 3, 10, 40, 200, 900])), rng.choice(["a", "b", "b", "c", "d"])) for i in range(400)] + [(1000, "", "a"), (1001, None, "e")]
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    expected = drawn(rows)
+    assert {r["doc_id"]: r["taken"] for r in got} == {i: expected.get(i, 0) * len(words(t)) for i, t, _ in rows}
+    assert len({expected[i] for i, *_ in rows if i < 1000}) == 3  # none, one and two copies
+
+
+def test_equal_rows_meet_the_target(spark):
+    rng = random.Random(17)
+    rows = [(i, sentence(rng, 10), "a") for i in range(300)] + [(None, "the same ten words stand in each of these rows", "c")] * 1000 + [(7, "twice", "d")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    sums = {r["source"]: (r["n"], r["taken"], r["target"], r["most"]) for r in mix(df).groupBy("source").agg(
+        F.count("*").alias("n"), F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max(F.col("taken") / F.col("size")).alias("most")).collect()}
+    assert {s: x[0] for s, x in sums.items()} == {"a": 300, "c": 1000, "d": 3}
+    assert all(abs(x[1] - x[2]) <= 5 and x[3] <= MOST for x in sums.values())
+    again = mix(df.repartition(3)).where("source = 'c'").groupBy("taken").count().collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, mix(df).where("source = 'c'").groupBy("taken").count().collect()))
+
+
+def test_targets_of_many_sources(spark):
+    rng = random.Random(18)
+    sizes = {f"host{i:04d}": rng.choice([0, 1, 5, 100, 3000, 100000]) for i in range(700)}
+    got = targets(spark.createDataFrame(list(sizes.items()), "source string, size long").repartition(9))
+    expected = filled(sizes)
+    assert all(abs(r["target"] - expected[r["source"]]) < 1e-6 * max(1, r["source_size"]) for r in got.collect())
+
+
 def test_queries_against_sql(spark):
     with connect(SMALL) as con:
         for name, sql in queries.SQL.items():

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidestar.llm import chat_format, decontaminate, line_dedup
+from tidestar.llm import chat_format, decontaminate, line_dedup, mixing
 from tidestar.llm.chat_format import op9_reply_trees
 from tidestar.llm.context_tree import op12_context_tree
 from tidestar.llm.decontaminate import op4_positional_index
@@ -40,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_pareto_mix": mixing.OP1_SQL,
     "op2_site_spread": line_dedup.OP2_SQL,
     "op4_positional_index": decontaminate.OP4_SQL,
     "op9_reply_trees": chat_format.OP9_SQL,
