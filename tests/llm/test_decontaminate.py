@@ -66,3 +66,13 @@ def test_phrases_and_proximity(spark):
     assert found(proximity_matches(index, items, 2)) == [1, 2]
     assert found(proximity_matches(index, items, 3)) == [1, 2, 3]
     assert found(proximity_matches(index, items, 4)) == [1, 2, 3, 4]
+
+
+def test_a_long_item_against_itself(spark):
+    rng = random.Random(9)
+    words = sentence(rng, 200_000).split()
+    words[50_000:50_400] = ["again", "and"] * 200
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[100_000:100_010])), (3, " ".join(words[100_000:100_009])), (4, " ".join([*words[:70_000], "break", *words[70_001:]]))], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(words)), (8, "again and again"), (9, "again")], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"]) for r in contamination(docs, items).collect()}
+    assert got == {1: (200_000, 200_000, 3), 2: (10, 10, 1), 3: (9, 0, 0), 4: (200_000, 199_999, 3)}

@@ -15,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidestar.llm.shared import col, small, table, written
@@ -68,16 +69,17 @@ def positional_index(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id",
 
 
 def _windows(items: Items, index: DataFrame) -> DataFrame:
-    """Windows that can occur at all: (item, s, size, rare), rare = places of the two rarest terms by count of postings."""
+    """Windows that can occur at all: (item, s, size, rare), rare = places of the two rarest terms by count of postings.
+
+    A row for each place of an item looks at the places of its window only, so long items are no matter.
+    """
     counts = index.where("term is not null").groupBy("term").agg(F.count("*").alias("postings"))
     places = items.places.join(counts, "term", "left").withColumn("postings", F.coalesce("postings", F.lit(0)))
-    whole = places.groupBy("item", "n").agg(F.array_sort(F.collect_list(F.struct("q", "postings"))).alias("at"))
+    onward = W.partitionBy("item").orderBy("q").rowsBetween(0, WINDOW - 1)
+    ranked = F.array_sort(F.collect_list(F.struct("postings", "q")).over(onward))
     size = F.least(F.lit(WINDOW), F.col("n"))
-    cut = whole.select("item", "n", "at", size.alias("size"), F.explode(F.sequence(F.lit(0), F.col("n") - size)).alias("s"))
-    ranked = F.array_sort(F.transform(F.slice("at", F.col("s") + 1, F.col("size")), lambda x: F.struct(x["postings"].alias("postings"), x["q"].alias("q"))))
-    return cut.select("item", "s", "size", ranked.alias("ranked")).where(F.col("ranked")[0]["postings"] > 0).select(
-        "item", "s", "size", F.slice(F.transform("ranked", lambda x: x["q"]), 1, 2).alias("rare"),
-    )
+    cut = places.select("item", F.col("q").alias("s"), size.alias("size"), "n", ranked.alias("ranked")).where("s + size <= n")
+    return cut.where(F.col("ranked")[0]["postings"] > 0).select("item", "s", "size", F.slice(F.transform("ranked", lambda x: x["q"]), 1, 2).alias("rare"))
 
 
 def phrase_matches(index: DataFrame, items: Items) -> DataFrame:
@@ -86,26 +88,27 @@ def phrase_matches(index: DataFrame, items: Items) -> DataFrame:
     Items of fewer words are one window. ``end`` is exclusive; positions count words.
     """
     windows = written(_windows(items, index), "windows")
-    rare = windows.select("item", F.explode("rare").alias("q")).distinct()
-    anchors = written(items.places.select("item", "q", "term").join(rare, ["item", "q"]), "anchors")
-    met = index.where("term is not null").join(small(anchors), "term").select("row", "item", (F.col("pos") - F.col("q")).alias("diagonal"), "q")
-    lines = met.groupBy("row", "item", "diagonal").agg(F.collect_set("q").alias("seen"))
-    # Windows of an item: as many as it has words.
-    of_item = windows.groupBy("item").agg(F.collect_list(F.struct("s", "size", "rare")).alias("windows"))
-    open_ = F.filter("windows", lambda w: F.forall(w["rare"], lambda q: F.array_contains("seen", q)))
-    wanted = F.array_distinct(F.flatten(F.transform(open_, lambda w: F.sequence(w["s"], w["s"] + w["size"] - 1))))
-    candidates = written(lines.join(of_item, "item").select("row", "item", "diagonal", wanted.alias("places")).where("size(places) > 0"), "candidates")
-
-    expected = candidates.select("row", "item", "diagonal", F.explode("places").alias("q")).join(items.places.select("item", "item_id", "n", "q", "term"), ["item", "q"])
-    rows = written(candidates.select("row").distinct(), "rows")
+    rare = written(windows.select("item", "s", F.size("rare").alias("n_rare"), F.explode("rare").alias("q")), "rare")
+    # Of the places that pick diagonals, how many of a window have to lie on one: two, or one if a window is one word.
+    anchors = written(rare.groupBy("item", "q").agg(F.min("n_rare").alias("least")).join(items.places.select("item", "q", "term"), ["item", "q"]), "anchors")
+    met = index.where("term is not null").join(small(anchors), "term").select("row", "item", (F.col("pos") - F.col("q")).alias("diagonal"), "q", "least")
+    line = ["row", "item", "diagonal"]
+    on_line = met.withColumn("seen", F.count(F.lit(1)).over(W.partitionBy(*line))).where("seen >= least").select(*line, "q")
+    # A place is one of the two rarest of at most ``WINDOW`` windows.
+    open_ = written(on_line.join(rare, ["item", "q"]).groupBy(*line, "s", "n_rare").agg(F.count(F.lit(1)).alias("found")).where("found = n_rare").select(*line, "s"), "open")
+
+    sizes = windows.select("item", "s", "size")
+    places = open_.join(sizes, ["item", "s"]).select(*line, F.explode(F.sequence(F.col("s"), F.col("s") + F.col("size") - 1)).alias("q")).distinct()
+    expected = places.join(items.places.select("item", "item_id", "n", "q", "term"), ["item", "q"])
+    rows = written(open_.select("row").distinct(), "rows")
     near = index.where("term is not null").join(small(rows), "row", "left_semi").select("row", "pos", "term")
     there = expected.withColumn("pos", F.col("diagonal") + F.col("q")).join(near, ["row", "pos", "term"])
-    runs = there.groupBy("row", "item", "item_id", "n", "diagonal").agg(F.array_sort(F.collect_set("q")).alias("q"))
-    first = F.filter("q", lambda x, i: (i == 0) | (F.get("q", i - 1) != x - 1))
-    last = F.filter("q", lambda x, i: F.coalesce(F.get("q", i + 1) != x + 1, F.lit(True)))
-    run = runs.select("row", "item", "item_id", "n", "diagonal", F.explode(F.arrays_zip(first.alias("a"), last.alias("b"))).alias("run"))
-    long_enough = run.where(F.col("run.b") - F.col("run.a") + 1 >= F.least(F.lit(WINDOW), F.col("n")))
-    return long_enough.select("row", "item", "item_id", (F.col("diagonal") + F.col("run.a")).alias("start"), (F.col("diagonal") + F.col("run.b") + 1).alias("end"))
+    # Places in a row have the same difference to their rank.
+    kind = [*line, "item_id", "n"]
+    ranked = there.withColumn("run", F.col("q") - F.row_number().over(W.partitionBy(*line).orderBy("q")))
+    runs = ranked.groupBy(*kind, "run").agg(F.min("q").alias("a"), F.max("q").alias("b"))
+    long_enough = runs.where(F.col("b") - F.col("a") + 1 >= F.least(F.lit(WINDOW), F.col("n")))
+    return long_enough.select("row", "item", "item_id", (F.col("diagonal") + F.col("a")).alias("start"), (F.col("diagonal") + F.col("b") + 1).alias("end"))
 
 
 def proximity_matches(index: DataFrame, items: Items, slop: int) -> DataFrame:
