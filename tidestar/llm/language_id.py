@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidestar.llm import textops
@@ -28,12 +29,13 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16  # of each width
 DEPTH = 6  # numbers of an embedded byte
 CLASS_DOCUMENTS = 1500  # documents of each language to learn from, at most
+ALL_DOCUMENTS = 30_000  # documents of all languages together, at most; each has 2 KB at most on the driver
 CLASS_WINDOWS = 4000  # windows of each language, at most
 DOCUMENT_WINDOWS = 8  # windows of a document to learn from, spread evenly over it
 EPOCHS = 8
 RATE = 0.004
 BATCH = 64
-MOST_LANGUAGES = 500
+MOST_LANGUAGES = 500  # the most frequent ones are learned; others are no classes
 AT_ONCE = 64  # windows scored at once, small enough for a cache
 
 
@@ -162,20 +164,24 @@ def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = CLASS_DOCUMENTS) -> Network | None:
     """Learned from at most ``most`` documents of each language outside the held-out quarter; None if no text has a language.
 
-    Which documents depends on their ids alone. There may be 500 languages; more are an error.
+    Which documents depends on their ids alone. Of more than ``MOST_LANGUAGES`` languages the most
+    frequent ones are learned (of equally frequent ones the first by name), and all share ``ALL_DOCUMENTS``.
     """
     ship(docs.sparkSession)
     usable = docs.select(col(id_col).alias("doc_id"), col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"))
     usable = usable.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages in {lang_col}")
-    if not counts:
+    common = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MOST_LANGUAGES).collect()
+    if not common:
         return None
-    # A hash of the id below a bound that lets some more than ``most`` pass; of those the first ones.
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    bound = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 1.3 * most / n + 0.001))])
-    sample = usable.where(draw < F.element_at(bound, F.col("lang")))
+    most = max(1, min(most, ALL_DOCUMENTS // len(common)))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 40))
+    # The ``most`` least draws of each language; every task leaves so many rows of it at most.
+    order = W.partitionBy("lang").orderBy("draw")
+    drawn = usable.where(F.col("lang").isin([r["lang"] for r in common])).select("lang", draw.alias("draw")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+    bounds = drawn.groupBy("lang").agg(F.max("draw").alias("bound")).collect()  # one row for each language
+    bound = F.create_map(*[F.lit(v) for r in bounds for v in (r["lang"], r["bound"])])
+    # Rows that share an id share the draw, and count once below.
+    sample = usable.where(draw <= F.element_at(bound, F.col("lang")))
     kind = sample.schema[0].dataType.simpleString()
     taken = sample.mapInArrow(_chosen, f"doc_id {kind}, lang string, x binary").where("x is not null")
     rows = taken.groupBy("lang", "doc_id").agg(F.min("x").alias("x")).collect()
