@@ -89,9 +89,9 @@ def _factors(rows: DataFrame, plan: DataFrame, power: float, most: float) -> Dat
     by_weight = kinds.groupBy("name", "w").agg(exact(F.col("n") * F.col("size")).alias("words"), exact(F.col("n").cast("decimal(19,0)") * F.col("w") * F.col("size")).alias("mass"))
     # Distinct weights of a source: as many as there are lengths of texts.
     heavier = W.partitionBy("name").orderBy(F.col("w").desc()).rowsBetween(W.unboundedPreceding, -1)
-    onward = W.partitionBy("name").orderBy(F.col("w").desc()).rowsBetween(0, W.unboundedFollowing)
+    left = F.sum("mass").over(W.partitionBy("name")) - F.coalesce(F.sum("mass").over(heavier), F.lit(0))
     tried = by_weight.join(small(plan.select("name", "target")), "name").select(
-        "name", "w", ((F.col("target") - F.lit(float(most)) * F.coalesce(F.sum("words").over(heavier), F.lit(0)).cast("double")) / F.sum("mass").over(onward).cast("double")).alias("factor"),
+        "name", "w", ((F.col("target") - F.lit(float(most)) * F.coalesce(F.sum("words").over(heavier), F.lit(0)).cast("double")) / left.cast("double")).alias("factor"),
     )
     # The first weight that need not be full, going down, and the one before it.
     open_ = tried.where(F.col("factor") * F.col("w") < F.lit(float(most))).groupBy("name").agg(F.max(F.struct("w", "factor")).alias("open"))
