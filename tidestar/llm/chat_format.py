@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidestar.llm.shared import col, table, written
+from tidestar.llm.shared import col, let, running_sums, table, written
 
 OPEN, BETWEEN, CLOSE = "<s>[", "]", "</s>"
 # The backslash first, so that undoing in turn from the last is right.
@@ -96,19 +96,15 @@ def parsed(formatted: Column) -> Column:
 def loss_spans(formatted: Column) -> Column:
     """The loss mask: an array of (start, end) in characters of the formatted text, end exclusive, one for each trained text."""
     mark = f"{OPEN}{TRAINED_ROLE}{BETWEEN}"
-    pieces = F.split(formatted, r"(?=<s>\[)")
-    place = F.aggregate(
-        pieces, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + F.length(p)).alias("at"),
-            F.when(
-                F.startswith(p, F.lit(mark)),
-                F.array_append(a["spans"], F.struct((a["at"] + len(mark)).alias("start"), (a["at"] + F.length(p) - len(CLOSE)).alias("end"))),
-            ).otherwise(a["spans"]).alias("spans"),
-        ),
-        lambda a: a["spans"],
-    )
-    return place
+
+    def spans(pieces: Column, ends: Column) -> Column:
+        every = F.transform(pieces, lambda p, i: F.when(
+            F.startswith(p, F.lit(mark)),
+            F.struct((F.get(ends, i) - F.length(p) + len(mark)).alias("start"), (F.get(ends, i) - len(CLOSE)).alias("end")),
+        ))
+        return F.filter(every, lambda x: x.isNotNull())
+
+    return let(F.split(formatted, r"(?=<s>\[)"), lambda pieces: let(running_sums(F.transform(pieces, F.length)), lambda ends: spans(pieces, ends)))
 
 
 def conversations_formatted(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:

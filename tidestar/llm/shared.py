@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,30 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def running_sums(numbers: Column) -> Column:
+    """Running sums of an array of int. Appending copies an array, so sums are made in stretches of about the root of its size, then shifted."""
+
+    def sums(of: Column, first: Column) -> Column:
+        return F.aggregate(of, first, lambda a, x: F.array_append(a, F.coalesce(F.get(a, F.size(a) - 1), F.lit(0)) + x))
+
+    def whole(n: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(n))).cast("int"))
+        last = F.floor((F.size(n) - 1) / width).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda k: sums(F.slice(n, k * width + 1, width), F.array().cast("array<int>")))
+        shifted = lambda p: let(
+            sums(F.transform(p, lambda x: F.get(x, F.size(x) - 1)), F.array(F.lit(0))),
+            lambda before: F.flatten(F.transform(p, lambda x, k: F.transform(x, lambda v: v + F.get(before, k)))),
+        )
+        return F.when(F.size(n) > 0, let(parts, shifted)).otherwise(F.array().cast("array<int>"))
+
+    return let(numbers, whole)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fixed quarter of the ids that no model may learn from."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
