@@ -83,8 +83,13 @@ def q_star_join_top20(star: Star, n: int = 20) -> DataFrame:
 
 
 def q_top_customers(star: Star, n: int = 10) -> DataFrame:
+    return top_customers(_spend(star, "customer_key"), star, n)
+
+
+def top_customers(spend: DataFrame, star: Star, n: int = 10) -> DataFrame:
+    """From facts and amount by customer: (customer_key, n, amount)."""
     customers = _current(star, "dim_customer", "customer_key", "customer_id", "name", "email")
-    spent = _spend(star, "customer_key").join(customers, "customer_key").groupBy("customer_id", "name", "email").agg(
+    spent = spend.join(customers, "customer_key").groupBy("customer_id", "name", "email").agg(
         F.sum("n").alias("order_count"), F.sum("amount").alias("_spent")
     )
     return spent.orderBy(F.col("_spent").desc(), "customer_id").limit(n).select(
@@ -106,8 +111,13 @@ def q_top_products(star: Star, n: int = 10) -> DataFrame:
 
 
 def q_daily_sales(star: Star) -> DataFrame:
+    return daily_sales(_spend(star, "date_sk"), star)
+
+
+def daily_sales(spend: DataFrame, star: Star) -> DataFrame:
+    """From facts and amount by day: (date_sk, n, amount)."""
     days = star["dim_date"].select("date_sk", "full_date", "day_of_week")
-    return _spend(star, "date_sk").join(days, "date_sk").groupBy("full_date", "day_of_week").agg(
+    return spend.join(days, "date_sk").groupBy("full_date", "day_of_week").agg(
         F.sum("n").alias("order_count"), F.sum("amount").cast(TOTAL).alias("daily_revenue")
     ).orderBy("full_date", "day_of_week")
 
@@ -115,10 +125,15 @@ def q_daily_sales(star: Star) -> DataFrame:
 def q_quarter_category(star: Star) -> DataFrame:
     """Sales by quarter and category: per quarter and product first, then per category."""
     quarters = star["dim_date"].select("date_sk", "year", "quarter")
-    products = _current(star, "dim_product", "product_key", "category")
     per_product = star["fact_orders"].join(quarters, "date_sk").groupBy("year", "quarter", "product_key").agg(
         F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("amount")
     )
+    return quarter_category(per_product, star)
+
+
+def quarter_category(per_product: DataFrame, star: Star) -> DataFrame:
+    """From facts and amount by quarter and product: (year, quarter, product_key, n, amount)."""
+    products = _current(star, "dim_product", "product_key", "category")
     return per_product.join(products, "product_key").groupBy("year", "quarter", "category").agg(
         F.sum("n").alias("transactions"), F.sum("amount").cast(TOTAL).alias("category_revenue")
     ).orderBy("year", "quarter", F.col("category_revenue").desc(), "category")
@@ -130,11 +145,16 @@ def q_category_totals(star: Star) -> DataFrame:
     Facts take their category first and are summed per customer and category,
     so the join with customers sees few rows per customer.
     """
-    products = _current(star, "dim_product", "product_key", "category")
-    customers = _current(star, "dim_customer", "customer_key", "name")
     facts = star["fact_orders"].select(
         "customer_key", "product_key", (F.col("quantity") * F.col("unit_price")).cast("decimal(12,2)").alias("amount")
     )
+    return category_totals(facts, star)
+
+
+def category_totals(facts: DataFrame, star: Star) -> DataFrame:
+    """From amounts of facts, or sums of them: (customer_key, product_key, amount)."""
+    products = _current(star, "dim_product", "product_key", "category")
+    customers = _current(star, "dim_customer", "customer_key", "name")
     per_customer = facts.join(products, "product_key").groupBy("customer_key", "category").agg(
         F.sum("amount").alias("amount")
     )

@@ -426,7 +426,7 @@ class Warehouse:
             for table, n in rows.items()
         ]
         # One file per group of tables, so a later delete in the same batch id keeps the earlier entries.
-        label = "fact_deletes" if "fact_orders" not in rows and "fact_vectors" in rows else "fact_compacted" if set(rows) == {"fact_compacted"} else "batch"
+        label = "fact_deletes" if "fact_orders" not in rows and "fact_vectors" in rows else next(iter(rows)) if len(rows) == 1 else "batch"
         self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries))).write.mode("overwrite").parquet(
             f"{self.path('commits')}/_batch_id={batch_id}/part_of={label}"
         )
@@ -507,7 +507,7 @@ class Warehouse:
         orders also lose the facts of earlier batches. A batch id that is
         committed is left as it is.
         """
-        done = self.commits().where((F.col("batch_id") == batch_id) & ~F.col("table_name").isin("fact_deletes", "fact_vectors", "fact_compacted"))
+        done = self.commits().where((F.col("batch_id") == batch_id) & ~F.col("table_name").isin("fact_deletes", "fact_vectors", "fact_compacted", "report_sums"))
         written = {row["table_name"]: row["rows"] for row in done.select("table_name", "rows").collect()}
         if written:
             return written

@@ -289,6 +289,19 @@ def oracle_sql() -> dict[str, str]:
   SELECT CASE WHEN b = 0 THEN 'I' WHEN a = 0 THEN 'D' WHEN id % 400 = 9 AND status <> 'X' THEN 'U' END AS "Op", id, total
   FROM (SELECT *, CASE WHEN id % 600 <> 11 THEN 1 ELSE 0 END AS b, CASE WHEN id % 500 <> 7 THEN 1 ELSE 0 END AS a FROM orders_feed) WHERE a + b > 0)
   WHERE "Op" IS NOT NULL GROUP BY ALL""",
+        "kept_daily_sales": f"""SELECT d.full_date, d.day_of_week, count(*) AS order_count, sum(f.total_amount)::{TOTAL} AS daily_revenue
+  FROM fact_left f JOIN dim_date d ON f.date_sk = d.date_sk WHERE f.deleted_in IS NULL GROUP BY ALL""",
+        "kept_quarter_category": f"""SELECT d.year, d.quarter, p.category, count(*) AS transactions, sum(f.total_amount)::{TOTAL} AS category_revenue
+  FROM fact_left f JOIN dim_date d ON f.date_sk = d.date_sk JOIN product_versions p ON f.product_key = p.product_key
+  WHERE f.deleted_in IS NULL AND p.is_current GROUP BY ALL""",
+        "kept_category_totals": f"""SELECT c.name, p.category, sum((f.quantity * f.unit_price)::DECIMAL(12,2))::{TOTAL} AS total
+  FROM fact_left f JOIN customer_versions c ON f.customer_key = c.customer_key JOIN product_versions p ON f.product_key = p.product_key
+  WHERE f.deleted_in IS NULL AND c.is_current AND p.is_current GROUP BY ALL""",
+        "kept_top_customers": f"""SELECT customer_id, customer_name, email, order_count, total_spent,
+  (((2 * (total_spent * 100)::HUGEINT + order_count) // (2 * order_count))::DECIMAL(18,0) * 0.01)::DECIMAL(12,2) AS avg_order_value FROM (
+  SELECT c.customer_id, c.name AS customer_name, c.email, count(*) AS order_count, sum(f.total_amount)::{TOTAL} AS total_spent
+  FROM fact_left f JOIN customer_versions c ON f.customer_key = c.customer_key WHERE f.deleted_in IS NULL AND c.is_current
+  GROUP BY ALL ORDER BY total_spent DESC, customer_id LIMIT 10)""",
         "deletion_vectors": f"""SELECT v AS version, count(*) AS n_facts, sum(total_amount)::{TOTAL} AS amount
   FROM fact_left, (VALUES (2), (3), (4), (5), (6)) AS versions(v) WHERE deleted_in IS NULL OR deleted_in > v GROUP BY v""",
         "deleted_rows": "SELECT deleted_in::BIGINT AS batch_id, count(*) AS deleted FROM fact_left WHERE deleted_in IS NOT NULL GROUP BY deleted_in",

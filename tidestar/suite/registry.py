@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidestar import functions as fn
 from tidestar import operators as op
 from tidestar.plans import analytics, catalog, quality
+from tidestar.plans.report_sums import ReportSums
 from tidestar.plans.star import row_counts
 from tidestar.plans.warehouse import Warehouse
 from tidestar.schemas import SOURCE_TABLES, STAR_TABLES, WIDE_ID, feed_schema
@@ -394,6 +395,36 @@ def compacted_range(spark, sf_dir):
     return _pruned(spark, sf_dir).facts(days=days).drop("order_month")
 
 
+def _kept(spark: SparkSession, sf_dir: str) -> ReportSums:
+    """Sums of the batches, deletes and compaction of ``_pruned``, each taken from its own rows."""
+    return fx.once(spark, sf_dir, "sums", lambda: _refreshed(ReportSums(_pruned(spark, sf_dir))))
+
+
+def _refreshed(sums: ReportSums) -> ReportSums:
+    sums.refresh()
+    return sums
+
+
+@query
+def kept_daily_sales(spark, sf_dir):
+    return _kept(spark, sf_dir).daily_sales()
+
+
+@query
+def kept_quarter_category(spark, sf_dir):
+    return _kept(spark, sf_dir).quarter_category()
+
+
+@query
+def kept_category_totals(spark, sf_dir):
+    return _kept(spark, sf_dir).category_totals()
+
+
+@query
+def kept_top_customers(spark, sf_dir):
+    return _kept(spark, sf_dir).top_customers()
+
+
 # ---- scalar functions ---------------------------------------------------
 
 
