@@ -270,3 +270,81 @@ def file_error_report(failed: DataFrame, root: str) -> DataFrame:
     )
     total = failed.agg(F.count(F.lit(1)).alias("errors")).select(F.lit("TOTAL").alias("source_table"), "errors")
     return per_table.unionByName(total)
+
+
+# ---- ledger by time -------------------------------------------------------
+#
+# The plain ledger above is read whole by each discovery. This one keeps the
+# processed files in folders by the hour of their time, and for each hour how
+# many there are and the sum of their hashes. Discovery compares these with the
+# listing and reads the hours that differ only: at steady state the last one, or
+# the hour of a late file, however old it is.
+
+_HOUR = "yyyy-MM-dd-HH"
+_HOURS_SCHEMA = "hour string, n bigint, low bigint, mixed bigint"
+
+
+def _by_hour(files: DataFrame) -> DataFrame:
+    """Number and hashes of the files of each hour. A file that is written anew has another time and is another file."""
+    h = F.xxhash64("path", "modificationTime")
+    return files.groupBy(F.date_format("modificationTime", _HOUR).alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"), F.bit_xor(h).alias("mixed"))
+
+
+def create_hour_ledger(spark: SparkSession, ledger_path: str) -> None:
+    empty_frame(spark, LEDGER_SCHEMA).withColumn("hour", F.lit("")).write.mode("ignore").partitionBy("hour").parquet(f"{ledger_path}/files")
+    spark.range(0).selectExpr("'' AS hour", "0L AS n", "0L AS low", "0L AS mixed").write.mode("ignore").parquet(f"{ledger_path}/hours")
+
+
+def _hours(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """What the ledger holds of each hour: appended counts summed up."""
+    told = spark.read.schema(_HOURS_SCHEMA).parquet(f"{ledger_path}/hours")
+    return told.groupBy("hour").agg(F.sum("n").alias("n"), F.sum("low").alias("low"), F.bit_xor("mixed").alias("mixed"))
+
+
+def read_hour_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    schema = T.StructType([*LEDGER_SCHEMA.fields, T.StructField("hour", T.StringType())])
+    return spark.read.schema(schema).parquet(f"{ledger_path}/files")
+
+
+def hours_to_read(spark: SparkSession, files: DataFrame, ledger_path: str) -> list[str]:
+    """Hours of the listing that the ledger does not hold as they are; a row for each such hour comes to the driver."""
+    listed, told = _by_hour(files).alias("f"), _hours(spark, ledger_path).alias("l")
+    same = F.lit(True)
+    for c in ("n", "low", "mixed"):
+        same = same & F.col(f"f.{c}").eqNullSafe(F.col(f"l.{c}"))
+    pairs = listed.join(told, F.col("f.hour") == F.col("l.hour"), "left")
+    return sorted(r["hour"] for r in pairs.where(~same).select("f.hour").collect())
+
+
+def discover_new_files(spark: SparkSession, prefix: str | list[str], ledger_path: str, *, glob: str = PARQUET_GLOB) -> DataFrame:
+    """Files below a prefix that the ledger by hours does not hold, oldest first."""
+    files = discover_files(spark, prefix, glob=glob)
+    hours = hours_to_read(spark, files, ledger_path)
+    known = read_hour_ledger(spark, ledger_path).where(F.col("hour").isin(hours)).select("path", "modificationTime")
+    open_ = files.where(F.date_format("modificationTime", _HOUR).isin(hours))
+    return open_.join(known, ["path", "modificationTime"], "left_anti").orderBy("modificationTime", "path")
+
+
+def mark_files_processed(spark: SparkSession, files: DataFrame, ledger_path: str) -> None:
+    """Note files in the ledger by hours. If this stops after the files are noted and before the counts, discovery reads their hours again and finds them noted."""
+    rows = files.select("path", "length", "modificationTime", F.current_timestamp().alias("processed_at"), F.date_format("modificationTime", _HOUR).alias("hour"))
+    # The listing may have changed since; what is written is what counts.
+    staged = f"{ledger_path}/staged"
+    rows.write.mode("overwrite").parquet(staged)
+    rows = spark.read.schema(T.StructType([*LEDGER_SCHEMA.fields, T.StructField("hour", T.StringType())])).parquet(staged)
+    rows.write.mode("append").partitionBy("hour").parquet(f"{ledger_path}/files")
+    _by_hour(rows).coalesce(1).write.mode("append").parquet(f"{ledger_path}/hours")
+
+
+def compact_hours(spark: SparkSession, ledger_path: str) -> int:
+    """Write the counts of the hours anew from the noted files, one row for each hour, and tell how many hours there are.
+
+    Also mends counts that were not written because a job stopped. The files of an hour are noted twice
+    if a job stopped and ran again; they count once.
+    """
+    counted = _by_hour(read_hour_ledger(spark, ledger_path).select("path", "modificationTime").distinct())
+    staged = f"{ledger_path}/hours_staged"
+    counted.coalesce(1).write.mode("overwrite").parquet(staged)
+    spark.read.schema(_HOURS_SCHEMA).parquet(staged).write.mode("overwrite").parquet(f"{ledger_path}/hours")
+    return spark.read.schema(_HOURS_SCHEMA).parquet(f"{ledger_path}/hours").count()

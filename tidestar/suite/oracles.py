@@ -236,6 +236,7 @@ def oracle_sql() -> dict[str, str]:
             for t, r in FEED_OF.items() if t in ("orders", "order_items")
         ),
         "processed_ledger": f"SELECT *, 0::BIGINT AS found_again FROM ({ROWS_PER_FEED})",
+        "hour_ledger": f"SELECT *, 0::BIGINT AS hours_left FROM ({ROWS_PER_FEED})",
         "size_formatted": f"SELECT o_orderkey, size, {_size('size')} AS size_text FROM {SIZE_ROWS}",
         "read_cdc_parquet": "SELECT * FROM items_feed",
         "stream_cdc": PER_FEED,

@@ -87,6 +87,20 @@ def processed_ledger(spark, sf_dir):
     return _rows_per_table(done, _rows_per_file(spark, root), root).withColumn("found_again", F.lit(again).cast("bigint"))
 
 
+@query
+def hour_ledger(spark, sf_dir):
+    """Rows of the files noted in the ledger by hours, in two steps, with the hours that the second and a third discovery had to read."""
+    root = fx.landing(spark, sf_dir)
+    ledger, prefix = scratch_dir(spark, "ledger"), f"{root}/{files.RAW_PREFIX}"
+    files.create_hour_ledger(spark, ledger)
+    first = files.discover_new_files(spark, f"{prefix}/public/orders", ledger)
+    files.mark_files_processed(spark, first, ledger)
+    files.mark_files_processed(spark, files.discover_new_files(spark, prefix, ledger), ledger)
+    files.compact_hours(spark, ledger)
+    left = len(files.hours_to_read(spark, files.discover_files(spark, prefix), ledger))
+    return _rows_per_table(files.read_hour_ledger(spark, ledger), _rows_per_file(spark, root), root).withColumn("hours_left", F.lit(left).cast("bigint"))
+
+
 @query
 def file_catalog(spark, sf_dir):
     """Of the catalogued files of each table: their rows, whether all names and printed sizes are as they should be."""
