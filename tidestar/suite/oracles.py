@@ -303,6 +303,12 @@ def oracle_sql() -> dict[str, str]:
   SELECT c.customer_id, c.name AS customer_name, c.email, count(*) AS order_count, sum(f.total_amount)::{TOTAL} AS total_spent
   FROM fact_left f JOIN customer_versions c ON f.customer_key = c.customer_key WHERE f.deleted_in IS NULL AND c.is_current
   GROUP BY ALL ORDER BY total_spent DESC, customer_id LIMIT 10)""",
+        "untyped_star": f"SELECT table_name, row_count FROM ({STAR_COUNTS})",
+        "untyped_mixed_fields": """SELECT 'product_id' AS field, 'BIGINT,STRING' AS value_types, count(*) AS n_values FROM lineitem""",
+        "untyped_lost_values": """SELECT column_name, CASE WHEN column_name IN ('id', 'product_id') THEN n ELSE 0 END AS filled_rows,
+    CASE WHEN column_name = 'product_id' THEN lost ELSE 0 END AS lost_rows
+  FROM (SELECT count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS lost FROM lineitem),
+    (VALUES ('Op'), ('id'), ('order_id'), ('product_id'), ('quantity'), ('unit_price'), ('Timestamp')) AS c(column_name)""",
         "deletion_vectors": f"""SELECT v AS version, count(*) AS n_facts, sum(total_amount)::{TOTAL} AS amount
   FROM fact_left, (VALUES (2), (3), (4), (5), (6)) AS versions(v) WHERE deleted_in IS NULL OR deleted_in > v GROUP BY v""",
         "deleted_rows": "SELECT deleted_in::BIGINT AS batch_id, count(*) AS deleted FROM fact_left WHERE deleted_in IS NOT NULL GROUP BY deleted_in",

@@ -12,13 +12,13 @@ from pyspark.sql import types as T
 
 from tidestar import functions as fn
 from tidestar import operators as op
-from tidestar.plans import analytics, catalog, quality
+from tidestar.plans import analytics, catalog, quality, star
 from tidestar.plans.report_sums import ReportSums
 from tidestar.plans.star import row_counts
 from tidestar.plans.warehouse import Warehouse
 from tidestar.schemas import SOURCE_TABLES, STAR_TABLES, WIDE_ID, feed_schema
 from tidestar.session import scratch_dir
-from tidestar.sources import files, synth
+from tidestar.sources import files, synth, untyped
 from tidestar.sources import sample_feed as sf
 from tidestar.streaming import keyed_state, micro_batch
 from tidestar.suite import fixtures as fx
@@ -471,6 +471,41 @@ def md5_hex(spark, sf_dir):
     return sf.read(spark, sf_dir, "documents").select("doc_id", fn.md5_hex(F.col("text")).alias("digest"))
 
 
+def _lines(spark: SparkSession, feed: DataFrame) -> DataFrame:
+    """The feed as JSON lines, read back without a schema."""
+    root = scratch_dir(spark, "untyped")
+    feed.select(F.to_json(F.struct("*"))).write.text(root)
+    return untyped.read_lines(spark, root, glob="part-*")
+
+
+@query
+def untyped_star(spark, sf_dir):
+    """Row counts of the star from feeds that come as JSON lines."""
+    feeds = {table: untyped.typed_feed(_lines(spark, feed), table, WIDE_ID) for table, feed in sf.sample_feed(spark, sf_dir).items()}
+    return star.transform_star(spark, feeds, sf.ARRIVAL, sf.at(fx.BATCH_AT), id_type=WIDE_ID, null_timestamps=False).summary()
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items whose product is a number, a text of digits or another text, by return flag."""
+    lines = sf.read(spark, sf_dir, "lineitem")
+    head, tail = F.concat(F.lit('{"id":'), F.col("l_orderkey").cast("string"), F.lit(',"product_id":')), F.lit("}")
+    number = F.col("l_partkey").cast("string")
+    value = F.when(F.col("l_returnflag") == "A", number).when(F.col("l_returnflag") == "N", F.concat(F.lit('"'), number, F.lit('"'))).otherwise(F.concat(F.lit('"p'), number, F.lit('"')))
+    root = scratch_dir(spark, "untyped")
+    lines.select(F.concat(head, value, tail)).write.text(root)
+    return untyped.read_lines(spark, root, glob="part-*")
+
+
+@query
+def untyped_mixed_fields(spark, sf_dir):
+    return untyped.mixed_fields(_mixed(spark, sf_dir))
+
+
+@query
+def untyped_lost_values(spark, sf_dir):
+    return untyped.lost_values(_mixed(spark, sf_dir), "order_items", WIDE_ID)
+
+
 @query
 def to_string_safe(spark, sf_dir):
     orders = sf.orders_feed(spark, sf_dir)
