@@ -126,6 +126,34 @@ def broken_landing(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "broken", write)
 
 
+# Bytes of a row group and of a block that is read at a time, for files of which one place is damaged.
+SMALL_GROUP, SMALL_BLOCK = 32_000, 12_000
+
+
+def damaged_file(spark: SparkSession, sf_dir: str) -> str:
+    """The orders in one file of small row groups, with some bytes after its first quarter that no writer wrote."""
+
+    def write() -> str:
+        root = scratch_dir(spark, "damaged")
+        rows = sf.orders_feed(spark, sf_dir).coalesce(1)
+        rows.write.option("parquet.block.size", SMALL_GROUP).option("compression", "none").option("parquet.enable.dictionary", "false").parquet(f"{root}/good")
+        hadoop = spark._jvm.org.apache.hadoop
+        files = hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        good = next(s for s in files.listStatus(hadoop.fs.Path(f"{root}/good")) if s.getPath().getName().endswith(".parquet"))
+        bad = f"{root}/bad/part-0.parquet"
+        wrong, first = b"?" * 64, good.getLen() // 4
+        source, target = files.open(good.getPath()), files.create(hadoop.fs.Path(bad))
+        copy = spark._jvm.org.apache.commons.io.IOUtils.copyLarge
+        copy(source, target, 0, first)
+        target.write(wrong)
+        copy(source, target, len(wrong), good.getLen() - first - len(wrong))
+        source.close()
+        target.close()
+        return bad
+
+    return once(spark, sf_dir, "damaged", write)
+
+
 def catalog_database(spark: SparkSession, sf_dir: str) -> str:
     """The one-batch star as tables of a database, facts partitioned by day."""
 

@@ -309,6 +309,13 @@ def oracle_sql() -> dict[str, str]:
     CASE WHEN column_name = 'product_id' THEN lost ELSE 0 END AS lost_rows
   FROM (SELECT count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS lost FROM lineitem),
     (VALUES ('Op'), ('id'), ('order_id'), ('product_id'), ('quantity'), ('unit_price'), ('Timestamp')) AS c(column_name)""",
+        "row_group_recovery": "SELECT count(*) AS n_rows, 1::BIGINT AS blocks_lost, true AS rows_behind FROM orders_feed",
+        "sql_count_at_version": "SELECT count(*) AS fact_count_at_version FROM fact_versions WHERE _batch_id <= 0",
+        "sql_count_as_of": "SELECT count(*) AS fact_count_at_timestamp FROM fact_versions WHERE _batch_id <= 1",
+        "sql_facts_of_version": "SELECT * EXCLUDE (deleted_in, _batch_id) FROM fact_left WHERE deleted_in IS NULL",
+        "sql_report_of_version": f"""SELECT c.name, p.category, sum((f.quantity * f.unit_price)::DECIMAL(12,2))::{TOTAL} AS total
+  FROM fact_versions f JOIN customer_versions c ON f.customer_key = c.customer_key JOIN product_versions p ON f.product_key = p.product_key
+  WHERE f._batch_id <= 1 AND c.is_current AND p.is_current GROUP BY ALL""",
         "deletion_vectors": f"""SELECT v AS version, count(*) AS n_facts, sum(total_amount)::{TOTAL} AS amount
   FROM fact_left, (VALUES (2), (3), (4), (5), (6)) AS versions(v) WHERE deleted_in IS NULL OR deleted_in > v GROUP BY v""",
         "deleted_rows": "SELECT deleted_in::BIGINT AS batch_id, count(*) AS deleted FROM fact_left WHERE deleted_in IS NOT NULL GROUP BY deleted_in",

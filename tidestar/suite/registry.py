@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidestar import functions as fn
 from tidestar import operators as op
-from tidestar.plans import analytics, catalog, quality, star
+from tidestar.plans import analytics, catalog, quality, star, time_travel
 from tidestar.plans.report_sums import ReportSums
 from tidestar.plans.star import row_counts
 from tidestar.plans.warehouse import Warehouse
@@ -163,6 +163,17 @@ def skip_corrupt_files(spark, sf_dir):
     ])
 
 
+@query
+def row_group_recovery(spark, sf_dir):
+    """Of a file with one damaged row group: rows kept and lost together, blocks lost, and whether rows behind the damage are kept."""
+    path = fx.damaged_file(spark, sf_dir)
+    read = files.read_cdc_parquet(spark, path, "orders", id_type=WIDE_ID, skip_corrupt=True, arrival=True, block_bytes=fx.SMALL_BLOCK)
+    lost = files.damaged_blocks(read, spark, [path], fx.SMALL_BLOCK).agg(F.sum("lost_rows").alias("lost"), F.count(F.lit(1)).alias("blocks_lost"), F.min("block").alias("at"))
+    h = F.xxhash64(*[c for c in read.columns if not c.startswith("_")])
+    kept = read.join(F.broadcast(lost)).groupBy("lost", "blocks_lost").agg((F.count_if(h % 2 == 0) + F.count_if(h % 2 != 0)).alias("kept"), F.count_if(F.col("_block") > F.col("at")).alias("behind"))
+    return kept.select((F.col("kept") + F.col("lost")).alias("n_rows"), "blocks_lost", (F.col("behind") > 0).alias("rows_behind"))
+
+
 @query
 def file_error_report(spark, sf_dir):
     root = fx.broken_landing(spark, sf_dir)
@@ -896,6 +907,38 @@ def q_fact_count_version(spark, sf_dir):
     return fx.versioned(spark, sf_dir).facts(version=0).agg(F.count(F.lit(1)).alias("fact_count_at_version"))
 
 
+def _in_sql(spark: SparkSession, warehouse: Warehouse, label: str, text: str) -> DataFrame:
+    """SQL text over the table functions of a warehouse, whose names stand in braces."""
+    time_travel.create_functions(warehouse, f"{label}_")
+    return spark.sql(text.replace("{", f"{label}_").replace("}", ""))
+
+
+@query
+def sql_count_at_version(spark, sf_dir):
+    return _in_sql(spark, fx.versioned(spark, sf_dir), "versioned", "SELECT COUNT(*) AS fact_count_at_version FROM {fact_orders_at_version}(0)")
+
+
+@query
+def sql_count_as_of(spark, sf_dir):
+    return _in_sql(spark, fx.versioned(spark, sf_dir), "versioned", f"SELECT COUNT(*) AS fact_count_at_timestamp FROM {{fact_orders_as_of}}(TIMESTAMP_NTZ '{fx.BETWEEN}')")
+
+
+@query
+def sql_facts_of_version(spark, sf_dir):
+    """Facts after a delete and a compaction, as SQL text asks for them."""
+    return _in_sql(spark, _pruned(spark, sf_dir), "pruned", "SELECT * FROM {fact_orders_at_version}(6)")
+
+
+@query
+def sql_report_of_version(spark, sf_dir):
+    """Spend by customer and category as it was before the deletes of customers and products."""
+    return _in_sql(spark, fx.versioned(spark, sf_dir), "versioned", """
+        SELECT c.name, p.category, CAST(SUM(CAST(f.quantity * f.unit_price AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total
+        FROM {fact_orders_at_version}(1) f JOIN {dim_customer_at_version}(2) c ON f.customer_key = c.customer_key
+        JOIN {dim_product_at_version}(2) p ON f.product_key = p.product_key
+        WHERE c.is_current AND p.is_current GROUP BY c.name, p.category""")
+
+
 @query
 def q_facts_latest(spark, sf_dir):
     """All facts of the three batches at the latest version."""
