@@ -33,9 +33,12 @@ def _only(docs: DataFrame, decisions: DataFrame, by: Column) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the labelling of lines reject go; each row is judged by its own text."""
+    """Documents that the base rules or the labelling of lines reject go; each row is judged by its own text, in one pass."""
     field = fit(docs, table(spark, sf_dir, "labels"))
-    return _only(docs, judge(docs.select(_key().alias("doc_id"), "text"), field), _key())
+    # The verdict stands beside the columns of the documents, whatever these are called.
+    apart = {c: f"_column_{k}" for k, c in enumerate(docs.columns)}
+    judged = judge(docs.select(*[col(c).alias(name) for c, name in apart.items()]), field, apart["text"])
+    return judged.where("kept").select(*[F.col(name).alias(c) for c, name in apart.items()])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
