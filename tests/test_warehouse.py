@@ -321,3 +321,24 @@ def test_waiting_items_that_nothing_touches_are_not_written_again(spark):
     assert rows(w.pending_items(1), "id") == [("1",)]
     staged = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(w.root)
     assert staged.where("path like '%_staging%'").isEmpty()
+
+
+def test_limits(spark):
+    root = scratch_dir(spark, "limits")
+    w = Warehouse(spark, root, limits={"rejected_share": 0.4, "largest_total": 1000})
+    w.create_tables()
+    assert w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0]))["fact_orders"] == 1
+    told = {r["metric"]: (r["value"], r["limit_value"]) for r in w.batch_metrics().collect()}
+    assert told["facts"] == (1, None) and told["rejected_share"] == (0, 0.4) and told["largest_total"] == (49.95, 1000) and told["mismatched_totals"] == (0, None)
+    # Half of the items of the second batch are rejected: nothing of it is seen.
+    assert w.write_batch(second(spark), fd.ARRIVAL, 1, F.lit(TIMES[1])) == {}
+    assert versions(w) == [(1, "x", TIMES[0], None, True), (2, "y", TIMES[0], None, True)]
+    assert rows(w.facts(), "order_id") == [(10,)] and w.pending_items().isEmpty()
+    assert rows(w.quarantined(), "_batch_id", "metric", "value", "limit_value") == [(1, "rejected_share", 0.5, 0.4)]
+    # It is written again under another limit.
+    w = Warehouse(spark, root, limits={"rejected_share": 0.6})
+    assert w.write_batch(second(spark), fd.ARRIVAL, 1, F.lit(TIMES[1]))["fact_orders"] == 1
+    assert versions(w) == HISTORY and w.quarantined().isEmpty()
+    assert rows(w.batch_metrics().where("metric = 'rejected_items'"), "_batch_id", "value") == [(0, 0), (1, 1)]
+    with pytest.raises(ValueError, match="no such metrics"):
+        Warehouse(spark, root, limits={"nothing": 1})

@@ -13,6 +13,11 @@ deleted rows, in a few files along a space-filling curve over date and customer;
 readers of that version and later ones take these files, readers of earlier
 versions the old folders, which stay.
 
+What a batch writes is measured while it is written (``batch_metrics``), without
+another scan. With ``limits`` a batch that is above one of them is not committed:
+its folders stay unseen, ``quarantined`` tells which limit it was, and the same
+batch id can be written again.
+
 Dimensions are logs: a batch appends the versions it opens and, for versions it
 closes, their final form. A batch writes as much as it changes; it reads the
 ids of the whole log, and the other columns of the ids it needs.
@@ -70,6 +75,13 @@ _FORMATS = {DAY: "yyyy-MM-dd", MONTH: "yyyy-MM"}
 # Fixed value: positions of one bitmap of Spark's bitmap functions, 2 ** 15.
 BITMAP_BITS = 15
 ROWS_PER_FILE = 4_000_000
+# What is measured of a batch: of the items it judges, and of the facts it writes.
+_JUDGED = {"judged_items": "count(1)", "rejected_items": "count_if(reason IS NOT NULL)", "rejected_share": "avg(cast(reason IS NOT NULL AS double))"}
+_WRITTEN = {
+    "facts": "count(1)", "mismatched_totals": "count_if(abs(total_amount - quantity * unit_price) > 0.01)", "negative_totals": "count_if(total_amount < 0)",
+    "largest_total": "max(total_amount)", "undated_facts": "count_if(order_timestamp IS NULL)",
+}
+METRICS = (*_JUDGED, *_WRITTEN)
 CURVE_BITS = 16  # of each dimension of the space-filling curve
 
 
@@ -97,9 +109,12 @@ class Warehouse:
         id_type: T.DataType = ID,
         fact_unit: str = DAY,
         skew: SkewPolicy = SkewPolicy(),
+        limits: dict[str, float] | None = None,
     ) -> None:
         self.spark, self.root, self.id_type = spark, root.rstrip("/"), id_type
-        self.fact_unit, self.skew = fact_unit, skew
+        self.fact_unit, self.skew, self.limits = fact_unit, skew, limits or {}
+        if unknown := set(self.limits) - set(METRICS):
+            raise ValueError(f"no such metrics: {sorted(unknown)}")
 
     # ---- tables -------------------------------------------------------
 
@@ -128,6 +143,8 @@ class Warehouse:
             fields = [T.StructField("id", T.StringType()), T.StructField("order_id", self.id_type), T.StructField("product_id", self.id_type),
                       T.StructField("customer_id", self.id_type), T.StructField("quantity", T.IntegerType()), T.StructField("unit_price", PRICE),
                       T.StructField("Op", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("since", T.LongType())]
+        elif table in ("batch_metrics", "quarantined"):
+            fields = [T.StructField("metric", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("limit_value", T.DoubleType())]
         elif table == "fact_deletes":
             fields = [T.StructField("order_id", self.id_type)]
         elif table == "fact_vectors":
@@ -143,7 +160,7 @@ class Warehouse:
 
     def create_tables(self) -> None:
         """Make the folders of all tables; those that exist are left alone."""
-        tables = (*STAR_TABLES, "fact_deletes", "fact_vectors", "failed_files", "stored_orders", "pending_items", "schema_mismatches", "commits")
+        tables = (*STAR_TABLES, "fact_deletes", "fact_vectors", "failed_files", "stored_orders", "pending_items", "schema_mismatches", "batch_metrics", "quarantined", "commits")
         self._together([partial(self._create, table) for table in tables])
 
     def _create(self, table: str) -> None:
@@ -161,20 +178,21 @@ class Warehouse:
             return reader.option("mergeSchema", "true").parquet(self.path(table))
         return reader.schema(self.schema(table)).parquet(self.path(table))
 
-    def _put(self, df: DataFrame, table: str, batch_id: int, partition: str | None = None) -> int:
-        """Write a batch folder anew and tell its rows, counted on the way."""
-        seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    def _put(self, df: DataFrame, table: str, batch_id: int, partition: str | None = None, seen: Observation | None = None, metrics: dict[str, str] | None = None) -> int:
+        """Write a batch folder anew and tell its rows, counted on the way, as ``metrics`` are."""
+        seen = seen or Observation()
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.expr(e).alias(m) for m, e in (metrics or {}).items()])
         writer = counted.write.mode("overwrite")
         if partition:
             writer = writer.partitionBy(partition)
         writer.parquet(f"{self.path(table)}/_batch_id={batch_id}")
         return seen.get["rows"]
 
-    def stage(self, df: DataFrame, label: str, batch_id: int) -> DataFrame:
-        """The frame written below the warehouse and read back, so that a batch computes it once."""
+    def stage(self, df: DataFrame, label: str, batch_id: int, observation: Observation | None = None, metrics: dict[str, str] | None = None) -> DataFrame:
+        """The frame written below the warehouse and read back, so that a batch computes it once. ``metrics`` are measured on the way."""
         path = f"{self.path('_staging')}/{label}-{batch_id}"
-        df.write.mode("overwrite").parquet(path)
+        seen = df.observe(observation, *[F.expr(e).alias(m) for m, e in metrics.items()]) if observation and metrics else df
+        seen.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def unstage(self, label: str, batch_id: int) -> None:
@@ -393,13 +411,13 @@ class Warehouse:
         opened_in = F.when(F.col("event") == "open", F.lit(batch_id)).otherwise(F.col("opened_in"))
         return self._put(rows.withColumn("opened_in", opened_in.cast("bigint")), table, batch_id)
 
-    def write_facts(self, facts: DataFrame, batch_id: int) -> int:
+    def write_facts(self, facts: DataFrame, batch_id: int, seen: Observation | None = None) -> int:
         """Facts in one folder per day (or month) of the order."""
         placed = facts.withColumn(
             self.fact_folder, F.date_format("order_timestamp", _FORMATS[self.fact_unit]),
         )
         placed = gather_by(placed, self.fact_folder)
-        return self._put(placed, "fact_orders", batch_id, self.fact_folder)
+        return self._put(placed, "fact_orders", batch_id, self.fact_folder, seen, _WRITTEN if seen else None)
 
     def delete_from_fact(self, orders: DataFrame, batch_id: int, committed_at: Column) -> None:
         """Hard-delete the facts of the orders in ``orders.order_id`` as of a batch."""
@@ -507,7 +525,7 @@ class Warehouse:
         orders also lose the facts of earlier batches. A batch id that is
         committed is left as it is.
         """
-        done = self.commits().where((F.col("batch_id") == batch_id) & ~F.col("table_name").isin("fact_deletes", "fact_vectors", "fact_compacted", "report_sums"))
+        done = self.commits().where((F.col("batch_id") == batch_id) & ~F.col("table_name").isin("fact_deletes", "fact_vectors", "fact_compacted", "report_sums", "quarantined"))
         written = {row["table_name"]: row["rows"] for row in done.select("table_name", "rows").collect()}
         if written:
             return written
@@ -540,12 +558,13 @@ class Warehouse:
             raw={"orders": won["orders"], "order_items": won["order_items"] if "order_items" in twice else feeds.get("order_items", won["order_items"])},
         )
         # Judged once, then read by the facts and by the waiting items.
-        judged = self.stage(judged, "judged", batch_id)
+        of_items, of_facts = Observation(), Observation()
+        judged = self.stage(judged, "judged", batch_id, of_items, _JUDGED)
         noted = judged.where("reason IS NOT NULL OR waited").withColumnRenamed("item_id", "id")
         own = orders.where("own")
         columns = lambda table: [f.name for f in self.schema(table).fields if f.name != "_batch_id"]
         rows["fact_orders"], rows["pending_items"], rows["stored_orders"] = self._together([
-            partial(self.write_facts, facts_of(judged), batch_id),
+            partial(self.write_facts, facts_of(judged), batch_id, of_facts),
             partial(self._put, noted.select(*columns("pending_items")), "pending_items", batch_id),
             partial(self._put, own.select(*columns("stored_orders")), "stored_orders", batch_id),
         ])
@@ -553,7 +572,30 @@ class Warehouse:
             gone = won["orders"].where("Op = 'D'").select(F.col("id").cast(self.id_type).alias("order_id"))
             rows["fact_deletes"] = self._put(gone, "fact_deletes", batch_id)
             rows["fact_vectors"] = self._put_vectors(gone, batch_id, writing=batch_id)
-        self._commit(rows, batch_id, batch_ts)
+        above = self._write_metrics({**of_items.get, **{m: v for m, v in of_facts.get.items() if m != "rows"}}, batch_id, rows)
         for label in ("orders", "order_items", "judged"):
             self.unstage(label, batch_id)
+        if above:
+            self._commit({"quarantined": above}, batch_id, batch_ts)
+            return {}
+        self._commit(rows, batch_id, batch_ts)
         return rows
+
+    def _write_metrics(self, measured: dict[str, object], batch_id: int, rows: dict[str, int]) -> int:
+        """Note what was measured, and tell how many limits it is above; these are noted as quarantined."""
+        told = [(m, None if measured[m] is None else float(measured[m]), None if m not in self.limits else float(self.limits[m])) for m in METRICS]
+        schema = "metric string, value double, limit_value double"
+        rows["batch_metrics"] = self._put(self.spark.createDataFrame(told, schema).coalesce(1), "batch_metrics", batch_id)
+        above = [x for x in told if x[1] is not None and x[2] is not None and x[1] > x[2]]
+        if above:
+            self._put(self.spark.createDataFrame(above, schema).coalesce(1), "quarantined", batch_id)
+        return len(above)
+
+    def batch_metrics(self, version: int | None = None) -> DataFrame:
+        """What was measured of each committed batch: metric, value, limit_value, _batch_id."""
+        return self._committed("batch_metrics", version)
+
+    def quarantined(self) -> DataFrame:
+        """Batches that were not committed, with the limits they are above; those that were written again and committed since are left out."""
+        there = self.commits().where("table_name = 'batch_metrics'").select(F.col("batch_id").alias("_batch_id"))
+        return self._committed("quarantined").join(there, "_batch_id", "left_anti")

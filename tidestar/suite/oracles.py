@@ -316,6 +316,10 @@ def oracle_sql() -> dict[str, str]:
         "sql_report_of_version": f"""SELECT c.name, p.category, sum((f.quantity * f.unit_price)::DECIMAL(12,2))::{TOTAL} AS total
   FROM fact_versions f JOIN customer_versions c ON f.customer_key = c.customer_key JOIN product_versions p ON f.product_key = p.product_key
   WHERE f._batch_id <= 1 AND c.is_current AND p.is_current GROUP BY ALL""",
+        "batch_checks": """SELECT metric, value, NULL::BIGINT AS limit_value, n AS facts_seen FROM (
+    SELECT (SELECT count(*) FROM items_won) AS items, (SELECT count(*) FROM fact_orders) AS n),
+    LATERAL (VALUES ('judged_items', items), ('rejected_items', items - n), ('facts', n), ('mismatched_totals', 0)) AS m(metric, value)
+  UNION ALL SELECT 'rejected_items', (SELECT count(*) FROM items_won) - (SELECT count(*) FROM fact_orders), 0::BIGINT, 0::BIGINT""",
         "deletion_vectors": f"""SELECT v AS version, count(*) AS n_facts, sum(total_amount)::{TOTAL} AS amount
   FROM fact_left, (VALUES (2), (3), (4), (5), (6)) AS versions(v) WHERE deleted_in IS NULL OR deleted_in > v GROUP BY v""",
         "deleted_rows": "SELECT deleted_in::BIGINT AS batch_id, count(*) AS deleted FROM fact_left WHERE deleted_in IS NOT NULL GROUP BY deleted_in",

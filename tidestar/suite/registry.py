@@ -232,6 +232,21 @@ def process_batch_split(spark, sf_dir):
     return _streamed(warehouse)
 
 
+@query
+def batch_checks(spark, sf_dir):
+    """What is measured while a batch is written, without limits and with one that keeps it from being committed, and the facts seen after it."""
+    result = []
+    for limits in ({}, {"rejected_items": 0, "largest_total": 1e12}):
+        warehouse = fx.new_warehouse(spark, sf_dir, "checks")
+        warehouse.limits = limits
+        warehouse.create_tables()
+        warehouse.write_batch(sf.sample_feed(spark, sf_dir), sf.ARRIVAL, 0, sf.at(fx.BATCH_AT), null_timestamps=False)
+        told = warehouse.quarantined() if limits else warehouse.batch_metrics().where("metric IN ('judged_items', 'rejected_items', 'facts', 'mismatched_totals')")
+        seen = warehouse.facts().agg(F.count(F.lit(1)).alias("facts_seen"))
+        result.append(told.join(F.broadcast(seen)).select("metric", F.col("value").cast("bigint").alias("value"), F.col("limit_value").cast("bigint").alias("limit_value"), "facts_seen"))
+    return _union(result)
+
+
 @query
 def pending_items(spark, sf_dir):
     """What waits, and why, while the customers have not come yet."""
