@@ -51,26 +51,27 @@ def chosen_branches(messages: DataFrame, most: int = 1) -> DataFrame:
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
     linked = nodes.join(known, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), "score")
     # up: the message 2 ** k steps above; steps and total: how many messages it takes to get there, and their scores.
-    state = written(linked.select("tree", "node", "up", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "tree")
-    jumps = [state.select("tree", "node", "up")]
-    size = state.count()
-    while not state.where("up is not null").isEmpty() and 1 << len(jumps) <= 2 * size:
-        above = state.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("total").alias("higher"))
-        state = written(
-            state.join(above, ["tree", "up"], "left").select(
+    first = written(linked.select("tree", "node", "up", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "tree")
+    rooted, open_ = first.where("up is null"), first.where("up is not null")
+    jumps, size = [open_], first.count()
+    # Messages that have reached their root jump no more, so a long conversation costs no other one a round.
+    while not open_.isEmpty() and 1 << len(jumps) <= 2 * size:
+        above = rooted.union(open_).select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("total").alias("higher"))
+        after = written(
+            open_.join(above, ["tree", "up"], "left").select(
                 "tree", "node", F.col("next").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
                 (F.col("total") + F.coalesce("higher", F.lit(0.0))).alias("total"),
             ),
             "tree",
         )
-        jumps.append(state.select("tree", "node", "up"))
-    rooted = state.where("up is null")
+        rooted, open_ = rooted.union(after.where("up is null")), after.where("up is not null")
+        jumps.append(open_)
     leaves = rooted.join(linked.select("tree", F.col("up").alias("node")).distinct(), ["tree", "node"], "left_anti")
     order = W.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), "node")
     best = leaves.withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= most)
     members = written(best.select("tree", "branch", F.col("node").alias("leaf"), (F.col("steps") - 1).alias("depth"), "node"), "branch")
     for k in range(len(jumps) - 1, -1, -1):
-        higher = members.join(jumps[k].where("up is not null"), ["tree", "node"]).select("tree", "branch", "leaf", (F.col("depth") - (1 << k)).alias("depth"), F.col("up").alias("node"))
+        higher = members.join(jumps[k], ["tree", "node"]).select("tree", "branch", "leaf", (F.col("depth") - (1 << k)).alias("depth"), F.col("up").alias("node"))
         members = written(members.union(higher), "branch")
     return members
 
