@@ -233,3 +233,37 @@ def op11_multi_scale_minimizers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
         sha(listed).alias("runs_sha256"), sha(F.col("collapsed")).alias("collapsed_sha256"),
     )
+
+
+# Words are joined with equal ones further on in their text, and neighbours at one distance make a stretch.
+# The CRC takes bytes one by one through the table of its polynomial.
+OP11_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT i AS n, i::UBIGINT AS x, 0 AS k FROM range(256) AS r(i)
+  UNION ALL SELECT n, xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END), k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(x ORDER BY n) AS t FROM bits WHERE k = 8),
+d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS h
+  FROM documents, crc),
+m AS (SELECT doc_id, w, h, len(w) AS n, h // 10 AS g FROM d),
+p AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a, CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM m),
+x AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) END AS w FROM p),
+e AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM x),
+q AS (SELECT a.doc_id, b.i - a.i AS q, a.i FROM e a JOIN e b ON a.doc_id = b.doc_id AND a.word = b.word AND b.i > a.i AND 3 * (b.i - a.i) <= a.n),
+s AS (SELECT doc_id, q, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS stretch, i FROM q),
+f AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM s GROUP BY doc_id, q, stretch HAVING count(*) + q >= greatest(24, 3 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM f GROUP BY doc_id, start, length),
+b AS (
+  SELECT doc_id, start, length, period FROM r
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+l AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY doc_id),
+c AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM e
+  WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = e.doc_id AND e.i >= r.start + r.period AND e.i < r.start + r.length) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.start::BIGINT AS start, b.length::BIGINT AS length, b.period::BIGINT AS period,
+  (1000 * b.length // b.period)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)
+"""

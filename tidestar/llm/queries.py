@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidestar.llm import chat_format, decontaminate, line_dedup, mixing
+from tidestar.llm import chat_format, decontaminate, line_dedup, mixing, periodic_runs, spelling
 from tidestar.llm.chat_format import op9_reply_trees
 from tidestar.llm.context_tree import op12_context_tree
 from tidestar.llm.decontaminate import op4_positional_index
@@ -44,6 +44,8 @@ SQL: dict[str, str] = {
     "op2_site_spread": line_dedup.OP2_SQL,
     "op4_positional_index": decontaminate.OP4_SQL,
     "op9_reply_trees": chat_format.OP9_SQL,
+    "op11_multi_scale_minimizers": periodic_runs.OP11_SQL,
+    "op13_group_trie": spelling.OP13_SQL,
 }
 
 if corpus_pipeline.ORACLE_SQL:

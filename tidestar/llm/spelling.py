@@ -271,3 +271,31 @@ def misspelt_words(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int
 
 def op13_group_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(written(misspelt_words(table(spark, sf_dir, "documents")), "words"))
+
+
+# Words are near if one is the other without a letter, or both are the same without the letter at one place.
+OP13_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT i AS n, i::UBIGINT AS x, 0 AS k FROM range(256) AS r(i)
+  UNION ALL SELECT n, xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END), k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(x ORDER BY n) AS t FROM bits WHERE k = 8),
+e AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+o AS (SELECT doc_id, run, count(*) AS n, hex(encode(doc_id::VARCHAR || ':' || run)) AS raw FROM e WHERE length(run) >= 7 GROUP BY doc_id, run),
+h AS (
+  SELECT run, n, xor(list_reduce([4294967295::UBIGINT] || list_transform(range(length(raw) // 2), lambda i: ('0x' || raw[2 * i + 1:2 * i + 2])::UBIGINT),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS h
+  FROM o, crc),
+r AS (SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM r WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+l AS (SELECT word, k, substring(word, 1, k) || substring(word, k + 2) AS less FROM (SELECT word, unnest(range(length(word))) AS k FROM w)),
+p AS (
+  SELECT a.word AS word, b.word AS other FROM l a JOIN l b ON a.less = b.less AND a.k = b.k AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM l a JOIN w b ON a.less = b.word
+  UNION SELECT b.word, a.word FROM l a JOIN w b ON a.less = b.word),
+b AS (SELECT p.word, count(*) AS n_near, first(p.other ORDER BY o.n DESC, p.other) AS best, max(o.n) AS best_n FROM p JOIN w o ON o.word = p.other GROUP BY p.word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form, CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n FROM w LEFT JOIN b USING (word)),
+way AS (SELECT word, word AS root, 0 AS step FROM f UNION ALL SELECT way.word, f.form, step + 1 FROM way JOIN f ON f.word = way.root WHERE f.form IS NOT NULL),
+last AS (SELECT word, arg_max(root, step) AS root FROM way GROUP BY word)
+SELECT f.word, f.form, last.root, f.n, f.n_near, f.form_n FROM f JOIN last USING (word)
+"""
