@@ -117,3 +117,21 @@ def test_winner_as_in_batches(spark):
     assert {i: int(keyed_state.winner(g)["arrival"][0]) for i, g in groups.items()} == expected
 
 
+
+
+def test_neighbouring_ids_share_a_key_of_the_state(spark, root):
+    w = Warehouse(spark, scratch_dir(spark, "keyed"))
+    many = 640
+    # One item comes again while it waits, in another form; ids below zero have neighbours too.
+    land({"order_items": fd.items(spark, *[("I", i, i - 20, 100, 1, "1.00", 0) for i in range(many)])}, root)
+    query = run(w, root, 0)
+    assert updated(query) <= many / 4  # a block of orders at a time, not an order
+    land({"order_items": fd.items(spark, ("U", 3, -17, 100, 7, "2.50", 1)), "orders": fd.orders(spark, *[("I", i - 20, 1, DAY, 0) for i in range(0, many, 2)])}, root)
+    run(w, root, 1)
+    waits = keyed_state.waiting_items(w)
+    assert waits.groupBy("reason").count().orderBy("reason").collect() == [Row(reason="no current customer", count=many // 2), Row(reason="order not found", count=many // 2)]
+    assert [(r["order_id"], r["quantity"], str(r["unit_price"])) for r in waits.where("quantity > 1").collect()] == [(-17, 7, "2.50")]
+    land({t: first(spark)[t] for t in ("customers", "products")} | {"orders": fd.orders(spark, ("I", -17, 1, DAY, 0))}, root)
+    run(w, root, 2)
+    assert w.facts().count() == many // 2 + 1 and rows(w.facts().where("order_id < 0 AND quantity = 7"), "order_id") == [(-17,)]
+    assert keyed_state.waiting_items(w).count() == many // 2 - 1
