@@ -5,6 +5,7 @@ import os
 import feeds as fd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from test_warehouse import HISTORY, TIMES, first, rows, second, versions
 
 from tidestar.plans.warehouse import Warehouse
@@ -265,3 +266,14 @@ def test_good_row_groups_of_a_damaged_file(spark, root):
     assert lost[0]["block"] > 0
     everything = files.read_cdc_parquet(spark, path, "customers", skip_corrupt=True, block_bytes=1 << 30)
     assert everything.select("Op", "name").where("length(name) > 0").count() < len(groups[0]) + len(groups[2])
+
+
+def test_blocks_are_many_to_a_task(spark):
+    root = scratch_dir(spark, "blocks")
+    rows = spark.range(60_000).selectExpr("'I' AS Op", "id", "id % 7 AS customer_id", "date'2024-01-15' AS order_date", "'x' AS status", "cast(id AS decimal(12,2)) AS total", "timestamp_ntz'2024-01-15 00:00:00' AS Timestamp")
+    rows.coalesce(1).write.option("parquet.block.size", 8_000).option("parquet.enable.dictionary", "false").option("compression", "none").parquet(root)
+    read = files.read_cdc_parquet(spark, root, "orders", id_type=T.LongType(), skip_corrupt=True, arrival=True, block_bytes=3_000)
+    tasks = files.BLOCK_TASKS * spark.sparkContext.defaultParallelism
+    assert read.select("_block").distinct().count() > 2 * tasks
+    assert read.rdd.getNumPartitions() <= 1.5 * tasks
+    assert read.agg(F.sum("id")).first()[0] == sum(range(60_000))

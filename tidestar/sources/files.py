@@ -173,14 +173,17 @@ def read_cdc_parquet(
 
 # Bytes of a block where files with damaged content are read again: less than the row groups that writers make.
 RECOVERY_BYTES = 1 << 20
+# Tasks for each core that read blocks; without a bound every block is a task.
+BLOCK_TASKS = 8
 
 
 def _block_session(spark: SparkSession, block_bytes: int) -> SparkSession:
-    """A session whose scans read files in smaller blocks; all else is shared."""
+    """A session whose scans read files in smaller blocks, many to a task; all else is shared. A block that cannot be read costs its own rows only."""
     other = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.shuffle.partitions"):
         other.conf.set(key, spark.conf.get(key))
     other.conf.set("spark.sql.files.maxPartitionBytes", str(block_bytes))
+    other.conf.set("spark.sql.files.maxPartitionNum", str(BLOCK_TASKS * spark.sparkContext.defaultParallelism))
     return other
 
 
