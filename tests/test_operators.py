@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidestar import operators as op
 from tidestar.plans import analytics
-from tidestar.plans.star import transform_star
+from tidestar.plans.star import dedup_feeds, transform_star
 
 NOW = dt.datetime(2024, 7, 1)
 DAY = dt.date(2024, 1, 15)
@@ -315,3 +315,12 @@ def test_top_facts_beyond_the_pool(spark, orphans):
     got = analytics.q_star_join_top20(star, n=5).select("quantity").collect()
     top = 100 - orphans
     assert [r[0] for r in got] == [top, top, top - 1, top - 1, top - 2]
+
+
+@pytest.mark.parametrize(("skew", "cut"), [(op.SkewPolicy(), False), (op.SkewPolicy(rows=1), True)], ids=["even", "heavy"])
+def test_winners_are_sorted_before_the_shuffle_only_where_a_key_is_heavy(spark, skew, cut):
+    feeds = {"orders": fd.orders(spark, ("I", 1, 1, DAY, 0), ("U", 1, 2, DAY, 1), ("U", 2, 3, DAY, 0))}
+    won = dedup_feeds(spark, feeds, fd.ARRIVAL, null_timestamps=False, skew=skew)["orders"]
+    plan = won._jdf.queryExecution().executedPlan().toString()
+    assert ("WindowGroupLimit" in plan.split("Exchange")[-1]) == cut
+    assert rows(won, "id", "customer_id") == [(1, 2), (2, 3)]
