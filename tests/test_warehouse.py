@@ -342,3 +342,11 @@ def test_limits(spark):
     assert rows(w.batch_metrics().where("metric = 'rejected_items'"), "_batch_id", "value") == [(0, 0), (1, 1)]
     with pytest.raises(ValueError, match="no such metrics"):
         Warehouse(spark, root, limits={"nothing": 1})
+
+
+def test_logs_are_not_sorted_before_their_shuffle(spark):
+    w = split(spark, [("order_items",)], scratch_dir(spark, "unsorted"))
+    for latest, key in ((w.pending_items(), "id"), (w.dimension("dim_customer"), "customer_id")):
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+        below = plan.split(f"Exchange hashpartitioning({key}")
+        assert len(below) == 2 and "Aggregate" not in below[1]
