@@ -65,3 +65,15 @@ def test_a_version_opens_its_own_folders(spark, warehouse):
     assert any("<= 0)" in s.split("PartitionFilters: [")[1].split("PushedFilters")[0] for s in scans), scans
     log = spark.sql("SELECT count(*) FROM dim_customer_at_version(0)")
     assert "<= 0)" in log._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+
+
+def test_functions_do_not_shuffle_facts(spark, warehouse):
+    create_functions(warehouse, "n_")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark.sql("SELECT * FROM n_fact_orders_at_version(6)")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert [line for line in text.split("\n") if "Join" in line and ("_file" in line or "_folder" in line) and "BroadcastHashJoin" not in line] == []
+        assert rows(plan, "order_id", "total_amount") == rows(warehouse.facts(version=6), "order_id", "total_amount")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")

@@ -350,3 +350,26 @@ def test_logs_are_not_sorted_before_their_shuffle(spark):
         plan = latest._jdf.queryExecution().executedPlan().toString()
         below = plan.split(f"Exchange hashpartitioning({key}")
         assert len(below) == 2 and "Aggregate" not in below[1]
+
+
+def test_facts_are_not_shuffled_for_their_bits(spark):
+    w = Warehouse(spark, scratch_dir(spark, "bits"))
+    w.create_tables()
+    w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0]))
+    w.write_batch(second(spark), fd.ARRIVAL, 1, F.lit(TIMES[1]))
+    w.delete_from_fact(gone(spark, [10]), 2, F.lit(TIMES[2]))
+    assert w.bitmaps() == 1 and w.bitmaps(version=1) == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as bitmaps of a large table are
+    try:
+        plan = w.facts()._jdf.queryExecution().executedPlan().toString()
+        # Below the bitmaps' join no exchange takes facts, which are known by their total.
+        assert [line for line in plan.split("\n") if "Join" in line and "_file" in line and "BroadcastHashJoin" not in line] == []
+        assert rows(w.facts(), "order_id") == [(11,)]
+        # Places are shuffled, not bitmaps.
+        marks = w._marked(gone(spark, [11]))
+        plan = marks._jdf.queryExecution().executedPlan().toString().split("\n")
+        ends = [i for i, line in enumerate(plan) if "bitmap_construct_agg" in line]
+        assert len(ends) == 2 and not any("Exchange" in line for line in plan[ends[0]:ends[1]])
+        assert [r["rows"] for r in marks.collect()] == [1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")

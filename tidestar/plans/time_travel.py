@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestar.plans.warehouse import BITMAP_BITS, DIMENSIONS, Warehouse
+from tidestar.plans.warehouse import BITMAP_BITS, BROADCAST_BITMAPS, DIMENSIONS, Warehouse
 from tidestar.schemas import star_schema
 
 VERSION, TIME = "at_version", "as_of"
@@ -69,6 +69,8 @@ def create_functions(warehouse: Warehouse, prefix: str = "") -> list[str]:
     _placed(warehouse).createOrReplaceTempView(f"{p}fact_rows")
     warehouse._scan("fact_vectors").withColumnRenamed("_batch_id", "batch_id").createOrReplaceTempView(f"{p}fact_vectors")
     made = []
+    # One row for each folder of facts, and the bitmaps up to a bound as in the warehouse's own reads: no fact is shuffled.
+    small = "s, gone" if warehouse.bitmaps() <= BROADCAST_BITMAPS else "s"
     facts = star_schema("fact_orders", warehouse.id_type).fields
     for kind in (VERSION, TIME):
         name = f"{p}fact_orders_{kind}"
@@ -80,7 +82,7 @@ def create_functions(warehouse: Warehouse, prefix: str = "") -> list[str]:
               SELECT v.file, v.bucket, bitmap_or_agg(v.bitmap) AS bitmap
               FROM {p}fact_vectors v JOIN (SELECT batch_id, committed_at FROM {p}commits WHERE table_name = 'fact_vectors') c USING (batch_id)
               WHERE {until} GROUP BY v.file, v.bucket)
-            SELECT {', '.join('r.' + f.name for f in facts)} FROM {p}fact_rows r
+            SELECT /*+ BROADCAST({small}) */ {', '.join('r.' + f.name for f in facts)} FROM {p}fact_rows r
               JOIN {p}fact_segments s ON r._compacted = s.compacted AND r._folder = s.batch_id
               LEFT JOIN gone ON r._file = gone.file AND r._bucket = gone.bucket
             WHERE s.{until} AND {hidden} {folder} AND (gone.bitmap IS NULL
