@@ -373,3 +373,18 @@ def test_facts_are_not_shuffled_for_their_bits(spark):
         assert [r["rows"] for r in marks.collect()] == [1]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_a_batch_asks_for_ids_and_stages_what_it_needs(spark):
+    w = Warehouse(spark, scratch_dir(spark, "narrow"))
+    w.create_tables()
+    staged, keep = {}, w.stage
+    w.stage = lambda df, label, *more: staged.setdefault(label, df.columns) and keep(df, label, *more)
+    w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0]))
+    w.write_batch(second(spark), fd.ARRIVAL, 1, F.lit(TIMES[1]))
+    assert not {"total", "Timestamp"} & {*staged["orders"]} and not {"order_date", "total_amount"} & {*staged["judged"]}
+    assert rows(w.facts(), "order_id", "date_sk", "total_amount") == [(10, 20240115, fd.Decimal("49.95")), (11, 20240116, fd.Decimal("9.99"))]
+    assert rows(w.pending_items(), "id", "Op", "reason", "since") == [("3", "I", "no current customer", 1)]
+    ids = w.current_ids("dim_customer", spark.createDataFrame([(1,), (2,), (3,)], "customer_id int"))
+    assert [tuple(r) for r in ids.collect()] == [(1, True)]
+    assert "email" not in ids._jdf.queryExecution().executedPlan().toString()
