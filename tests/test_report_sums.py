@@ -56,3 +56,15 @@ def test_reports_follow_the_batches(spark):
     same(w, sums, version=4)
     left = sums.sums("days").agg(F.sum("n")).first()[0]
     assert left == w.facts().count()
+
+
+def test_kinds_are_summed_apart(spark):
+    w = Warehouse(spark, scratch_dir(spark, "kinds"))
+    w.create_tables()
+    written = w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0]))
+    days, others = ReportSums(w, ["days"]), ReportSums(w, ["quarters", "pairs"])
+    assert days.refresh() == [0] and days.pending() == [] and others.pending() == [0]
+    assert [tuple(r) for r in days.daily_sales().collect()] == [tuple(r) for r in analytics.q_daily_sales(w.star()).collect()]
+    assert w.write_batch(first(spark), fd.ARRIVAL, 0, F.lit(TIMES[0])).keys() == written.keys()
+    assert others.refresh() == [0] and ReportSums(w).pending() == []
+    same(w, ReportSums(w))

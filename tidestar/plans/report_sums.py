@@ -5,20 +5,22 @@ rows of the dimensions. The sums of a batch are its own facts' sums, and those o
 a delete are the deleted facts' with the other sign; adding up the sums of all
 batches gives the sums of the facts that are left. So a batch costs a scan of
 its own folder, a delete a scan of the files it marks rows in, and a report a
-scan of the sums, which hold a row for each key and batch, not for each fact. A
+scan of the sums, which hold a row for each key and batch, not for each fact. The
+kinds of sums are kept and committed apart, so a warehouse sums what its reports ask for. A
 compaction changes no sum. Attributes are taken from the dimensions when a report
 is read, so their changes need no retraction.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestar.plans import analytics
-from tidestar.plans.warehouse import BITMAP_BITS, Warehouse
+from tidestar.plans.warehouse import BITMAP_BITS, BROADCAST_BITMAPS, Warehouse
 from tidestar.schemas import star_schema
 
 # Keys of each kind of sum. The quarter follows from the date.
@@ -29,27 +31,39 @@ _SCHEMA = "n bigint, amount decimal(38,2), listed decimal(38,2), _batch_id bigin
 
 
 class ReportSums:
-    """Partial sums of a warehouse's facts, in folders of its batches."""
+    """Partial sums of a warehouse's facts, in folders of its batches. ``kinds`` are the sums that a refresh keeps up, all by default."""
 
-    def __init__(self, warehouse: Warehouse) -> None:
-        self.warehouse = warehouse
+    def __init__(self, warehouse: Warehouse, kinds: Collection[str] = tuple(KEYS)) -> None:
+        self.warehouse, self.kinds = warehouse, tuple(kinds)
+        if unknown := set(self.kinds) - set(KEYS):
+            raise ValueError(f"no such sums: {sorted(unknown)}")
 
     def _path(self, kind: str) -> str:
         return f"{self.warehouse.root}/report_sums/{kind}"
 
+    def _summed(self, kind: str) -> DataFrame:
+        """Batches of which there are sums of a kind. An entry without a kind stands for all kinds."""
+        return self.warehouse.commits().where(F.col("table_name").isin("report_sums", f"report_sums_{kind}")).select("batch_id")
+
+    def _missing(self) -> dict[int, list[str]]:
+        """Batches that added or deleted facts, each with the kinds that are not summed yet."""
+        own = self.warehouse.commits().where("table_name IN ('fact_orders', 'fact_vectors') AND rows > 0").select("batch_id").distinct()
+        missing: dict[int, list[str]] = {}
+        for kind in self.kinds:
+            for row in own.join(self._summed(kind), "batch_id", "left_anti").collect():
+                missing.setdefault(row["batch_id"], []).append(kind)
+        return dict(sorted(missing.items()))
+
     def pending(self) -> list[int]:
         """Batches that added or deleted facts and are not summed yet: as many as came since the last refresh."""
-        commits = self.warehouse.commits()
-        own = commits.where("table_name IN ('fact_orders', 'fact_vectors') AND rows > 0").select("batch_id").distinct()
-        done = commits.where("table_name = 'report_sums'").select("batch_id")
-        return sorted(r["batch_id"] for r in own.join(done, "batch_id", "left_anti").collect())
+        return list(self._missing())
 
     def refresh(self) -> list[int]:
         """Sum up the batches that are not summed yet, and tell which. A batch that stops before its commit is summed again."""
-        done = self.pending()
-        for batch_id in done:
-            self._sum_batch(batch_id)
-        return done
+        missing = self._missing()
+        for batch_id, kinds in missing.items():
+            self._sum_batch(batch_id, kinds)
+        return list(missing)
 
     def added(self, batch_id: int) -> DataFrame:
         """The facts a batch wrote, read from its folder alone."""
@@ -90,12 +104,15 @@ class ReportSums:
             if paths:
                 own = name_of(w.spark.read.schema(schema).parquet(*paths), compacted)
                 rows = own if rows is None else rows.unionAll(own)
-        marked = rows.join(marks.select("file", "bucket", "bitmap"), ["file", "bucket"])
+        bitmaps = marks.select("file", "bucket", "bitmap")
+        if w.bitmaps(batch_id) <= BROADCAST_BITMAPS:
+            bitmaps = F.broadcast(bitmaps)
+        marked = rows.join(bitmaps, ["file", "bucket"])
         return marked.where(
             "shiftright(cast(conv(hex(substring(bitmap, cast(shiftright(position, 3) AS INT) + 1, 1)), 16, 10) AS INT), cast(position & 7 AS INT)) & 1 = 1"
         ).select(*columns)
 
-    def _sum_batch(self, batch_id: int) -> None:
+    def _sum_batch(self, batch_id: int, kinds: Collection[str]) -> None:
         w = self.warehouse
         told = {r["table_name"]: r for r in w.commits().where(F.col("batch_id") == batch_id).select("table_name", "committed_at", "rows").collect()}
         parts = [(1, self.added(batch_id))] if "fact_orders" in told else []
@@ -110,9 +127,10 @@ class ReportSums:
             sums.write.mode("overwrite").parquet(f"{self._path(kind)}/_batch_id={batch_id}")
             return 1
 
-        w._together([partial(write, kind) for kind in KEYS])
+        w._together([partial(write, kind) for kind in kinds])
         at = next(iter(told.values()))["committed_at"]
-        w._commit({"report_sums": len(parts)}, batch_id, F.lit(at))
+        for kind in kinds:
+            w._commit({f"report_sums_{kind}": len(parts)}, batch_id, F.lit(at))
 
     def sums(self, kind: str, version: int | None = None) -> DataFrame:
         """Sums of all facts left at a version, by the keys of the kind: n, amount, listed."""
@@ -120,10 +138,13 @@ class ReportSums:
         kinds = star_schema("fact_orders", w.id_type)
         keys = [f"{k} {'int' if k == 'quarter_sk' else kinds[k].dataType.simpleString()}" for k in KEYS[kind]]
         rows = w.spark.read.schema(", ".join([*keys, _SCHEMA])).parquet(self._path(kind))
-        done = w.commits().where("table_name = 'report_sums'")
+        done = self._summed(kind)
         if version is not None:
             rows, done = rows.where(F.col("_batch_id") <= version), done.where(F.col("batch_id") <= version)
         rows = rows.join(done.select(F.col("batch_id").alias("_batch_id")), "_batch_id", "left_semi")
+        if kind == "quarters":
+            # Products come next, and a product has few quarters: one shuffle serves the sums and the join.
+            rows = rows.repartition(F.col("product_key"))
         added = rows.groupBy(*KEYS[kind]).agg(F.sum("n").alias("n"), *[F.sum(c).cast("decimal(38,2)").alias(c) for c in ("amount", "listed")])
         return added.where("n <> 0")
 
