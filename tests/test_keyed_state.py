@@ -4,9 +4,11 @@ import datetime as dt
 import random
 
 import feeds as fd
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from test_files_and_stream import land
 from test_warehouse import DAY, HISTORY, TIMES, first, rows, second, versions
 
@@ -135,3 +137,70 @@ def test_neighbouring_ids_share_a_key_of_the_state(spark, root):
     run(w, root, 2)
     assert w.facts().count() == many // 2 + 1 and rows(w.facts().where("order_id < 0 AND quantity = 7"), "order_id") == [(-17,)]
     assert keyed_state.waiting_items(w).count() == many // 2 - 1
+
+
+class Map:
+    """A map state that counts what it is asked."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def exists(self):
+        return bool(self.held)
+
+    def getValue(self, key):  # noqa: N802
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.calls += 1
+        self.held[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        self.calls += 1
+        del self.held[key]
+
+    def getMapState(self, *_):  # noqa: N802
+        return self
+
+
+def packed(kind, table, parted_by=None):
+    deal = keyed_state.Deal(keyed_state.ORDERS.bits, 4, 2)
+    batches = keyed_state._Pack(kind, deal, "order_id", parted_by)(iter(table.to_batches(1000)))
+    return [Row(**row) for batch in batches for row in batch.to_pylist()], deal
+
+
+def test_a_large_batch_makes_few_packets_and_asks_the_state_seldom():
+    many = 5000
+    changes = {"rank": pa.array([1] * many), "micros": pa.array([0] * many), "a0": pa.array([0] * many)}
+    n = pa.array(range(many))
+    items = pa.table({"order_id": n, "item_id": n, "product_id": n, "quantity": n.cast(pa.int32()), "unit_price": n.cast(pa.decimal128(21, 2)).cast(pa.decimal128(10, 2)), "total_amount": n.cast(pa.decimal128(21, 2)).cast(pa.decimal128(12, 2)), **changes})
+    orders = pa.table({"order_id": n, "customer_id": n, "order_timestamp": pa.array([DAY] * many).cast(pa.timestamp("us")), "order_status": pa.array(["x"] * many), **changes})
+    rows, deal = packed("item", items, "item_id")
+    assert len(rows) == 8 and sum(keyed_state._table([r["data"]]).num_rows for r in rows) == many
+    handles, found = {(b, p): Map() for b in range(4) for p in range(2)}, []
+    for batch in (rows, packed("order", orders)[0]):
+        for key, handle in handles.items():
+            step = keyed_state._Orders(T.LongType(), deal, keyed_state.Deal(10, 1, 1))
+            step.init(handle)
+            found += step.handleInputRows(key, iter([r for r in batch if (r["bucket"], r["part"]) == key]), None)
+    lines = keyed_state._table([r["data"] for r in found])
+    assert sorted(lines["order_id"].to_pylist()) == sorted(lines["customer_id"].to_pylist()) == list(range(many))
+    # In both batches, a block of 256 orders at a time and part: two writes, then a look, one entry read and dropped, and a write.
+    assert sum(handle.calls for handle in handles.values()) <= 2 * (many // 256 + 1) * 6
+
+
+def test_winners_of_many_keys():
+    rng = random.Random(5)
+    rows = [{"id": rng.randint(1, 60), "item": rng.randint(1, 3), "rank": rng.randint(0, 3), "micros": rng.choice([None, 1, 2, -3]), "a0": rng.choice([None, 1, 2, 30, -4]), "a1": rng.choice([None, "b", "ab", "c"]), "at": n} for n in range(900)]
+
+    def counts(changes):
+        best = sorted((c for c in changes if c["rank"] == max(c["rank"] for c in changes)), key=lambda c: [(c[a] is not None, c[a]) for a in ("a0", "a1")])
+        return best[0] if best[0]["micros"] is None else max(best, key=lambda c: (c["micros"] is not None, c["micros"] or 0))
+
+    groups = {}
+    for row in rows:
+        groups.setdefault((row["id"], row["item"]), []).append(row)
+    won = keyed_state.winners(pa.Table.from_pylist(rows), ["id", "item"])
+    assert {(r["id"], r["item"]): r["at"] for r in won.to_pylist()} == {key: counts(changes)["at"] for key, changes in groups.items()}
+    assert won.num_rows == len(groups)
