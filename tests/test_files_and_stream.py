@@ -277,3 +277,24 @@ def test_blocks_are_many_to_a_task(spark):
     assert read.select("_block").distinct().count() > 2 * tasks
     assert read.rdd.getNumPartitions() <= 1.5 * tasks
     assert read.agg(F.sum("id")).first()[0] == sum(range(60_000))
+
+
+def test_a_long_footer_is_not_read_for_each_block(spark):
+    root = scratch_dir(spark, "footer")
+    rows = spark.range(60_000).selectExpr("'I' AS Op", "id", "id % 7 AS customer_id", "date'2024-01-15' AS order_date", "'x' AS status", "cast(id AS decimal(12,2)) AS total", "timestamp_ntz'2024-01-15 00:00:00' AS Timestamp")
+    rows.coalesce(1).write.option("parquet.block.size", 8_000).option("parquet.enable.dictionary", "false").option("compression", "none").parquet(root)
+    path = next(f"{local(root)}/{n}" for n in os.listdir(local(root)) if n.endswith(".parquet"))
+    with open(path, "r+b") as file:
+        file.seek(os.path.getsize(path) // 3)
+        file.write(b"?" * 64)
+    os.remove(f"{local(root)}/.{os.path.basename(path)}.crc")
+    read = files.read_cdc_parquet(spark, root, "orders", id_type=T.LongType(), skip_corrupt=True, arrival=True, block_bytes=3_000)
+    opened = sum(os.path.getsize(name.removeprefix("file:").replace("///", "/")) for name in read.inputFiles())
+    assert len(read.inputFiles()) > 1 and opened < 1.5 * os.path.getsize(path)
+    whole = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("at")).first()
+    got = read.select("id", "_row", "_file", "_file_time", "_block", *[c for c in read.columns if c[0] != "_" and c != "id"]).collect()
+    assert all(r["id"] == r["_row"] for r in got) and {(r["_file"], r["_file_time"]) for r in got} == {tuple(whole)}
+    lost = files.damaged_blocks(read, spark, [path], 3_000).collect()
+    assert len(lost) == 1 and lost[0]["path"] == whole["path"] and lost[0]["lost_rows"] + len(got) == 60_000
+    blocks = [r["_block"] for r in got]
+    assert min(blocks) < lost[0]["block"] < max(blocks) and abs(lost[0]["block"] - os.path.getsize(path) // 3) < 16_000

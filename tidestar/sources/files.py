@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidestar.functions.convert import to_timestamp_safe
 from tidestar.schemas import ID, WIDE_ID, empty_frame, feed_schema
+from tidestar.session import scratch_dir
 
 # Where the change files of a table lie below the landing folder.
 RAW_PREFIX = "dms-source"
@@ -140,7 +143,8 @@ def read_cdc_parquet(
     ``block_bytes`` files are read in blocks of at most so many bytes; where that
     is less than a row group, each row group is a block of its own, so good ones
     behind a damaged one are kept. Pages are then checked against their checksums,
-    and ``_block`` tells where the block of a row begins.
+    and ``_block`` tells where the block of a row begins. Files of very many row groups
+    are cut into files of a few row groups first, below the shared checkpoint folder.
     """
     paths = [paths] if isinstance(paths, str) else paths
     if block_bytes:
@@ -149,10 +153,11 @@ def read_cdc_parquet(
     schema = feed_schema(table, id_type, ts_col) if declared else _merged_schema(reader, paths)
     if schema is None:
         schema = feed_schema(table, WIDE_ID, ts_col)
-    reader = reader.schema(schema).option("ignoreCorruptFiles", str(skip_corrupt).lower()).option("mergeSchema", "false")
-    if block_bytes:
-        reader = reader.option("parquet.page.verify-checksum.enabled", "true")
-    rows = reader.parquet(*paths)
+
+    def settled(reader: DataFrameReader) -> DataFrameReader:
+        reader = reader.option("ignoreCorruptFiles", str(skip_corrupt).lower()).option("mergeSchema", "false")
+        return reader.option("parquet.page.verify-checksum.enabled", "true") if block_bytes else reader
+
     columns = [F.col(f"`{c}`") for c in schema.fieldNames() if c != ts_col]
     absent = [f for f in feed_schema(table, id_type, ts_col).fields if f.name not in schema.fieldNames() and f.name != ts_col]
     columns += [F.lit(None).cast(f.dataType).alias(f.name) for f in absent]
@@ -160,15 +165,11 @@ def read_cdc_parquet(
         columns.append(to_timestamp_safe(F.col(ts_col), schema[ts_col].dataType).alias("Timestamp"))
     else:
         columns.append(F.lit(None).cast("timestamp_ntz").alias("Timestamp"))
-    if arrival:
-        columns += [
-            F.col("_metadata.file_modification_time").alias("_file_time"),
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.row_index").alias("_row"),
-        ]
-    if arrival and block_bytes:
-        columns.append(F.col("_metadata.file_block_start").alias("_block"))
-    return rows.select(*columns)
+    places = [*ARRIVAL, *["_block"] * bool(block_bytes)] if arrival else []
+    if block_bytes:
+        return _block_scans(spark, paths, block_bytes, schema, settled, glob=glob, keep=(*columns, *places))
+    rows = settled(reader.schema(schema)).parquet(*paths)
+    return rows.select(*columns, *[F.col(_PLACES[c]).alias(c) for c in places])
 
 
 # Bytes of a block where files with damaged content are read again: less than the row groups that writers make.
@@ -188,6 +189,93 @@ def _block_session(spark: SparkSession, block_bytes: int) -> SparkSession:
 
 
 ARRIVAL = ("_file_time", "_file", "_row")
+# Where a row lies, as a file scan tells it.
+_PLACES = {
+    "_file_time": "_metadata.file_modification_time", "_file": "_metadata.file_path", "_row": "_metadata.row_index",
+    "_block": "_metadata.file_block_start",
+}
+# A scan reads the footer of a file anew for each block. Files with a footer longer than so many blocks are cut first.
+LONG_FOOTER = 4
+_PIECE = T.StructType([T.StructField(c, T.LongType()) for c in ("piece_file", "piece_row", "piece_at")])
+_cut: dict[tuple, str] = {}
+
+
+def _footer_bytes(spark: SparkSession, path: str, length: int) -> int:
+    """Length of a Parquet footer, 0 where there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        stream.seek(length - 8)
+        n, magic = spark._jvm.java.lang.Integer.reverseBytes(stream.readInt()), stream.readInt()
+    finally:
+        stream.close()
+    return n if magic == int.from_bytes(b"PAR1", "big") and 0 < n < length else 0
+
+
+def _pieces(spark: SparkSession, files: list[tuple[str, int, int]], block_bytes: int) -> str:
+    """Files (path, length, length of the footer) cut into pieces of a few row groups, each with a footer of about a block.
+
+    The bytes of the row groups are copied as they are. Folders tell the number of the file, and of a piece the first row and the place
+    in the file. This passes the files through the driver, once; it is meant for those of the batch that failed.
+    """
+    root = scratch_dir(spark, "pieces")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    parquet, to_path = jvm.org.apache.parquet.hadoop, jvm.org.apache.hadoop.fs.Path
+    for number, (path, _, footer) in enumerate(files):
+        source = parquet.util.HadoopInputFile.fromPath(to_path(path), conf)
+        reader = parquet.ParquetFileReader.open(source)
+        stream = source.newStream()
+        try:
+            meta, groups = reader.getFooter().getFileMetaData(), reader.getRowGroups()
+            n = groups.size()
+            step = max(1, block_bytes * n // footer)
+            for first in range(0, n, step):
+                group = groups.get(first)
+                # What comes before the first row group of a file are four bytes.
+                place = f"piece_file={number}/piece_row={group.getRowIndexOffset()}/piece_at={group.getStartingPos() - 4}"
+                target = parquet.util.HadoopOutputFile.fromPath(to_path(f"{root}/{place}/part-0.parquet"), conf)
+                writer = parquet.ParquetFileWriter(target, meta.getSchema(), parquet.ParquetFileWriter.Mode.CREATE, 1 << 27, 0)
+                writer.start()
+                writer.appendRowGroups(stream, groups.subList(first, min(n, first + step)), False)
+                writer.end(meta.getKeyValueMetaData())
+        finally:
+            stream.close()
+            reader.close()
+    return root
+
+
+def _block_scans(
+    spark: SparkSession, paths: list[str], block_bytes: int, schema: T.StructType, settled: Callable[[DataFrameReader], DataFrameReader], *,
+    glob: str, keep: tuple[Column | str, ...],
+) -> DataFrame:
+    """Columns ``keep`` of the files, of which ``_PLACES`` may be some, read in blocks by a session of :func:`_block_session`."""
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(paths)
+        .select("path", "length", F.unix_micros("modificationTime").alias("at"), F.col(_PLACES["_file"]).alias("file"))
+    )
+    large = sorted(listed.where(F.col("length") > 4 * LONG_FOOTER * block_bytes).collect())
+    told = [(row, _footer_bytes(spark, row["path"], row["length"])) for row in large]
+    told = [(row, footer) for row, footer in told if footer > LONG_FOOTER * block_bytes]
+    rest = paths
+    if told:
+        cut = {row["path"] for row, _ in told}
+        rest = [r["path"] for r in listed.select("path").collect() if r["path"] not in cut]
+    frames = []
+    if rest:
+        rows = settled(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).schema(schema)).parquet(*rest)
+        frames.append(rows.select(*[F.col(_PLACES[c]).alias(c) if isinstance(c, str) else c for c in keep]))
+    if told:
+        slot = (spark.sparkContext.applicationId, block_bytes, *[row for row, _ in told])
+        if slot not in _cut:
+            _cut[slot] = _pieces(spark, [(row["path"], row["length"], footer) for row, footer in told], block_bytes)
+        rows = settled(spark.read.schema(T.StructType([*schema.fields, *_PIECE.fields]))).parquet(_cut[slot])
+        of = lambda values: F.get(F.array(*values), F.col("piece_file").cast("int"))
+        places = {
+            "_file_time": of([F.timestamp_micros(F.lit(row["at"])) for row, _ in told]), "_file": of([F.lit(row["file"]) for row, _ in told]),
+            "_row": F.col("piece_row") + F.col(_PLACES["_row"]), "_block": F.col("piece_at") + F.col(_PLACES["_block"]),
+        }
+        frames.append(rows.select(*[places[c].alias(c) if isinstance(c, str) else c for c in keep]))
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 
 def failed_files(spark: SparkSession, prefix: str | list[str], *, glob: str = PARQUET_GLOB) -> DataFrame:
@@ -251,10 +339,9 @@ def damaged_files(read: DataFrame, spark: SparkSession, paths: list[str]) -> Dat
 
 def damaged_blocks(read: DataFrame, spark: SparkSession, paths: list[str], block_bytes: int = RECOVERY_BYTES) -> DataFrame:
     """Blocks of which rows cannot be read: path, block (its first byte), lost_rows. ``read``: the files by blocks of the same size, with ``_block``."""
-    told = (
-        _block_session(spark, block_bytes).read.schema("Op string").option("ignoreCorruptFiles", "true").parquet(*paths)
-        .groupBy(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")).agg(F.count(F.lit(1)).alias("told"))
-    )
+    one, settled = T.StructType([T.StructField("Op", T.StringType())]), lambda reader: reader.option("ignoreCorruptFiles", "true")
+    told = _block_scans(_block_session(spark, block_bytes), paths, block_bytes, one, settled, glob="*", keep=("_file", "_block"))
+    told = told.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("told"))
     whole = F.xxhash64(*[F.col(f"`{c}`") for c in read.columns if not c.startswith("_")])
     got = read.groupBy("_file", "_block").agg((F.count_if(whole == 0) + F.count_if(whole != 0)).alias("got"))
     lost = F.col("told") - F.coalesce("got", F.lit(0))
